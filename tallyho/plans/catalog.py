@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit
+from ..operators import audit, spend
 from ..sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,29 @@ def audit_status_counts(spark, sf_dir):
 @query("audit_mismatch_sorted")
 def audit_mismatch_sorted(spark, sf_dir):
     return audit.mismatch_report(_audited(spark, sf_dir))
+
+
+# ---- spend analysis -----------------------------------------------------------------
+@query("spend_by_term")
+def spend_by_term(spark, sf_dir):
+    return spend.spend_by(fixtures.vouchers(spark, sf_dir), "term_name")
+
+
+@query("spend_topk_other")
+def spend_topk_other(spark, sf_dir):
+    return spend.top_k_with_other(fixtures.vouchers(spark, sf_dir), "term_name")
+
+
+@query("spend_topk_vendor")
+def spend_topk_vendor(spark, sf_dir):
+    return spend.top_k_with_other(fixtures.vouchers(spark, sf_dir), "vendor_name")
+
+
+@query("spend_top3")
+def spend_top3(spark, sf_dir):
+    return spend.top_terms(fixtures.vouchers(spark, sf_dir))
+
+
+@query("spend_vendor_share")
+def spend_vendor_share(spark, sf_dir):
+    return spend.vendor_share(fixtures.vouchers(spark, sf_dir))

@@ -122,3 +122,53 @@ SELECT voucher_no, doc_date, vendor_code, vendor_name, term_code, term_name, pla
  coalesce(strftime(expected_pay_date, '%Y/%m/%d'), '') AS expected_text
 FROM audited WHERE audit_status = 'mismatch'""",
 }
+
+
+def _spend_rows(dim: str) -> str:
+    return f"""
+r AS (
+ SELECT NULLIF({strip_sql(dim)}, '') AS {dim}, amount FROM vouchers
+ WHERE amount IS NOT NULL AND NULLIF({strip_sql(dim)}, '') IS NOT NULL
+), agg AS (SELECT {dim}, sum(amount) AS amount FROM r GROUP BY {dim})"""
+
+
+def _topk_other(dim: str, k: int = 10) -> str:
+    return with_ctes(VOUCHERS, _spend_rows(dim)) + f"""
+, ranked AS (SELECT *, row_number() OVER (ORDER BY amount DESC, {dim} ASC NULLS LAST) AS rk FROM agg)
+SELECT rank, {dim}, CAST(amount AS DOUBLE) AS amount,
+ CAST(amount AS DOUBLE) * 100.0 / CAST((SELECT sum(amount) FROM r) AS DOUBLE) AS pct
+FROM (
+ SELECT CAST(rk AS INTEGER) AS rank, {dim}, amount FROM ranked WHERE rk <= {k}
+ UNION ALL
+ SELECT {k + 1}, '其他', sum(amount) FROM ranked WHERE rk > {k} HAVING count(*) > 0
+) x"""
+
+
+ORACLE.update({
+    "spend_by_term": with_ctes(VOUCHERS, _spend_rows("term_name")) + """
+, s AS (SELECT term_name, CAST(amount AS DOUBLE) AS amount,
+  CAST(amount AS DOUBLE) * 100.0 / CAST((SELECT sum(amount) FROM agg) AS DOUBLE) AS pct FROM agg)
+SELECT term_name, amount, pct, CASE WHEN pct >= 2.0 THEN printf('%.1f%%', pct) ELSE '' END AS label FROM s""",
+    "spend_topk_other": _topk_other("term_name"),
+    "spend_topk_vendor": _topk_other("vendor_name"),
+    "spend_top3": with_ctes(VOUCHERS, _spend_rows("term_name")) + """
+, ranked AS (SELECT *, row_number() OVER (ORDER BY amount DESC, term_name ASC NULLS LAST) AS rk FROM agg)
+SELECT CAST(rk AS INTEGER) AS rank, term_name, CAST(amount AS DOUBLE) AS amount,
+ round_even(CAST(amount AS DOUBLE) * 100.0 / CAST((SELECT sum(amount) FROM r) AS DOUBLE), 1) AS pct
+FROM ranked WHERE rk <= 3""",
+    "spend_vendor_share": with_ctes(VOUCHERS, _spend_rows("term_name")) + f"""
+, top AS (SELECT term_name FROM agg ORDER BY amount DESC, term_name ASC NULLS LAST LIMIT 3)
+, d AS (
+ SELECT NULLIF({strip_sql('term_name')}, '') AS term_name, NULLIF({strip_sql('vendor_name')}, '') AS vendor_name, amount
+ FROM vouchers)
+, bv AS (
+ SELECT term_name, vendor_name, sum(amount) AS amount FROM d
+ WHERE term_name IN (SELECT term_name FROM top) AND vendor_name IS NOT NULL AND amount IS NOT NULL
+ GROUP BY term_name, vendor_name)
+, base AS (SELECT term_name, sum(amount) AS b FROM bv GROUP BY term_name)
+, s AS (
+ SELECT bv.term_name, vendor_name, CAST(amount AS DOUBLE) AS amount,
+  CASE WHEN b > 0 THEN CAST(amount AS DOUBLE) * 100.0 / CAST(b AS DOUBLE) ELSE 0.0 END AS pct
+ FROM bv JOIN base ON bv.term_name = base.term_name)
+SELECT term_name, vendor_name, amount, pct, CASE WHEN pct >= 10.0 THEN printf('%.1f%%', pct) ELSE '' END AS label FROM s""",
+})
