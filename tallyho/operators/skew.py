@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 _PID = "_tly_pid"
 _KEY = "_tly_key"
 _TIE = "_tly_tie"
+_ROW = "_tly_row"
 _CARRY_KEY = "_tly_carry_key"
 _CARRY = "_tly_carry"
 
@@ -98,16 +99,27 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
     cols = df.columns
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     key_cols = [F.col(k) for k in keys]
+    # Tie-breakers: a hash of the whole row orders distinct rows the same way on every
+    # run; the row id splits a group of identical copies over several range partitions
+    # (copies are interchangeable, so their relative order never shows in a result).
     base = (df.withColumn(_KEY, F.to_json(F.struct(*key_cols)))
-              .withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols])))
-    ranged = (base.repartitionByRange(n, *key_cols, *order_cols, F.col(_TIE))
-                  .sortWithinPartitions(*key_cols, *order_cols, F.col(_TIE))
+              .withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
+              .withColumn(_ROW, F.monotonically_increasing_id()))
+    tie = [F.col(_TIE), F.col(_ROW)]
+    ranged = (base.repartitionByRange(n, *key_cols, *order_cols, *tie)
+                  .sortWithinPartitions(*key_cols, *order_cols, *tie)
                   .withColumn(_PID, F.spark_partition_id()))
 
     summary_schema = T.StructType([
         T.StructField(_PID, T.IntegerType()), T.StructField("first_key", T.StringType()),
         T.StructField("last_key", T.StringType()), T.StructField("last_run", T.LongType())])
-    summary = ranged.select(_PID, _KEY).mapInPandas(_partition_summary, summary_schema)
+    # Both passes must see the same range boundaries.  They consume the *same* exchange
+    # (no column pruning below it: mapInPandas takes every column), so Spark runs it once
+    # and the second pass reads the reused shuffle output.  Without exchange reuse the
+    # sorted rows are checkpointed to the shared checkpoint folder instead.
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        ranged = ranged.checkpoint(eager=True)
+    summary = ranged.mapInPandas(_partition_summary, summary_schema)
     # carry for partition p = rows of p's first key in earlier partitions; the key is
     # contiguous in sort order, so those rows are the trailing runs of the directly
     # preceding partitions that end with that key.  The table has one row per partition.

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, spend
+from ..operators import audit, diff, spend
 from ..sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,46 @@ def spend_top3(spark, sf_dir):
 @query("spend_vendor_share")
 def spend_vendor_share(spark, sf_dir):
     return spend.vendor_share(fixtures.vouchers(spark, sf_dir))
+
+
+# ---- table diff ---------------------------------------------------------------------
+def _diff(spark, sf_dir):
+    return diff.diff_by_keys(fixtures.diff_left(spark, sf_dir), fixtures.diff_right(spark, sf_dir),
+                             fixtures.DIFF_KEYS)
+
+
+@query("diff_only_left")
+def diff_only_left(spark, sf_dir):
+    return _diff(spark, sf_dir).only_left
+
+
+@query("diff_only_right")
+def diff_only_right(spark, sf_dir):
+    return _diff(spark, sf_dir).only_right
+
+
+@query("diff_cells")
+def diff_cells(spark, sf_dir):
+    return _diff(spark, sf_dir).cells
+
+
+@query("diff_rows_nokey")
+def diff_rows_nokey(spark, sf_dir):
+    only_l, only_r = diff.diff_rows(fixtures.diff_left(spark, sf_dir), fixtures.diff_right(spark, sf_dir))
+    return (only_l.withColumn("side", F.lit("left"))
+            .unionByName(only_r.withColumn("side", F.lit("right"))))
+
+
+@query("diff_summary")
+def diff_summary(spark, sf_dir):
+    return diff.diff_summary(_diff(spark, sf_dir), "diff_left", "diff_right")
+
+
+@query("diff_key_except_all")
+def diff_key_except_all(spark, sf_dir):
+    return diff.key_except_all(_diff(spark, sf_dir))
+
+
+@query("diff_key_intersect_all")
+def diff_key_intersect_all(spark, sf_dir):
+    return diff.key_intersect_all(_diff(spark, sf_dir))

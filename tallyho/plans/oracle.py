@@ -172,3 +172,54 @@ FROM ranked WHERE rk <= 3""",
  FROM bv JOIN base ON bv.term_name = base.term_name)
 SELECT term_name, vendor_name, amount, pct, CASE WHEN pct >= 10.0 THEN printf('%.1f%%', pct) ELSE '' END AS label FROM s""",
 })
+
+
+_DIFF_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"]
+_DIFF_NORM = ", ".join(
+    [f"coalesce({strip_sql(f'CAST({c} AS VARCHAR)')}, '') AS {c}" for c in _DIFF_COLS[:-1]]
+    + ["coalesce(strftime(l_shipdate, '%Y-%m-%d'), '') AS l_shipdate"])
+_DIFF_OCC = ("row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY "
+             + ", ".join(_DIFF_COLS) + ") AS occ")
+DIFF = """
+l0 AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_shipdate
+       FROM lineitem WHERE l_partkey % 10 <> 0),
+r0 AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        CASE WHEN l_partkey % 17 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_returnflag, l_shipdate
+       FROM lineitem WHERE l_suppkey % 10 <> 1),
+""" + f"""
+dl AS (SELECT {_DIFF_NORM}, {_DIFF_OCC} FROM l0),
+dr AS (SELECT {_DIFF_NORM}, {_DIFF_OCC} FROM r0),
+only_l AS (SELECT * FROM dl WHERE NOT EXISTS (SELECT 1 FROM dr WHERE dr.l_orderkey = dl.l_orderkey
+           AND dr.l_linenumber = dl.l_linenumber AND dr.occ = dl.occ)),
+only_r AS (SELECT * FROM dr WHERE NOT EXISTS (SELECT 1 FROM dl WHERE dr.l_orderkey = dl.l_orderkey
+           AND dr.l_linenumber = dl.l_linenumber AND dr.occ = dl.occ)),
+pairs AS (SELECT dl.l_orderkey AS key_1, dl.l_linenumber AS key_2,
+           dl.l_partkey AS lp, dr.l_partkey AS rp, dl.l_suppkey AS ls, dr.l_suppkey AS rs,
+           dl.l_quantity AS lq, dr.l_quantity AS rq, dl.l_returnflag AS lf, dr.l_returnflag AS rf,
+           dl.l_shipdate AS ld, dr.l_shipdate AS rd
+          FROM dl JOIN dr ON dl.l_orderkey = dr.l_orderkey AND dl.l_linenumber = dr.l_linenumber AND dl.occ = dr.occ),
+cells AS (
+ SELECT key_1, key_2, 'l_partkey' AS "column", lp AS left_value, rp AS right_value FROM pairs WHERE lp <> rp
+ UNION ALL SELECT key_1, key_2, 'l_quantity', lq, rq FROM pairs WHERE lq <> rq
+ UNION ALL SELECT key_1, key_2, 'l_returnflag', lf, rf FROM pairs WHERE lf <> rf
+ UNION ALL SELECT key_1, key_2, 'l_shipdate', ld, rd FROM pairs WHERE ld <> rd
+ UNION ALL SELECT key_1, key_2, 'l_suppkey', ls, rs FROM pairs WHERE ls <> rs)"""
+_DIFF_SEL = ", ".join(_DIFF_COLS)
+_DIFF_ON = " AND ".join(f"a.{c} = b.{c}" for c in _DIFF_COLS)
+
+ORACLE.update({
+    "diff_only_left": with_ctes(DIFF) + f"SELECT {_DIFF_SEL} FROM only_l",
+    "diff_only_right": with_ctes(DIFF) + f"SELECT {_DIFF_SEL} FROM only_r",
+    "diff_cells": with_ctes(DIFF) + "SELECT * FROM cells",
+    "diff_rows_nokey": with_ctes(DIFF) + f"""
+SELECT {_DIFF_SEL}, 'left' AS side FROM dl a WHERE NOT EXISTS (SELECT 1 FROM dr b WHERE {_DIFF_ON})
+UNION ALL
+SELECT {_DIFF_SEL}, 'right' AS side FROM dr a WHERE NOT EXISTS (SELECT 1 FROM dl b WHERE {_DIFF_ON})""",
+    "diff_summary": with_ctes(DIFF) + """
+SELECT 'diff_left' AS left_table, 'diff_right' AS right_table, 'l_orderkey, l_linenumber' AS keys_used,
+ (SELECT count(*) FROM only_l) = 0 AND (SELECT count(*) FROM only_r) = 0 AND (SELECT count(*) FROM cells) = 0 AS same,
+ (SELECT count(*) FROM only_l) AS only_in_left_rows, (SELECT count(*) FROM only_r) AS only_in_right_rows,
+ (SELECT count(*) FROM cells) AS column_diff_rows""",
+    "diff_key_except_all": with_ctes(DIFF) + "SELECT l_orderkey, l_linenumber FROM only_l",
+    "diff_key_intersect_all": with_ctes(DIFF) + "SELECT key_1 AS l_orderkey, key_2 AS l_linenumber FROM pairs",
+})

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -29,9 +30,37 @@ SQL_DEFAULTS = {
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in SQL_DEFAULTS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (``addPyFile`` of a zip).
+
+    The few Python-side operators (``mapInPandas`` functions) are pickled by reference,
+    so the workers need the package; on a cluster this is how it reaches every executor.
+    Done once per SparkContext.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tallyho-pkg-")
+    archive = os.path.join(out_dir, "tallyho.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tallyho", extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -50,6 +79,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
