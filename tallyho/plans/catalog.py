@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, diff, spend
+from ..operators import audit, cells, consolidate, diff, spend
 from ..sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,39 @@ def diff_key_except_all(spark, sf_dir):
 @query("diff_key_intersect_all")
 def diff_key_intersect_all(spark, sf_dir):
     return diff.key_intersect_all(_diff(spark, sf_dir))
+
+
+# ---- cell grids and consolidation ---------------------------------------------------
+def _cells(spark, sf_dir):
+    return fixtures.cells(spark, sf_dir)
+
+
+@query("cells_header")
+def cells_header(spark, sf_dir):
+    return cells.header_rows(_cells(spark, sf_dir))
+
+
+@query("cells_header_alias")
+def cells_header_alias(spark, sf_dir):
+    return cells.header_rows_by_alias(_cells(spark, sf_dir))
+
+
+@query("cells_table")
+def cells_table(spark, sf_dir):
+    c = _cells(spark, sf_dir)
+    return cells.table_cells(c, cells.header_rows(c)).withColumnRenamed("name", "column_name")
+
+
+@query("consolidated")
+def consolidated(spark, sf_dir):
+    return consolidate.consolidate(_cells(spark, sf_dir)).table
+
+
+@query("consolidated_file_log")
+def consolidated_file_log(spark, sf_dir):
+    return consolidate.consolidate(_cells(spark, sf_dir)).file_log
+
+
+@query("consolidated_errors")
+def consolidated_errors(spark, sf_dir):
+    return consolidate.consolidate(_cells(spark, sf_dir)).errors

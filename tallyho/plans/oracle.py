@@ -223,3 +223,134 @@ SELECT 'diff_left' AS left_table, 'diff_right' AS right_table, 'l_orderkey, l_li
     "diff_key_except_all": with_ctes(DIFF) + "SELECT l_orderkey, l_linenumber FROM only_l",
     "diff_key_intersect_all": with_ctes(DIFF) + "SELECT key_1 AS l_orderkey, key_2 AS l_linenumber FROM pairs",
 })
+
+
+# ---- cell grids ---------------------------------------------------------------------
+CELLS = """
+sheet_rows AS (
+ SELECT concat('book', CAST(n_regionkey AS VARCHAR), '.xlsx') AS file, n_name AS sheet, c_nationkey, c_custkey, c_name,
+  row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn
+ FROM customer JOIN nation ON c_nationkey = n_nationkey
+), cells AS (
+ SELECT DISTINCT file, sheet, CAST(0 AS BIGINT) AS row_idx, 0 AS col_idx, 'Voucher report' AS value FROM sheet_rows
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 0, CASE WHEN c_nationkey % 2 = 0 THEN '憑單日期' ELSE '單據日期' END FROM sheet_rows WHERE c_nationkey <> 24
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 1, '憑單單號' FROM sheet_rows WHERE c_nationkey <> 24
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 2, ' 廠商簡稱 ' FROM sheet_rows WHERE c_nationkey <> 24
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 3, '金額' FROM sheet_rows WHERE c_nationkey <> 24
+ UNION ALL SELECT file, sheet, rn + 2, 0, CASE c_custkey % 3
+    WHEN 0 THEN concat('2024/', CAST(c_custkey % 12 + 1 AS VARCHAR), '/', CAST(c_custkey % 28 + 1 AS VARCHAR))
+    WHEN 1 THEN concat('2024-', CAST(c_custkey % 12 + 1 AS VARCHAR), '-', CAST(c_custkey % 28 + 1 AS VARCHAR))
+    ELSE CAST(45292 + c_custkey AS VARCHAR) END FROM sheet_rows WHERE rn % 3 = 1
+ UNION ALL SELECT file, sheet, rn + 2, 1, concat('C', CAST(c_custkey AS VARCHAR)) FROM sheet_rows
+ UNION ALL SELECT file, sheet, rn + 2, 2, CASE WHEN rn % 10 = 0 THEN ' 小結:' ELSE c_name END FROM sheet_rows
+ UNION ALL SELECT file, sheet, rn + 2, 3, concat(CAST(c_custkey % 900 + 1 AS VARCHAR), ',500.25') FROM sheet_rows
+), nb AS (SELECT * FROM cells WHERE value IS NOT NULL AND value <> '')"""
+
+_HEADER_KEYS = "'憑單日期', '憑單單號', '單據日期', '廠商代號', '廠商簡稱', '付款條件代號', '付款條件名稱', '預計付款日', '預計兌現日'"
+HEADERS = f"""
+hits AS (SELECT file, sheet, row_idx, count(DISTINCT {strip_sql('value')}) AS hits FROM nb
+         WHERE {strip_sql('value')} IN ({_HEADER_KEYS}) GROUP BY file, sheet, row_idx),
+hdr AS (SELECT file, sheet, min(row_idx) AS header_row FROM hits WHERE hits >= 3 GROUP BY file, sheet),
+names AS (SELECT nb.file, nb.sheet, col_idx, {strip_sql('value')} AS name FROM nb JOIN hdr ON nb.file = hdr.file
+          AND nb.sheet = hdr.sheet WHERE row_idx = header_row AND {strip_sql('value')} <> '')"""
+
+_ALIAS_ROWS = []
+for _canon, _aliases in [
+        ("voucher_date", ["憑單日期", "憑單日", "憑單日期(西元)", "單據日期"]),
+        ("voucher_no", ["憑單單號", "單據編號", "憑單編號", "單號", "發票號碼"]),
+        ("vendor_code", ["廠商代號"]),
+        ("vendor_name", ["廠商簡稱", "廠商名稱", "供應商名稱", "供應商"]),
+        ("term_code", ["付款條件代號"]),
+        ("term_name", ["付款條件名稱", "付款條件", "付款條件說明"]),
+        ("planned_pay_date", ["預計付款日", "應付日期", "付款日期"]),
+        ("cash_date", ["預計兌現日"]),
+        ("amount", ["本幣貨款金額", "本幣金額", "金額(本幣)", "金額本幣", "金額"])]:
+    for _p, _a in enumerate(_aliases):
+        _ALIAS_ROWS.append(f"('{_a}', '{_canon}', {_p})")
+_ALIASES = ", ".join(_ALIAS_ROWS)
+
+_NUM = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{84}\x{86}-\x{9F}\x{FDD0}-\x{FDEF}\x{FFFE}\x{FFFF}]"
+
+
+def sheet_date_sql(e: str) -> str:
+    d = strip_sql(e)
+    serial = f"floor(TRY_CAST({d} AS DOUBLE))"
+    return (f"coalesce(CAST(try_strptime({d}, '%Y/%m/%d') AS DATE), CAST(try_strptime({d}, '%Y-%m-%d') AS DATE), "
+            f"CAST(try_strptime({d}, '%Y/%m/%d %H:%M:%S') AS DATE), CAST(try_strptime({d}, '%Y-%m-%d %H:%M:%S') AS DATE), "
+            f"CASE WHEN regexp_full_match({d}, '{_NUM}') AND {serial} BETWEEN 1 AND 2958465 "
+            f"THEN DATE '1899-12-30' + CAST({serial} AS INTEGER) END)")
+
+
+def number_sql(e: str) -> str:
+    s = strip_sql(f"replace({e}, ',', '')")
+    return f"CASE WHEN regexp_full_match({s}, '{_NUM}') THEN TRY_CAST({s} AS DOUBLE) END"
+
+
+def clean_cell_sql(e: str) -> str:
+    return f"substring(regexp_replace({e}, '{_ILLEGAL}', '', 'g'), 1, 32767)"
+
+
+_CANON = ["voucher_date", "voucher_no", "vendor_code", "vendor_name", "term_code", "term_name",
+          "planned_pay_date", "cash_date", "amount"]
+CONSOLIDATED = f"""
+aliases AS (SELECT * FROM (VALUES {_ALIASES}) t(alias, canonical, priority)),
+picked AS (SELECT file, sheet, canonical, col_idx FROM (
+  SELECT names.file, names.sheet, canonical, col_idx,
+   row_number() OVER (PARTITION BY names.file, names.sheet, canonical ORDER BY priority, col_idx) AS rn
+  FROM names JOIN aliases ON names.name = aliases.alias) x WHERE rn = 1),
+colmap AS (SELECT * FROM picked UNION ALL
+  SELECT file, sheet, 'voucher_date', 1 FROM hdr WHERE NOT EXISTS (
+   SELECT 1 FROM picked p WHERE p.file = hdr.file AND p.sheet = hdr.sheet AND p.canonical = 'voucher_date')),
+body AS (SELECT nb.file, nb.sheet, nb.row_idx, nb.col_idx, nb.value FROM nb JOIN hdr ON nb.file = hdr.file
+         AND nb.sheet = hdr.sheet WHERE row_idx > header_row),
+wide AS (SELECT b.file, b.sheet, b.row_idx,
+  {", ".join(f"max(CASE WHEN m.canonical = '{c}' THEN b.value END) AS {c}" for c in _CANON)}
+  FROM body b LEFT JOIN colmap m ON b.file = m.file AND b.sheet = m.sheet AND b.col_idx = m.col_idx
+  GROUP BY b.file, b.sheet, b.row_idx),
+marked AS (SELECT *, CASE WHEN {strip_sql('voucher_date')} IN ('', 'nan', 'NaT') THEN NULL
+  ELSE {strip_sql('voucher_date')} END AS dt FROM wide),
+filled AS (SELECT *, last_value(dt IGNORE NULLS) OVER (PARTITION BY file, sheet ORDER BY row_idx
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dtext FROM marked),
+consolidated AS (
+ SELECT {sheet_date_sql('dtext')} AS voucher_date,
+  {", ".join(f"{clean_cell_sql(c)} AS {c}" for c in ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_name"])},
+  {sheet_date_sql('planned_pay_date')} AS planned_pay_date, {sheet_date_sql('cash_date')} AS cash_date,
+  {number_sql('amount')} AS amount,
+  CAST(NULL AS VARCHAR) AS source_folder, file AS source_file, sheet AS sheet_name, row_idx AS source_row
+ FROM filled WHERE {sheet_date_sql('dtext')} IS NOT NULL)"""
+
+_SPEND_NORM = ["付款條件名稱", "付款條件", "付款條件代碼名稱", "付款條件說明", "paymentterms", "paymentterm", "terms",
+               "termname", "paymenttermsname", "本幣貨款金額", "本幣金額", "本幣金額小計", "金額(本幣)", "金額本幣",
+               "金額", "twd", "amounttwd", "amount(twd)", "amountntd", "ntdamount", "localamount", "amount",
+               "amountlocal"]
+
+
+def _norm_name_py(s: str) -> str:
+    s = s.strip().lower()
+    for ch in " _-()（）[]【】:：":
+        s = s.replace(ch, "")
+    return s
+
+
+_SPEND_KEYS = ", ".join(sorted({f"'{_norm_name_py(a)}'" for a in _SPEND_NORM}))
+
+ORACLE.update({
+    "cells_header": with_ctes(CELLS, HEADERS) + "SELECT file, sheet, header_row FROM hdr",
+    "cells_header_alias": with_ctes(CELLS) + f"""
+SELECT file, sheet, min(row_idx) AS header_row FROM nb
+WHERE regexp_replace(lower({strip_sql('value')}), '[ _\\-()（）\\[\\]【】:：]', '', 'g') IN ({_SPEND_KEYS})
+GROUP BY file, sheet""",
+    "cells_table": with_ctes(CELLS, HEADERS) + """
+SELECT nb.file, nb.sheet, nb.row_idx, nb.col_idx, nb.value, names.name AS column_name
+FROM nb JOIN hdr ON nb.file = hdr.file AND nb.sheet = hdr.sheet
+LEFT JOIN names ON nb.file = names.file AND nb.sheet = names.sheet AND nb.col_idx = names.col_idx
+WHERE nb.row_idx > hdr.header_row""",
+    "consolidated": with_ctes(CELLS, HEADERS, CONSOLIDATED) + "SELECT * FROM consolidated",
+    "consolidated_file_log": with_ctes(CELLS, HEADERS, CONSOLIDATED) + """
+SELECT source_folder, source_file, sheet_name, count(*) AS rows FROM consolidated
+GROUP BY source_folder, source_file, sheet_name""",
+    "consolidated_errors": with_ctes(CELLS, HEADERS) + """
+SELECT DISTINCT file, sheet, 'header row not found' AS error FROM cells c
+WHERE NOT EXISTS (SELECT 1 FROM hdr WHERE hdr.file = c.file AND hdr.sheet = c.sheet)""",
+})

@@ -83,13 +83,28 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     header row (missing in one sheet), sparse dates in three layouts, amounts with
     thousands separators and subtotal rows."""
     rows = sheet_rows(spark, sf_dir)
-    sheets = rows.select("file", "sheet", "c_nationkey").distinct()
-    with_header = sheets.where(F.col("c_nationkey") != 24)
-
-    def cell(df, row_idx, col_idx, value):
-        return df.select("file", "sheet", row_idx.cast("long").alias("row_idx"),
-                         F.lit(col_idx).cast("int").alias("col_idx"), value.cast("string").alias("value"))
-
+    c = read_table(spark, sf_dir, "customer").select("c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    sheets = (c.join(n, c.c_nationkey == n.n_nationkey)
+              .select(F.concat(F.lit("book"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
+                      F.col("n_name").alias("sheet"), "c_nationkey")
+              .distinct())
+    nk = F.col("c_nationkey")
+    has_header = nk != 24
+
+    def cell(row_idx, col_idx, value, keep=F.lit(True)):
+        return F.when(keep, F.struct(F.lit(row_idx).cast("long").alias("row_idx") if isinstance(row_idx, int)
+                                     else row_idx.cast("long").alias("row_idx"),
+                                     F.lit(col_idx).cast("int").alias("col_idx"),
+                                     value.cast("string").alias("value")))
+
+    title_and_header = [
+        cell(0, 0, F.lit("Voucher report")),
+        cell(HEADER_ROW, 0, F.when(nk % 2 == 0, F.lit("憑單日期")).otherwise(F.lit("單據日期")), has_header),
+        cell(HEADER_ROW, 1, F.lit("憑單單號"), has_header),
+        cell(HEADER_ROW, 2, F.lit(" 廠商簡稱 "), has_header),
+        cell(HEADER_ROW, 3, F.lit("金額"), has_header),
+    ]
     ck = F.col("c_custkey")
     date_text = (F.when(ck % 3 == 0, F.concat(F.lit("2024/"), (ck % 12 + 1).cast("string"), F.lit("/"),
                                                (ck % 28 + 1).cast("string")))
@@ -97,22 +112,19 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (ck % 28 + 1).cast("string")))
                  .otherwise((F.lit(45292) + ck).cast("string")))
     data_row = F.col("rn") + HEADER_ROW
-    parts = [
-        cell(sheets, F.lit(0), 0, F.lit("Voucher report")),
-        cell(with_header, F.lit(HEADER_ROW), 0,
-             F.when(F.col("c_nationkey") % 2 == 0, F.lit("憑單日期")).otherwise(F.lit("單據日期"))),
-        cell(with_header, F.lit(HEADER_ROW), 1, F.lit("憑單單號")),
-        cell(with_header, F.lit(HEADER_ROW), 2, F.lit(" 廠商簡稱 ")),
-        cell(with_header, F.lit(HEADER_ROW), 3, F.lit("金額")),
-        cell(rows.where(F.col("rn") % 3 == 1), data_row, 0, date_text),
-        cell(rows, data_row, 1, F.concat(F.lit("C"), ck.cast("string"))),
-        cell(rows, data_row, 2, F.when(F.col("rn") % 10 == 0, F.lit(" 小結:")).otherwise(F.col("c_name"))),
-        cell(rows, data_row, 3, F.concat((ck % 900 + 1).cast("string"), F.lit(",500.25"))),
+    data = [
+        cell(data_row, 0, date_text, F.col("rn") % 3 == 1),
+        cell(data_row, 1, F.concat(F.lit("C"), ck.cast("string"))),
+        cell(data_row, 2, F.when(F.col("rn") % 10 == 0, F.lit(" 小結:")).otherwise(F.col("c_name"))),
+        cell(data_row, 3, F.concat((ck % 900 + 1).cast("string"), F.lit(",500.25"))),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def explode(df, parts):
+        # one pass over the input, several cells per input row; absent cells are nulls
+        return (df.select("file", "sheet", F.explode(F.array(*parts)).alias("_c"))
+                .where(F.col("_c").isNotNull()).select("file", "sheet", "_c.*"))
+
+    return explode(sheets, title_and_header).unionByName(explode(rows, data))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
