@@ -114,3 +114,9 @@ MAGNUS_B = 243.04
 EXTRACT_ROWS = 100
 EXTRACT_NULL_TEXT = "None"
 EXCLUDE_KEYWORDS = ["error"]
+
+# ---- fixed values: register probe grid ----------------------------------------------
+PROBE_UNITS = [0, 1, 255]
+PROBE_BASES = ["3x", "4x"]
+PROBE_WINDOWS = [(0, 16), (20, 16), (100, 16), (200, 16)]
+FUNCTION_BY_BASE = {"3x": 4, "4x": 3}

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, cells, consolidate, diff, spend
+from ..functions import registers as R
+from ..operators import audit, cells, consolidate, diff, frames, readings, spend
 from ..sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +154,72 @@ def consolidated_file_log(spark, sf_dir):
 @query("consolidated_errors")
 def consolidated_errors(spark, sf_dir):
     return consolidate.consolidate(_cells(spark, sf_dir)).errors
+
+
+# ---- register frames ----------------------------------------------------------------
+def _replies(spark, sf_dir):
+    return frames.decode_replies(fixtures.captured_frames(spark, sf_dir))
+
+
+@query("frame_crc")
+def frame_crc(spark, sf_dir):
+    f = fixtures.captured_frames(spark, sf_dir)
+    body = F.expr("substring(frame, 1, octet_length(frame) - 2)")
+    return f.select("event_id", R.crc16(R.byte_array(body)).alias("crc"),
+                    F.hex("frame").alias("frame_hex"), R.crc_ok(F.col("frame")).alias("crc_ok"))
+
+
+@query("frame_replies")
+def frame_replies(spark, sf_dir):
+    return _replies(spark, sf_dir).drop("registers")
+
+
+@query("frame_registers")
+def frame_registers(spark, sf_dir):
+    return frames.registers_long(_replies(spark, sf_dir))
+
+
+@query("frame_requests")
+def frame_requests(spark, sf_dir):
+    return frames.requests(fixtures.request_table(spark, sf_dir)).drop("request")
+
+
+@query("register_float")
+def register_float(spark, sf_dir):
+    return frames.register_blocks(_replies(spark, sf_dir), fixtures.probe_windows(spark, sf_dir))
+
+
+@query("probe_coverage")
+def probe_coverage(spark, sf_dir):
+    return frames.probe_coverage(frames.register_blocks(_replies(spark, sf_dir),
+                                                        fixtures.probe_windows(spark, sf_dir)))
+
+
+# ---- sensor readings ----------------------------------------------------------------
+def _parsed(spark, sf_dir):
+    return readings.parse_replies(fixtures.readings(spark, sf_dir))
+
+
+@query("readings_parsed")
+def readings_parsed(spark, sf_dir):
+    return readings.good(_parsed(spark, sf_dir))
+
+
+@query("readings_parsed_rdd")
+def readings_parsed_rdd(spark, sf_dir):
+    return readings.good(readings.parse_replies(fixtures.readings(spark, sf_dir), variant="B"))
+
+
+@query("readings_rejected")
+def readings_rejected(spark, sf_dir):
+    return readings.rejected(_parsed(spark, sf_dir))
+
+
+@query("readings_stats")
+def readings_stats(spark, sf_dir):
+    return readings.stats(readings.good(_parsed(spark, sf_dir)))
+
+
+@query("readings_dew_point")
+def readings_dew_point(spark, sf_dir):
+    return readings.with_dew_point(readings.good(_parsed(spark, sf_dir)).select("event_id", "ts", "rh", "temp_c"))

@@ -354,3 +354,129 @@ GROUP BY source_folder, source_file, sheet_name""",
 SELECT DISTINCT file, sheet, 'header row not found' AS error FROM cells c
 WHERE NOT EXISTS (SELECT 1 FROM hdr WHERE hdr.file = c.file AND hdr.sheet = c.sheet)""",
 })
+
+
+# ---- register frames ----------------------------------------------------------------
+_CRC_STEP = ("list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda c, j: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 40961) "
+             "ELSE c >> 1 END, xor(acc, x))")
+FRAMES = f"""
+frames AS (
+ SELECT event_id, ts, concat(lpad(hex(user_id % 247 + 1), 2, '0'),
+  CASE WHEN event_id % 40 = 0 THEN '8302' ELSE
+   concat('0304', lpad(hex(CAST(floor(value * 10) AS BIGINT) % 65536), 4, '0'),
+          CASE WHEN event_id % 25 = 0 THEN '' ELSE lpad(hex(event_id % 65536), 4, '0') END) END) AS body_hex
+ FROM events),
+fb AS (SELECT event_id, body_hex,
+  list_transform(range(0, length(body_hex) // 2), lambda i: CAST('0x' || substr(body_hex, 2 * i + 1, 2) AS INTEGER)) AS b
+ FROM frames),
+fc AS (SELECT *, list_reduce(b, lambda acc, x: {_CRC_STEP}, 65535) AS crc FROM fb),
+fr AS (SELECT event_id, body_hex, crc, b, len(b) + 2 AS n, b[1] AS address, b[2] AS function, b[3] AS cnt FROM fc),
+replies AS (
+ SELECT event_id, address, function, CASE WHEN (function & 128) = 0 THEN cnt END AS byte_count,
+  CASE WHEN n < 3 THEN 'short' WHEN (function & 128) > 0 THEN 'exception' WHEN n < cnt + 5 THEN 'short' ELSE 'ok' END AS status,
+  CASE WHEN (function & 128) > 0 THEN cnt END AS exception_code, b, cnt
+ FROM fr),
+regs AS (
+ SELECT event_id, address, function, list_transform(range(1, cnt // 2 + 1), lambda k: b[2 * k + 2] * 256 + b[2 * k + 3]) AS r
+ FROM replies WHERE status = 'ok'),
+windows AS (SELECT event_id, [0, 20, 100, 200][event_id % 4 + 1] AS start FROM events),
+blocks AS (
+ SELECT regs.event_id, address AS unit, CASE WHEN function = 4 THEN '3x' ELSE '4x' END AS base,
+  (CASE WHEN function = 4 THEN 30001 ELSE 40001 END) + start AS address_from,
+  (CASE WHEN function = 4 THEN 30001 ELSE 40001 END) + start + len(r) - 1 AS address_to,
+  array_to_string(list_slice(r, 1, 8), ' ') AS words, r
+ FROM regs JOIN windows ON regs.event_id = windows.event_id)"""
+
+_FLOAT = """CASE WHEN len(r) >= 2 THEN
+ (CASE WHEN ((r[2] * 65536 + r[1]) >> 31) & 1 = 1 THEN -1.0 ELSE 1.0 END) *
+ CASE WHEN ((r[2] * 65536 + r[1]) >> 23) & 255 = 255 THEN
+       CASE WHEN (r[2] * 65536 + r[1]) & 8388607 = 0 THEN 'inf'::DOUBLE ELSE 'nan'::DOUBLE END
+      WHEN ((r[2] * 65536 + r[1]) >> 23) & 255 = 0 THEN CAST((r[2] * 65536 + r[1]) & 8388607 AS DOUBLE) * pow(2.0, -149)
+      ELSE (1.0 + CAST((r[2] * 65536 + r[1]) & 8388607 AS DOUBLE) / 8388608.0)
+           * pow(2.0, (((r[2] * 65536 + r[1]) >> 23) & 255) - 127) END END"""
+
+_GRID = ", ".join(f"({u}, '{b}', {s}, 16)" for u in (0, 1, 255) for b in ("3x", "4x") for s in (0, 20, 100, 200))
+
+ORACLE.update({
+    "frame_crc": with_ctes(FRAMES) + """
+SELECT event_id, crc, upper(body_hex || lpad(hex(crc & 255), 2, '0') || lpad(hex(crc >> 8), 2, '0')) AS frame_hex,
+ true AS crc_ok FROM fc""",
+    "frame_replies": with_ctes(FRAMES) + """
+SELECT event_id, address, function, byte_count, status, exception_code FROM replies""",
+    "frame_registers": with_ctes(FRAMES) + """
+SELECT event_id, address, CAST(k AS INTEGER) AS reg_index, b[2 * k + 2] * 256 + b[2 * k + 3] AS value,
+ lower(hex(b[2 * k + 2] * 256 + b[2 * k + 3])) AS value_hex,
+ CAST((b[2 * k + 2] * 256 + b[2 * k + 3]) // 10 AS INTEGER) AS scaled_int,
+ (b[2 * k + 2] * 256 + b[2 * k + 3]) / 10.0 AS scaled
+FROM replies, range(1, cnt // 2 + 1) t(k) WHERE status = 'ok'""",
+    "frame_requests": """
+WITH rq AS (SELECT event_id, CAST(user_id % 247 + 1 AS INTEGER) AS address, 3 AS function,
+  [0, 20, 100, 200][event_id % 4 + 1] AS start, 2 AS count FROM events),
+rb AS (SELECT *, [address, function, start >> 8, start & 255, count >> 8, count & 255] AS b FROM rq),
+rc AS (SELECT *, list_reduce(b, lambda acc, x: """ + _CRC_STEP + """, 65535) AS crc FROM rb)
+SELECT event_id, address, function, start, count,
+ upper(lpad(hex(address), 2, '0') || lpad(hex(function), 2, '0') || lpad(hex(start), 4, '0') || lpad(hex(count), 4, '0')
+       || lpad(hex(crc & 255), 2, '0') || lpad(hex(crc >> 8), 2, '0')) AS request_hex
+FROM rc""",
+    "register_float": with_ctes(FRAMES) + f"""
+SELECT event_id, unit, base, address_from, address_to, words, {_FLOAT} AS float_swapped FROM blocks""",
+    "probe_coverage": with_ctes(FRAMES) + f"""
+, grid AS (SELECT * FROM (VALUES {_GRID}) g(unit, base, start, length)),
+reads AS (SELECT unit, base, address_from - CASE WHEN base = '3x' THEN 30001 ELSE 40001 END AS start, count(*) AS reads
+          FROM blocks GROUP BY ALL)
+SELECT grid.unit, grid.base, grid.start, length,
+ CASE WHEN grid.base = '3x' THEN 30001 ELSE 40001 END + grid.start AS address_from,
+ CASE WHEN grid.base = '3x' THEN 30001 ELSE 40001 END + grid.start + length - 1 AS address_to,
+ coalesce(reads, 0) AS reads, reads IS NOT NULL AS hit
+FROM grid LEFT JOIN reads ON grid.unit = reads.unit AND grid.base = reads.base AND grid.start = reads.start""",
+})
+
+
+# ---- sensor readings ----------------------------------------------------------------
+READINGS = """
+readings AS (
+ SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN '{H00rdd 1;--.--;}' ELSE
+  concat('{H00rdd 1;', CAST(CAST(30 + value % 60 AS DECIMAL(6,3)) AS VARCHAR), '; %rh;0;-;',
+         CAST(CAST(15 + user_id % 20 AS DECIMAL(6,3)) AS VARCHAR), ';  °C;0;HF5;000;]') END AS raw
+ FROM events)"""
+
+
+def _parsed_sql(variant: str) -> str:
+    text = "replace(replace(raw, '°C', 'degC'), '%rh', '%RH')"
+    after_space = f"CASE WHEN strpos({text}, ' ') > 0 THEN substr({text}, strpos({text}, ' ') + 1) ELSE {text} END"
+    if variant == "A":
+        payload = after_space
+    else:
+        payload = (f"CASE WHEN strpos({text}, 'rdd') > 0 THEN substr({text}, strpos({text}, 'rdd') + 3) "
+                   f"ELSE {after_space} END")
+    num = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+    return f"""
+p0 AS (SELECT event_id, ts, raw,
+  list_transform(string_split(trim({payload}, ' ]' || chr(13) || chr(10)), ';'), lambda q: {strip_sql('q')}) AS f
+ FROM readings),
+parsed AS (SELECT event_id, ts, raw,
+  CASE WHEN regexp_full_match(f[2], '{num}') THEN TRY_CAST(f[2] AS DOUBLE) END AS rh,
+  CASE WHEN regexp_full_match(f[6], '{num}') THEN TRY_CAST(f[6] AS DOUBLE) END AS temp_c,
+  f[3] AS rh_unit, f[5] AS trend, f[7] AS temp_unit, len(f) AS nf FROM p0),
+judged AS (SELECT *, CASE WHEN nf < 7 THEN 'too few fields' WHEN rh IS NULL OR temp_c IS NULL THEN 'not a number' END
+  AS reject_reason FROM parsed),
+good AS (SELECT event_id, ts, rh, temp_c, rh_unit, trend, temp_unit FROM judged WHERE reject_reason IS NULL)"""
+
+
+ORACLE.update({
+    "readings_parsed": with_ctes(READINGS, _parsed_sql("A")) + "SELECT * FROM good",
+    "readings_parsed_rdd": with_ctes(READINGS, _parsed_sql("B")) + "SELECT * FROM good",
+    "readings_rejected": with_ctes(READINGS, _parsed_sql("A")) + """
+SELECT event_id, ts, raw, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
+    "readings_stats": with_ctes(READINGS, _parsed_sql("A")) + """
+SELECT CAST(ts AS DATE) AS day, count(*) AS n,
+ CAST(sum(CAST(rh AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS rh_avg, min(rh) AS rh_min, max(rh) AS rh_max,
+ CAST(sum(CAST(temp_c AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS temp_c_avg, min(temp_c) AS temp_c_min,
+ max(temp_c) AS temp_c_max
+FROM good GROUP BY CAST(ts AS DATE)""",
+    "readings_dew_point": with_ctes(READINGS, _parsed_sql("A")) + """
+SELECT event_id, ts, rh, temp_c,
+ round(CASE WHEN rh > 0 THEN ((ln(rh / 100.0) + (temp_c * 17.625) / (temp_c + 243.04)) * 243.04)
+   / (17.625 - (ln(rh / 100.0) + (temp_c * 17.625) / (temp_c + 243.04))) END, 4) AS dew_point_c
+FROM good""",
+})

@@ -153,3 +153,30 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(_hex2(F.col("user_id") % 247 + 1, 2),
                     F.when(F.col("event_id") % 40 == 0, F.lit("8302")).otherwise(ok_body))
     return e.select("event_id", "ts", body.alias("body_hex"))
+
+
+# ---- fixed values: register windows of the probe (start address, length) -----------
+PROBE_WINDOW_STARTS = [0, 20, 100, 200]
+
+
+def captured_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured replies as binary frames: the body plus its CRC (low byte first)."""
+    from ..functions.registers import with_crc
+    return frames(spark, sf_dir).select("event_id", "ts", with_crc(F.unhex("body_hex")).alias("frame"))
+
+
+def probe_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start register of the request that produced each reply (one of the probe windows)."""
+    e = read_table(spark, sf_dir, "events").select("event_id")
+    starts = F.array(*[F.lit(s) for s in PROBE_WINDOW_STARTS])
+    return e.select("event_id", F.try_element_at(starts, (F.col("event_id") % 4 + 1).cast("int")).alias("start"))
+
+
+def request_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read request per event: unit, function 3 (holding registers), window, 2 words."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    starts = F.array(*[F.lit(s) for s in PROBE_WINDOW_STARTS])
+    return e.select("event_id", (F.col("user_id") % 247 + 1).cast("int").alias("address"),
+                    F.lit(3).alias("function"),
+                    F.try_element_at(starts, (F.col("event_id") % 4 + 1).cast("int")).alias("start"),
+                    F.lit(2).alias("count"))
