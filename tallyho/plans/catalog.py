@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates, text
 from ..functions import registers as R
-from ..operators import audit, cells, consolidate, diff, frames, readings, spend
+from ..operators import audit, cells, consolidate, diff, extract, frames, readings, spend
 from ..sources import fixtures
+from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,3 +225,50 @@ def readings_stats(spark, sf_dir):
 @query("readings_dew_point")
 def readings_dew_point(spark, sf_dir):
     return readings.with_dew_point(readings.good(_parsed(spark, sf_dir)).select("event_id", "ts", "rh", "temp_c"))
+
+
+# ---- extract, keyword list, incremental pick, latest file, cell text functions ------
+@query("extract_top")
+def extract_top(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    return extract.extract_top(o, ["o_orderkey"])
+
+
+@query("keyword_excluded")
+def keyword_excluded(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return extract.exclude_keywords(e, ["event_type"])
+
+
+@query("incremental_pick")
+def incremental_pick(spark, sf_dir):
+    return extract.incremental_pick(fixtures.sync_source(spark, sf_dir), fixtures.sync_manifest(spark, sf_dir))
+
+
+@query("latest_file")
+def latest_file(spark, sf_dir):
+    out = extract.latest_per_folder(fixtures.file_listing(spark, sf_dir))
+    return out.withColumn("file_ts", F.col("file_ts").cast("timestamp_ntz"))
+
+
+@query("clean_text")
+def clean_text(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    cell = text.clean_cell(F.col("text"))
+    report = text.clean_report_text(F.col("text"))
+    return d.select("doc_id", F.length(cell).alias("clean_len"), F.md5(cell).alias("clean_md5"),
+                    F.length(report).alias("report_len"), F.md5(report).alias("report_md5"))
+
+
+@query("parse_amount")
+def parse_amount(spark, sf_dir):
+    c = fixtures.cells(spark, sf_dir)
+    return c.select("file", "sheet", "row_idx", "col_idx", "value", text.parse_number(F.col("value")).alias("number"))
+
+
+@query("parse_dates")
+def parse_dates(spark, sf_dir):
+    c = fixtures.cells(spark, sf_dir)
+    return c.select("file", "sheet", "row_idx", "col_idx", "value",
+                    dates.sheet_date(F.col("value")).alias("sheet_date"),
+                    dates.lenient_date(F.col("value")).alias("lenient_date"))

@@ -480,3 +480,52 @@ SELECT event_id, ts, rh, temp_c,
    / (17.625 - (ln(rh / 100.0) + (temp_c * 17.625) / (temp_c + 243.04))) END, 4) AS dew_point_c
 FROM good""",
 })
+
+
+# ---- extract, keyword list, incremental pick, latest file, text functions -----------
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_C0 = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
+
+
+def lenient_date_sql(e: str) -> str:
+    d = f"translate({strip_sql(e)}, './', '--')"
+    fmts = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y%m%d", "%m-%d-%Y", "%d-%m-%Y"]
+    return "coalesce(" + ", ".join(f"CAST(try_strptime({d}, '{f}') AS DATE)" for f in fmts) + ")"
+
+
+ORACLE.update({
+    "extract_top": f"""
+SELECT *, concat_ws(chr(9), {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in _ORDER_COLS)}) AS line
+FROM orders ORDER BY o_orderkey LIMIT 100""",
+    "keyword_excluded": """
+SELECT event_id, ts, user_id, event_type, value FROM events WHERE NOT coalesce(contains(event_type, 'error'), false)""",
+    "incremental_pick": """
+WITH src AS (SELECT concat('O', CAST(o_orderkey AS VARCHAR)) AS name, o_orderdate AS mtime FROM orders),
+man AS (SELECT concat('O', CAST(o_orderkey AS VARCHAR)) AS name,
+  o_orderdate + CASE WHEN o_orderkey % 3 = 1 THEN INTERVAL '-1' DAY ELSE INTERVAL '1' DAY END AS mtime
+  FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT src.name, src.mtime, CASE WHEN man.mtime IS NULL THEN 'missing' ELSE 'newer' END AS reason
+FROM src LEFT JOIN man ON src.name = man.name WHERE man.mtime IS NULL OR src.mtime > man.mtime""",
+    "latest_file": r"""
+WITH l AS (
+ SELECT event_type AS folder,
+  concat(event_type, '/', CASE WHEN event_id % 7 = 0 THEN concat('report_', CAST(event_id AS VARCHAR), '.xlsx')
+    ELSE concat('TOTAL_', strftime(ts, '%Y%m%d_%H%M'), '.xlsx') END) AS path,
+  CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 HOUR ELSE ts END AS mtime
+ FROM events),
+t AS (SELECT folder, path, coalesce(
+  try_strptime(regexp_extract(path, 'TOTAL_(\d{8})_(\d{4})', 1) || regexp_extract(path, 'TOTAL_(\d{8})_(\d{4})', 2), '%Y%m%d%H%M'),
+  mtime) AS ts FROM l),
+r AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY ts DESC, path DESC) AS rn FROM t)
+SELECT folder, path AS latest_file, CAST(ts AS TIMESTAMP) AS file_ts FROM r WHERE rn = 1""",
+    "clean_text": f"""
+WITH c AS (SELECT doc_id, {clean_cell_sql('text')} AS cell,
+  coalesce(regexp_replace(text, '{_C0}', '', 'g'), '') AS report FROM documents)
+SELECT doc_id, CAST(length(cell) AS INTEGER) AS clean_len, md5(cell) AS clean_md5,
+ CAST(length(report) AS INTEGER) AS report_len, md5(report) AS report_md5 FROM c""",
+    "parse_amount": with_ctes(CELLS) + f"""
+SELECT file, sheet, row_idx, col_idx, value, {number_sql('value')} AS number FROM cells""",
+    "parse_dates": with_ctes(CELLS) + f"""
+SELECT file, sheet, row_idx, col_idx, value, {sheet_date_sql('value')} AS sheet_date,
+ {lenient_date_sql('value')} AS lenient_date FROM cells""",
+})

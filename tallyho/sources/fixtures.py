@@ -180,3 +180,30 @@ def request_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(3).alias("function"),
                     F.try_element_at(starts, (F.col("event_id") % 4 + 1).cast("int")).alias("start"),
                     F.lit(2).alias("count"))
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file listing (``folder, path, modificationTime``) over events: consolidation outputs
+    named ``TOTAL_yyyyMMdd_HHmm.xlsx`` in one folder per event type, every 7th file named
+    without a timestamp (its modification time an hour after the event)."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    name = (F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("report_"), F.col("event_id").cast("string"), F.lit(".xlsx")))
+            .otherwise(F.concat(F.lit("TOTAL_"), F.date_format("ts", "yyyyMMdd_HHmm"), F.lit(".xlsx"))))
+    mtime = F.when(F.col("event_id") % 7 == 0, F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
+    return e.select(F.col("event_type").alias("folder"),
+                    F.concat(F.col("event_type"), F.lit("/"), name).alias("path"),
+                    mtime.alias("modificationTime"))
+
+
+def sync_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return o.select(F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("name"),
+                    F.col("o_orderdate").alias("mtime"))
+
+
+def sync_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the target already has: two thirds of the orders, half of them older."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").where(F.col("o_orderkey") % 3 != 0)
+    shift = F.when(F.col("o_orderkey") % 3 == 1, F.expr("INTERVAL -1 DAY")).otherwise(F.expr("INTERVAL 1 DAY"))
+    return o.select(F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("name"),
+                    (F.col("o_orderdate") + shift).alias("mtime"))
