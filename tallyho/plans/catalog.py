@@ -272,3 +272,26 @@ def parse_dates(spark, sf_dir):
     return c.select("file", "sheet", "row_idx", "col_idx", "value",
                     dates.sheet_date(F.col("value")).alias("sheet_date"),
                     dates.lenient_date(F.col("value")).alias("lenient_date"))
+
+
+# ---- streaming ----------------------------------------------------------------------
+@query("readings_stream")
+def readings_stream(spark, sf_dir):
+    """The sensor log as a stream drained with availableNow; equals readings_parsed."""
+    import os
+
+    from ..sources.tables import table_path
+    from ..streaming import readings as stream
+
+    path = table_path(sf_dir, "events")
+    schema = read_table(spark, sf_dir, "events").schema
+    if os.path.isfile(path):
+        source = stream.reply_stream(spark, os.path.dirname(path), schema, file_glob=os.path.basename(path))
+    else:
+        source = stream.reply_stream(spark, path, schema)
+    parsed = stream.parsed_stream(fixtures.replies_from_events(source))
+    out = stream.scratch_path(spark, "readings-log")
+    query_ = stream.run_reading_log(parsed, out, stream.scratch_path(spark, "readings-ckpt"), trigger="once")
+    query_.awaitTermination()
+    return (spark.read.parquet(os.path.join(out, "good"))
+            .select("event_id", "ts", "rh", "temp_c", "rh_unit", "trend", "temp_unit"))

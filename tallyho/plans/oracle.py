@@ -529,3 +529,5 @@ SELECT file, sheet, row_idx, col_idx, value, {number_sql('value')} AS number FRO
 SELECT file, sheet, row_idx, col_idx, value, {sheet_date_sql('value')} AS sheet_date,
  {lenient_date_sql('value')} AS lenient_date FROM cells""",
 })
+
+ORACLE["readings_stream"] = ORACLE["readings_parsed"]

@@ -129,7 +129,12 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw humidity/temperature replies, one per event; every 50th is malformed."""
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return replies_from_events(read_table(spark, sf_dir, "events"))
+
+
+def replies_from_events(events: DataFrame) -> DataFrame:
+    """The reply text for each event row (works on a batch or a streaming DataFrame)."""
+    e = events.select("event_id", "ts", "user_id", "value")
     rh = (F.lit(30) + F.col("value") % 60).cast("decimal(6,3)").cast("string")
     temp = (F.lit(15) + F.col("user_id") % 20).cast("decimal(6,3)").cast("string")
     raw = (F.when(F.col("event_id") % 50 == 0, F.lit("{H00rdd 1;--.--;}"))
