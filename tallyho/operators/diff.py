@@ -78,13 +78,35 @@ class DiffResult:
     pairs: DataFrame
 
 
+# key types whose text form is injective, so grouping raw values equals grouping their
+# normalised text (strings are not: strip/lower-case can merge them; doubles have -0.0)
+_RAW_KEY_TYPES = ("tinyint", "smallint", "int", "bigint", "boolean", "date", "timestamp", "timestamp_ntz")
+
+
 def _numbered(df: DataFrame, keys: list[str], order: list[str], date_cols, case_insensitive) -> DataFrame:
     """Normalised rows plus their occurrence number within the key; the position inside
-    a key follows the raw (typed) values of ``order``."""
+    a key follows the raw (typed) values of ``order``.
+
+    The numbering shuffles the raw typed rows (narrower than their text form, and the
+    range sampler does not have to compute the normalisation); the text form is
+    computed afterwards.  Keys are normalised first only when raw grouping could differ.
+    """
+    dtypes = dict(df.dtypes)
     hidden = [f"_tly_o{i}" for i in range(len(order))]
-    both = df.select(*_normalised(df, date_cols, case_insensitive),
-                     *[F.col(f"`{c}`").alias(h) for c, h in zip(order, hidden)])
-    return occurrence_number(both, keys, hidden, out_col=OCC).drop(*hidden)
+    raw_keys = all(dtypes[k] in _RAW_KEY_TYPES or dtypes[k].startswith("decimal") for k in keys) \
+        and not set(keys) & set(date_cols)
+    if raw_keys:
+        staged = df.select(*[F.col(f"`{c}`") for c in df.columns],
+                           *[F.col(f"`{c}`").alias(h) for c, h in zip(order, hidden)])
+        numbered = occurrence_number(staged, keys, hidden, out_col=OCC)
+        return numbered.select(*_normalised(df, date_cols, case_insensitive), OCC)
+    norm_keys = [f"_tly_k{i}" for i in range(len(keys))]
+    normalised = {c: e for c, e in zip(df.columns, _normalised(df, date_cols, case_insensitive))}
+    staged = df.select(*[F.col(f"`{c}`") for c in df.columns],
+                       *[normalised[k].alias(nk) for k, nk in zip(keys, norm_keys)],
+                       *[F.col(f"`{c}`").alias(h) for c, h in zip(order, hidden)])
+    numbered = occurrence_number(staged, norm_keys, hidden, out_col=OCC)
+    return numbered.select(*_normalised(df, date_cols, case_insensitive), OCC)
 
 
 def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list[str] | None = None,
