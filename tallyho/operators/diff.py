@@ -176,17 +176,18 @@ def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False)
 
 
 def diff_summary(result: DiffResult, left_name: str = "left", right_name: str = "right") -> DataFrame:
-    """One-row summary; the three counts are scalar subqueries over the diff outputs."""
-    nl = result.only_left.select(F.count(F.lit(1))).scalar()
-    nr = result.only_right.select(F.count(F.lit(1))).scalar()
-    nd = result.cells.select(F.count(F.lit(1))).scalar()
-    spark = result.only_left.sparkSession
+    """One-row summary.  The three counts are one-row aggregates of the diff outputs,
+    joined in one plan (so the numbered sides are computed once and reused)."""
+    def count(df, name):
+        return F.broadcast(df.agg(F.count(F.lit(1)).alias(name)))
     keys_used = ", ".join(result.keys) if result.keys else config.NO_KEYS_LABEL
-    return spark.range(1).select(
-        F.lit(left_name).alias("left_table"), F.lit(right_name).alias("right_table"),
-        F.lit(keys_used).alias("keys_used"),
-        ((nl == 0) & (nr == 0) & (nd == 0)).alias("same"),
-        nl.alias("only_in_left_rows"), nr.alias("only_in_right_rows"), nd.alias("column_diff_rows"))
+    nl, nr, nd = F.col("only_in_left_rows"), F.col("only_in_right_rows"), F.col("column_diff_rows")
+    return (count(result.only_left, "only_in_left_rows")
+            .join(count(result.only_right, "only_in_right_rows"), how="inner", on=F.lit(True))
+            .join(count(result.cells, "column_diff_rows"), how="inner", on=F.lit(True))
+            .select(F.lit(left_name).alias("left_table"), F.lit(right_name).alias("right_table"),
+                    F.lit(keys_used).alias("keys_used"), ((nl == 0) & (nr == 0) & (nd == 0)).alias("same"),
+                    nl, nr, nd))
 
 
 def key_except_all(result: DiffResult) -> DataFrame:

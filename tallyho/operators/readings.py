@@ -55,7 +55,8 @@ def stats(readings: DataFrame, unit: str = "day", ts: str = "ts") -> DataFrame:
     Sums are exact decimals (three decimals, as the device prints them), so the means
     do not depend on the order rows are added in.
     """
-    bucket = (F.to_date(F.col(ts)) if unit == "day" else F.date_trunc(unit, F.col(ts))).alias(unit)
+    bucket = (F.to_date(F.col(ts)) if unit == "day"
+              else F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")).alias(unit)
     n = F.count(F.lit(1))
 
     def mean(c):

@@ -3,8 +3,8 @@
 terms.
 
 Plan shape: one partial/final hash aggregate per dimension; top-k is a distributed
-``TakeOrderedAndProject``; the grand total is a scalar subquery; the only broadcasts are
-the top-k / top-3 term lists, whose size is bounded by k.
+``TakeOrderedAndProject``; the grand total is a one-row aggregate joined back; the only
+broadcasts are that row and the top-k / top-3 term lists, whose size is bounded by k.
 """
 
 from __future__ import annotations
@@ -76,10 +76,17 @@ def _ranked(agg: DataFrame, dimension: str, k: int) -> DataFrame:
     return agg.orderBy(F.desc(AMOUNT), F.asc_nulls_last(dimension)).limit(k)
 
 
-def with_share(agg: DataFrame, total=None) -> DataFrame:
-    """A3: share of the grand total in percent (null when the total is 0)."""
-    total = total if total is not None else agg.select(F.sum(AMOUNT)).scalar()
-    return agg.withColumn("pct", F.try_divide(F.col(AMOUNT).cast("double") * 100.0, total.cast("double")))
+def with_share(agg: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """A3: share of the grand total in percent (null when the total is 0).
+
+    The total is a one-row aggregate joined back through a broadcast (bounded: one row);
+    it stays in the same plan as ``agg``, so their common input is computed once.
+    """
+    totals = totals if totals is not None else agg
+    one = F.broadcast(totals.agg(F.sum(AMOUNT).alias("_tly_total")))
+    return (agg.join(one, how="inner", on=F.lit(True))
+            .withColumn("pct", F.try_divide(F.col(AMOUNT).cast("double") * 100.0, F.col("_tly_total").cast("double")))
+            .drop("_tly_total"))
 
 
 def spend_by(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT,
@@ -108,8 +115,7 @@ def top_k_with_other(df: DataFrame, dimension: str = "term_name", k: int = confi
                                                F.lit(k + 1).alias("rank"))
     ranked = top.withColumn("rank", F.row_number().over(
         Window.orderBy(F.desc(AMOUNT), F.asc_nulls_last(dimension))))
-    total = rows.select(F.sum(AMOUNT)).scalar()
-    return (with_share(ranked.unionByName(other), total)
+    return (with_share(ranked.unionByName(other), agg)
             .select("rank", dimension, F.col(AMOUNT).cast("double").alias(AMOUNT), "pct"))
 
 
@@ -119,8 +125,7 @@ def top_terms(df: DataFrame, n: int = config.TOP_TERMS, dimension: str = "term_n
     rows = spend_rows(df, dimension, amount)
     agg = sum_by(rows, dimension)
     top = _ranked(agg, dimension, n)
-    total = rows.select(F.sum(AMOUNT)).scalar()
-    return (with_share(top, total)
+    return (with_share(top, agg)
             .withColumn("rank", F.row_number().over(Window.orderBy(F.desc(AMOUNT), F.asc_nulls_last(dimension))))
             .select("rank", dimension, F.col(AMOUNT).cast("double").alias(AMOUNT),
                     F.bround("pct", 1).alias("pct")))

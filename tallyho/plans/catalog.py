@@ -295,3 +295,49 @@ def readings_stream(spark, sf_dir):
     query_.awaitTermination()
     return (spark.read.parquet(os.path.join(out, "good"))
             .select("event_id", "ts", "rh", "temp_c", "rh_unit", "trend", "temp_unit"))
+
+
+# ---- more report tables and options -------------------------------------------------
+@query("audit_skipped")
+def audit_skipped(spark, sf_dir):
+    return audit.audit_report(_audited(spark, sf_dir))["skipped"]
+
+
+@query("audit_unsupported")
+def audit_unsupported(spark, sf_dir):
+    return audit.audit_report(_audited(spark, sf_dir))["unsupported"]
+
+
+@query("spend_consolidated_vendor")
+def spend_consolidated_vendor(spark, sf_dir):
+    """Spend by vendor over the consolidated sheets: subtotal rows (P2) are dropped."""
+    return spend.spend_by(consolidate.consolidate(_cells(spark, sf_dir)).table, "vendor_name")
+
+
+@query("spend_quality")
+def spend_quality(spark, sf_dir):
+    return spend.quality_counts(consolidate.consolidate(_cells(spark, sf_dir)).table, "vendor_name")
+
+
+@query("consolidated_sorted")
+def consolidated_sorted(spark, sf_dir):
+    return consolidate.ordered(consolidate.consolidate(_cells(spark, sf_dir)).table)
+
+
+@query("readings_window")
+def readings_window(spark, sf_dir):
+    """P12 + A12: hourly statistics inside a date range."""
+    good = readings.good(_parsed(spark, sf_dir))
+    return readings.stats(readings.in_range(good, "2024-01-08", "2024-01-15"), unit="hour")
+
+
+@query("diff_distinct_keys")
+def diff_distinct_keys(spark, sf_dir):
+    return fixtures.diff_left(spark, sf_dir).select(*fixtures.DIFF_KEYS).distinct()
+
+
+@query("diff_only_left_first")
+def diff_only_left_first(spark, sf_dir):
+    """T11 option: the first n rows of a key with n surplus rows (the original tool's choice)."""
+    return diff.diff_by_keys(fixtures.diff_left(spark, sf_dir), fixtures.diff_right(spark, sf_dir),
+                             fixtures.DIFF_KEYS, surplus="first").only_left

@@ -531,3 +531,52 @@ SELECT file, sheet, row_idx, col_idx, value, {sheet_date_sql('value')} AS sheet_
 })
 
 ORACLE["readings_stream"] = ORACLE["readings_parsed"]
+
+
+# ---- more report tables and options -------------------------------------------------
+def _report_sql(status: str) -> str:
+    cols = ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_name", "basis"]
+    cleaned = {c: f"coalesce(regexp_replace({c}, '{_C0}', '', 'g'), '') AS {c}" for c in cols}
+    sel = ", ".join([cleaned["voucher_no"], "doc_date", cleaned["vendor_code"], cleaned["vendor_name"],
+                     cleaned["term_code"], cleaned["term_name"], "planned_pay_date", "expected_pay_date",
+                     "days_diff", cleaned["basis"]])
+    return AUDIT + f"SELECT {sel} FROM audited WHERE audit_status = '{status}'"
+
+
+_TEXT_COLS = ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_name", "source_folder",
+              "source_file", "sheet_name"]
+_SUBTOTAL = " OR ".join(f"coalesce(starts_with({strip_sql(c)}, '小結'), false)" for c in _TEXT_COLS)
+_CONS = with_ctes(CELLS, HEADERS, CONSOLIDATED)
+
+ORACLE.update({
+    "audit_skipped": _report_sql("skipped"),
+    "audit_unsupported": _report_sql("unsupported"),
+    "spend_consolidated_vendor": _CONS + f"""
+, r AS (SELECT NULLIF({strip_sql('vendor_name')}, '') AS vendor_name, CAST(amount AS DECIMAL(18,2)) AS amount
+        FROM consolidated WHERE NOT ({_SUBTOTAL})),
+agg AS (SELECT vendor_name, sum(amount) AS amount FROM r WHERE amount IS NOT NULL AND vendor_name IS NOT NULL
+        GROUP BY vendor_name),
+s AS (SELECT vendor_name, CAST(amount AS DOUBLE) AS amount,
+      CAST(amount AS DOUBLE) * 100.0 / CAST((SELECT sum(amount) FROM agg) AS DOUBLE) AS pct FROM agg)
+SELECT vendor_name, amount, pct, CASE WHEN pct >= 2.0 THEN printf('%.1f%%', pct) ELSE '' END AS label FROM s""",
+    "spend_quality": _CONS + f"""
+SELECT count(*) AS rows, count(*) FILTER (WHERE {_SUBTOTAL}) AS subtotal_rows,
+ count(*) FILTER (WHERE NOT ({_SUBTOTAL}) AND (NULLIF({strip_sql('vendor_name')}, '') IS NULL OR amount IS NULL))
+  AS missing_category_or_amount
+FROM consolidated""",
+    "consolidated_sorted": _CONS + "SELECT * FROM consolidated",
+    "readings_window": with_ctes(READINGS, _parsed_sql("A")) + """
+SELECT date_trunc('hour', ts) AS hour, count(*) AS n,
+ CAST(sum(CAST(rh AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS rh_avg, min(rh) AS rh_min, max(rh) AS rh_max,
+ CAST(sum(CAST(temp_c AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS temp_c_avg, min(temp_c) AS temp_c_min,
+ max(temp_c) AS temp_c_max
+FROM good WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' GROUP BY date_trunc('hour', ts)""",
+    "diff_distinct_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey % 10 <> 0",
+    "diff_only_left_first": with_ctes(DIFF) + """
+, cl AS (SELECT l_orderkey, l_linenumber, count(*) AS nl FROM dl GROUP BY ALL),
+cr AS (SELECT l_orderkey, l_linenumber, count(*) AS nr FROM dr GROUP BY ALL)
+SELECT dl.l_orderkey, dl.l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_shipdate
+FROM dl JOIN cl ON dl.l_orderkey = cl.l_orderkey AND dl.l_linenumber = cl.l_linenumber
+LEFT JOIN cr ON dl.l_orderkey = cr.l_orderkey AND dl.l_linenumber = cr.l_linenumber
+WHERE dl.occ <= nl - coalesce(nr, 0)""",
+})

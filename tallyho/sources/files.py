@@ -74,10 +74,10 @@ def pick_sheet(cells: DataFrame, name: str | None = None) -> DataFrame:
         if cells.where(F.col("sheet") == name).isEmpty():
             raise ValueError(f"sheet {name!r} not found")
         return cells.where(F.col("sheet") == name)
-    first = cells.agg(F.min("sheet_idx")).scalar() if "sheet_idx" in cells.columns else None
-    if first is None:
+    if "sheet_idx" not in cells.columns:
         raise ValueError("picking the first sheet needs a sheet_idx column")
-    return cells.where(F.col("sheet_idx") == first)
+    # scalar subquery: the smallest sheet index, evaluated once by Spark
+    return cells.where(F.col("sheet_idx") == cells.agg(F.min("sheet_idx")).scalar())
 
 
 def previous_output_columns(spark: SparkSession, path: str) -> list[str] | None:
