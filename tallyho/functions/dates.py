@@ -63,7 +63,10 @@ def as_date(c, dtype: str) -> Column:
 
 
 def day_of_month(d, months_ahead, day: int) -> Column:
-    """The given day of the month ``months_ahead`` after the month of ``d``."""
+    """The given day of the month ``months_ahead`` after the month of ``d``.
+
+    Month arithmetic is ``add_months`` (D4: clamps to the month end, like the original);
+    month ends elsewhere are ``last_day`` (D6)."""
     return F.date_add(F.add_months(F.trunc(_col(d), "month"), months_ahead), day - 1)
 
 
@@ -105,6 +108,8 @@ def with_expected_pay_date(df: DataFrame, doc_date: str, term: str, vendor: str
     expression is evaluated once per row and stays small enough for code generation.
     """
     d = F.col(doc_date)
+    # terms are matched in full after removing ASCII spaces; J8/M12: the net-days ->
+    # months rule is a literal map looked up with try_element_at (null = not in the map)
     net = f"^{config.NET_DAYS_PREFIX}([0-9]+){config.NET_DAYS_SUFFIX}$"
     term_s = strip(F.col(term))
     staged = df.withColumns({

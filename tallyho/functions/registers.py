@@ -131,3 +131,20 @@ def hex_word(value) -> Column:
 def decimal_dump(bytes_arr) -> Column:
     """bytes printed as signed decimals separated by spaces (C ``char`` printf)."""
     return F.array_join(F.transform(_col(bytes_arr), lambda b: F.when(b > 127, b - 256).otherwise(b).cast("string")), " ")
+
+
+# ---- F14: text / number conversions of the byte helpers (built-ins) -----------------
+def hex_text(bytes_col) -> Column:
+    """bytes as upper-case hex text."""
+    return F.hex(_col(bytes_col))
+
+
+def bytes_from_decimal_text(text) -> Column:
+    """'1 3 0 1' (decimal byte values separated by spaces) -> binary."""
+    parts = F.split(F.trim(_col(text)), " +")
+    return F.unhex(F.array_join(F.transform(parts, lambda p: F.lpad(F.hex(p.cast("int")), 2, "0")), ""))
+
+
+def octal_to_decimal(text) -> Column:
+    """octal text -> decimal number."""
+    return F.conv(_col(text), 8, 10).cast("long")

@@ -22,7 +22,8 @@ def _after(text: Column, sep: str) -> Column:
 
 
 def reply_fields(raw, variant: str = "A") -> Column:
-    """The trimmed ';'-separated fields of a reply's payload."""
+    """F7 / F8 + M11: the trimmed ';'-separated fields of a reply's payload as an array
+    (fields are read with ``try_element_at``)."""
     text = normalise_units(F.col(raw) if isinstance(raw, str) else raw)
     if variant == "A":
         payload = _after(text, " ")

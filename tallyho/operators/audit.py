@@ -6,6 +6,8 @@ Every step is a column expression or one aggregation; nothing is per-row Python.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +78,7 @@ def audit_payments(df: DataFrame) -> DataFrame:
     # keeps report filters on audit_status above the rule evaluation: pushed below it,
     # Catalyst would inline the whole rule chain into the join condition once per reference.
     s = F.col("audit_status")
-    return audited.observe("payment_audit",
+    return audited.observe(f"payment_audit_{uuid.uuid4().hex[:8]}",
                            F.count(F.lit(1)).alias("rows"),
                            F.count_if(s == STATUS_MISMATCH).alias("mismatches"),
                            F.count_if(s == STATUS_UNSUPPORTED).alias("unsupported"))

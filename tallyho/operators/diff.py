@@ -199,3 +199,11 @@ def key_except_all(result: DiffResult) -> DataFrame:
 def key_intersect_all(result: DiffResult) -> DataFrame:
     """Multiset intersection of the key columns -- one row per paired occurrence."""
     return result.pairs.select(*result.keys)
+
+
+def diff_report(result: DiffResult, left_name: str = "left", right_name: str = "right") -> dict[str, DataFrame]:
+    """K3: the diff report tables (write them with ``sinks.writers.write_report``);
+    the cell table is left out when it is empty, as in the original."""
+    return {"summary": diff_summary(result, left_name, right_name),
+            "only_in_left": result.only_left, "only_in_right": result.only_right,
+            "column_diff": result.cells}

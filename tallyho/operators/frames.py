@@ -6,6 +6,8 @@ aggregate; the byte work is in ``functions.registers``.
 
 from __future__ import annotations
 
+import uuid
+
 import itertools
 
 from pyspark.sql import DataFrame
@@ -49,7 +51,7 @@ def decode_replies(frames: DataFrame, frame_col: str = "frame", keep=("event_id"
     # per-status counters ride along; the node also keeps status filters from being
     # pushed below (and re-inlining) the byte-level expressions
     s = F.col("status")
-    return decoded.observe("frame_decode", F.count(F.lit(1)).alias("frames"),
+    return decoded.observe(f"frame_decode_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("frames"),
                            F.count_if(s == STATUS_OK).alias("ok"), F.count_if(s == STATUS_SHORT).alias("short"),
                            F.count_if(s == STATUS_EXCEPTION).alias("exception"),
                            F.count_if(s == STATUS_BAD_CRC).alias("bad_crc"))

@@ -154,16 +154,14 @@ def fill_down(df: DataFrame, partition_cols: list[str], position_col: str, value
     w_local = (Window.partitionBy(*partition_cols, block).orderBy(position_col)
                .rowsBetween(Window.unboundedPreceding, 0))
     local = with_block.withColumn("_tly_local", F.last(value_col, ignorenulls=True).over(w_local))
-    # last non-null value of every block (partial aggregation; one row per group and block)
-    block_last = (with_block.where(F.col(value_col).isNotNull())
-                  .groupBy(*partition_cols, block)
-                  .agg(F.max_by(value_col, position_col).alias("_tly_block_last")))
+    # one row per (group, block): the block's last non-null value, or null when the block
+    # has none (max_by ignores rows whose ordering value is null); partial aggregation
+    per_block = (with_block.groupBy(*partition_cols, block)
+                 .agg(F.max_by(value_col, F.when(F.col(value_col).isNotNull(), F.col(position_col)))
+                      .alias("_tly_block_last")))
     w_blocks = (Window.partitionBy(*partition_cols).orderBy(block)
                 .rowsBetween(Window.unboundedPreceding, -1))
-    # all blocks that have rows, so that blocks without any value also get a carry
-    blocks = with_block.select(*partition_cols, block).distinct()
-    carry = (blocks.join(block_last, [*partition_cols, block], "left")
-             .withColumn("_tly_carry_in", F.last("_tly_block_last", ignorenulls=True).over(w_blocks))
+    carry = (per_block.withColumn("_tly_carry_in", F.last("_tly_block_last", ignorenulls=True).over(w_blocks))
              .select(*partition_cols, block, "_tly_carry_in"))
     joined = local.join(carry, [*partition_cols, block], "left")
     result = joined.withColumn(out_col, F.coalesce(F.col("_tly_local"), F.col("_tly_carry_in")))

@@ -165,7 +165,7 @@ PROBE_WINDOW_STARTS = [0, 20, 100, 200]
 
 
 def captured_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured replies as binary frames: the body plus its CRC (low byte first)."""
+    """Captured replies as binary frames -- the body plus its CRC (low byte first)."""
     from ..functions.registers import with_crc
     return frames(spark, sf_dir).select("event_id", "ts", with_crc(F.unhex("body_hex")).alias("frame"))
 

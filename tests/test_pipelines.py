@@ -105,3 +105,15 @@ def test_sinks(spark):
     writers.append_run_log(spark, os.path.join(root, "log"), "done", rows=2)
     line = writers.format_log_lines(spark.read.parquet(os.path.join(root, "log"))).first().line
     assert line.endswith("] done")
+
+
+def test_diff_report_written(spark):
+    from tallyho.operators import diff
+    from tallyho.sinks import writers
+    left = spark.createDataFrame([("k", "1"), ("m", "3")], "key string, v string")
+    right = spark.createDataFrame([("k", "2")], "key string, v string")
+    tables = diff.diff_report(diff.diff_by_keys(left, right, ["key"]))
+    root = tempfile.mkdtemp(prefix="tallyho-diff-")
+    paths = writers.write_report(tables, root, run_ts="r1", skip_empty=("column_diff",))
+    assert set(paths) == {"summary", "only_in_left", "only_in_right", "column_diff"}
+    assert spark.read.parquet(paths["column_diff"]).count() == 1

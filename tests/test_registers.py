@@ -58,3 +58,10 @@ def test_parse_replies(spark):
     assert bad == {3: "too few fields", 4: "not a number"}
     dew = readings.with_dew_point(readings.good(parsed)).where("event_id = 1").first().dew_point_c
     assert 15.0 < dew < 16.0
+
+
+def test_f14_helpers(spark):
+    df = spark.createDataFrame([("1 3 0 1", "17")], "d string, o string")
+    r = df.select(R.hex_text(R.bytes_from_decimal_text(F.col("d"))).alias("h"),
+                  R.octal_to_decimal(F.col("o")).alias("n")).first()
+    assert (r.h, r.n) == ("01030001", 15)
