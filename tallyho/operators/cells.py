@@ -54,8 +54,10 @@ def missing_header_errors(cells: DataFrame, headers: DataFrame) -> DataFrame:
 def header_cells(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """The header row's cells as ``file, sheet, col_idx, name`` (names stripped, H8;
     blank names dropped, T22)."""
-    return (non_blank(cells).join(headers, SHEET)
-            .where(F.col("row_idx") == F.col("header_row"))
+    # equi-join on the header row itself: the join key is row-level, so a very large sheet
+    # is not one join key
+    at_header = headers.select(*SHEET, F.col("header_row").alias("row_idx"))
+    return (non_blank(cells).join(at_header, [*SHEET, "row_idx"])
             .select(*SHEET, "col_idx", strip(F.col("value")).alias("name"))
             .where(F.col("name") != ""))
 

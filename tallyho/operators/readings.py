@@ -4,6 +4,8 @@ functions (see ``streaming.readings``)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +23,18 @@ def parse_replies(replies: DataFrame, raw: str = "raw", variant: str = "A") -> D
     temp = field_number(f, config.REPLY_TEMP_FIELD)
     reason = (F.when(F.size(f) < config.REPLY_MIN_FIELDS, F.lit("too few fields"))
               .when(rh.isNull() | temp.isNull(), F.lit("not a number")))
-    return (staged.withColumns({
+    parsed = (staged.withColumns({
         "rh": rh, "temp_c": temp,
         "rh_unit": F.try_element_at(f, F.lit(config.REPLY_RH_FIELD + 2)),
         "trend": F.try_element_at(f, F.lit(config.REPLY_TREND_FIELD + 1)),
         "temp_unit": F.try_element_at(f, F.lit(config.REPLY_TEMP_FIELD + 2)),
         "reject_reason": reason})
         .drop("_tly_f"))
+    # R2: good / rejected counts are published with the query (also per micro-batch in a
+    # stream's progress); the node keeps the reject filter from re-parsing in the scan
+    bad = F.col("reject_reason").isNotNull()
+    return parsed.observe(f"reply_parse_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("replies"),
+                          F.count_if(bad).alias("rejected"))
 
 
 def good(parsed: DataFrame, keep=("event_id", "ts")) -> DataFrame:

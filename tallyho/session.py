@@ -44,7 +44,10 @@ def ship_package(spark: SparkSession) -> None:
     so the workers need the package; on a cluster this is how it reaches every executor.
     Done once per SparkContext.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session manages its own artifacts
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return
@@ -70,7 +73,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "4g"))
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.default.parallelism", str(parts))
     )
@@ -91,10 +94,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     and tests -- a fresh scratch folder is created and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="tallyho-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    path = current or tempfile.mkdtemp(prefix="tallyho-ckpt-")
+    if not current:
+        spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # remote sessions: DataFrame.checkpoint uses the conf directly
+        pass
     return path
