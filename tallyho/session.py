@@ -24,6 +24,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a grid position written twice must not fail the per-row cell map (last one wins)
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
