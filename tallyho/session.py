@@ -105,3 +105,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # remote sessions: DataFrame.checkpoint uses the conf directly
         pass
     return path
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 128 << 20,
+                   expansion: float = 2.0, min_partitions: int = 200) -> int:
+    """Set shuffle partitions so that a shuffle partition holds about ``target_partition_bytes``
+    of the data after decoding (``expansion`` x the compressed input); also align file
+    splits and AQE's advisory size.  Returns the partition count.
+
+    100 TB of input gives ~1.6 million initial shuffle partitions, which AQE then coalesces
+    to the measured sizes; skewed partitions are split by AQE's skew-join handling.
+    """
+    parts = max(min_partitions, int(input_bytes * expansion // target_partition_bytes) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
+    return parts

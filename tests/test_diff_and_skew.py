@@ -72,3 +72,16 @@ def test_fill_down_blocks(spark):
     w = Window.partitionBy("g").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("f", F.last("v", ignorenulls=True).over(w))
     assert sorted(map(tuple, got.select("g", "pos", "f").collect())) == sorted(map(tuple, want.select("g", "pos", "f").collect()))
+
+
+def test_occurrence_number_without_exchange_reuse(spark):
+    """With exchange reuse off, the sorted rows are checkpointed so both passes agree."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 2000).select((F.col("id") % 3).alias("k"), (F.col("id") % 17).alias("o"))
+        got = occurrence_number(df, ["k"], ["o"], num_partitions=9)
+        check = got.groupBy("k").agg(F.count("*").alias("n"), F.max("occ").alias("hi"),
+                                     F.countDistinct("occ").alias("d"))
+        assert check.where("hi != n OR d != n").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
