@@ -24,23 +24,34 @@ def at(arr, i) -> Column:
 
 def byte_array(frame) -> Column:
     """Unsigned bytes of a binary column as ``array<int>`` (empty for an empty frame)."""
-    b = _col(frame)
-    n = F.octet_length(b)
-    h = F.hex(b)
-    idx = F.sequence(F.lit(0), n - 1)
-    arr = F.transform(idx, lambda i: F.conv(h.substr(i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
-    return F.when(n > 0, arr).otherwise(F.array().cast("array<int>"))
+    # hex once per frame, cut into two-character pairs, each pair read as a number
+    pairs = F.regexp_extract_all(F.hex(_col(frame)), F.lit("[0-9A-F]{2}"), F.lit(0))
+    return F.transform(pairs, lambda p: F.conv(p, 16, 10).cast("int"))
+
+
+def _crc_table(poly: int) -> list[int]:
+    """CRC of every single byte value under the reflected polynomial (256 entries, derived
+    from the polynomial, so the per-byte update needs one lookup instead of 8 shifts)."""
+    table = []
+    for value in range(256):
+        c = value
+        for _ in range(8):
+            c = (c >> 1) ^ poly if c & 1 else c >> 1
+        table.append(c)
+    return table
+
+
+_CRC_TABLE = _crc_table(config.CRC_POLY_REFLECTED)
 
 
 def crc16(bytes_arr) -> Column:
-    """M2: CRC-16 (initial 0xFFFF, reflected polynomial 0xA001) of an ``array<int>``."""
-    poly = F.lit(config.CRC_POLY_REFLECTED)
+    """M2: CRC-16 (initial 0xFFFF, reflected polynomial 0xA001) of an ``array<int>``,
+    table-driven: ``crc = (crc >> 8) ^ table[(crc ^ byte) & 0xFF]`` per byte."""
+    table = F.array(*[F.lit(v) for v in _CRC_TABLE])
 
     def step(crc, b):
-        return F.aggregate(F.sequence(F.lit(1), F.lit(8)), crc.bitwiseXOR(b),
-                           lambda c, _j: F.when((c.bitwiseAND(F.lit(1))) == 1,
-                                                F.shiftright(c, 1).bitwiseXOR(poly))
-                           .otherwise(F.shiftright(c, 1)))
+        idx = crc.bitwiseXOR(b).bitwiseAND(F.lit(0xFF)) + 1
+        return F.shiftright(crc, 8).bitwiseXOR(F.element_at(table, idx))
     return F.aggregate(_col(bytes_arr), F.lit(config.CRC_INIT), step)
 
 
@@ -53,17 +64,17 @@ def with_crc(body) -> Column:
 
 
 def crc_ok(frame) -> Column:
-    """M8: the CRC of all but the last two bytes equals the little-endian tail."""
-    return crc_ok_bytes(byte_array(frame))
+    """M8: the CRC of all but the last two bytes equals the little-endian tail.
+
+    Checked in one pass: for this CRC (reflected, no final XOR) the CRC over the body
+    followed by its CRC, low byte first, is zero exactly when the tail matches."""
+    return F.when(F.octet_length(_col(frame)) >= 3, crc16(byte_array(frame)) == 0).otherwise(F.lit(False))
 
 
 def crc_ok_bytes(bytes_arr) -> Column:
     """M8 on a frame already split into bytes."""
     arr = _col(bytes_arr)
-    n = F.size(arr)
-    body = F.slice(arr, 1, n - 2)
-    tail = at(arr, n - 1) + at(arr, n) * 256
-    return F.when(n >= 3, crc16(body) == tail).otherwise(F.lit(False))
+    return F.when(F.size(arr) >= 3, crc16(arr) == 0).otherwise(F.lit(False))
 
 
 def read_request(address, function, start, count) -> Column:
