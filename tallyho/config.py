@@ -78,10 +78,13 @@ BLANK_TOKENS = ["", "nan", "nat"]
 # ---- fixed values: table diff -------------------------------------------------------
 # automatic key selection: from each group the first name present on both sides
 KEY_CANDIDATE_GROUPS = [
-    ["憑單單號", "憑單單", "憑單號", "憑單編號", "憑單No", "憑單NO", "單號", "單據號", "單據編號"],
+    ["憑單單", "憑單號", "憑單編號", "憑單No", "憑單NO", "單號", "單據號", "單據編號"],
     ["序號", "項次", "行號", "Line", "line"],
     ["供應商代碼", "廠商代碼", "廠商代碼(代號)", "廠商代號", "VendorCode"],
 ]
+# T13 (our addition): the voucher-number column of the consolidated table is tried first
+# in group 1, otherwise a consolidated table only ever gets the vendor code as key
+KEY_GROUP1_FIRST = ["憑單單號"]
 NO_KEYS_LABEL = "(none)"
 
 # ---- fixed values: file discovery ---------------------------------------------------

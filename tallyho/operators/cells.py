@@ -78,7 +78,8 @@ def alias_table(spark: SparkSession, canonical=config.CANONICAL_ALIASES) -> Data
 
 
 def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_ALIASES,
-               date_col: str = "voucher_date", date_fallback: int = config.DATE_FALLBACK_COL_IDX) -> DataFrame:
+               date_col: str | None = "voucher_date", date_fallback: int = config.DATE_FALLBACK_COL_IDX,
+               normalise: bool = False) -> DataFrame:
     """H7 across sheets: per sheet, the grid column of every canonical column -- the
     highest-priority alias present, first column for duplicates (T22); when no date alias
     is present the date comes from grid column ``date_fallback``.
@@ -88,7 +89,12 @@ def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_
     """
     spark = cells.sparkSession
     names = header_cells(cells, headers)
-    aliases = F.broadcast(alias_table(spark, canonical))
+    aliases = alias_table(spark, canonical)
+    if normalise:
+        # H6: compare normalised names (trim, lower case, punctuation removed)
+        names = names.withColumn("name", norm_name(F.col("name")))
+        aliases = aliases.withColumn("alias", norm_name(F.col("alias")))
+    aliases = F.broadcast(aliases)
     picked = (names.join(aliases, names["name"] == aliases["alias"])
               .groupBy(*SHEET, "canonical")
               .agg(F.min_by("col_idx", F.struct("priority", "col_idx")).alias("col_idx")))
@@ -96,6 +102,8 @@ def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_
                                            .alias("cols"))
     with_date = (headers.join(per_sheet, SHEET, "left")
                  .withColumn("cols", F.coalesce(F.col("cols"), F.create_map().cast("map<string,int>"))))
+    if date_col is None:
+        return with_date
     has_date = F.col("cols").getItem(date_col).isNotNull()
     fallback = F.map_concat(F.col("cols"), F.create_map(F.lit(date_col), F.lit(date_fallback)))
     return with_date.withColumn("cols", F.when(has_date, F.col("cols")).otherwise(fallback))

@@ -54,8 +54,10 @@ def normalise_for_diff(df: DataFrame, date_cols=(), case_insensitive: bool = Fal
 
 
 def pick_keys(left_cols: list[str], right_cols: list[str],
-              groups=config.KEY_CANDIDATE_GROUPS) -> tuple[list[str], list[str]]:
+              groups=None) -> tuple[list[str], list[str]]:
     """From each candidate group, the first name present on both sides (case-insensitive)."""
+    if groups is None:
+        groups = [config.KEY_GROUP1_FIRST + config.KEY_CANDIDATE_GROUPS[0], *config.KEY_CANDIDATE_GROUPS[1:]]
     lmap = {c.lower(): c for c in left_cols}
     rmap = {c.lower(): c for c in right_cols}
     lk, rk = [], []

@@ -15,14 +15,18 @@ from ..operators.extract import latest_per_folder
 
 
 def list_files(spark: SparkSession, root: str, extensions=config.WORKBOOK_EXTENSIONS, recursive: bool = False,
-               skip_prefixes=config.SKIP_FILE_PREFIXES, own_outputs=config.OWN_OUTPUT_PREFIXES) -> DataFrame:
-    """``path, folder, file_name, modificationTime, length`` of matching files under
-    ``root`` (immediate subfolders' files unless ``recursive``)."""
-    reader = spark.read.format("binaryFile")
+               skip_prefixes=config.SKIP_FILE_PREFIXES, own_outputs=config.OWN_OUTPUT_PREFIXES,
+               with_content: bool = False) -> DataFrame:
+    """``path, folder, file_name, modificationTime, length`` of matching files in the
+    immediate sub-folders of ``root`` (any depth if ``recursive``).  Extensions are
+    filtered while listing (``pathGlobFilter``); ``with_content`` adds the file bytes."""
+    glob = "*.{" + ",".join(sorted({e.lower() for e in extensions} | {e.upper() for e in extensions})) + "}"
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    pattern = root.rstrip("/") + ("" if recursive else "/*")
-    listing = reader.load(pattern).select("path", "modificationTime", "length")
+    pattern = root.rstrip("/") + ("" if recursive else "/*/*")
+    cols = ["path", "modificationTime", "length"] + (["content"] if with_content else [])
+    listing = reader.load(pattern).select(*cols)
     parts = F.split(F.col("path"), "/")
     name = F.element_at(parts, -1)
     ext = F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1))
@@ -30,7 +34,7 @@ def list_files(spark: SparkSession, root: str, extensions=config.WORKBOOK_EXTENS
     for p in list(skip_prefixes) + list(own_outputs):
         keep = keep & ~name.startswith(p)
     return listing.select("path", F.element_at(parts, -2).alias("folder"), name.alias("file_name"),
-                          "modificationTime", "length").where(keep)
+                          *[c for c in cols if c != "path"]).where(keep)
 
 
 def keep_folders(listing: DataFrame, excluded_names=config.EXCLUDED_DIR_NAMES,
