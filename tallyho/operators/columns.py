@@ -51,3 +51,17 @@ def require_columns(df: DataFrame, names: list[str], side: str = "") -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"{side + ': ' if side else ''}missing columns {missing}")
+
+
+def drop_empty_unnamed(df: DataFrame) -> DataFrame:
+    """H5 (only-if-empty variant): drop 'Unnamed*' columns that hold no value at all.
+
+    Emptiness of all such columns is measured in one aggregate (a single row reaches the
+    driver); the remaining columns are selected without touching the data again.
+    """
+    unnamed = [c for c in df.columns if str(c).startswith("Unnamed")]
+    if not unnamed:
+        return df
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(unnamed)]).first()
+    empty = {c for i, c in enumerate(unnamed) if counts[f"c{i}"] == 0}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in empty])

@@ -86,3 +86,21 @@ def record_runs(done: DataFrame, run_log_path: str, day: str = "day") -> None:
     """R5 + K8: append the processed days to the run table."""
     (done.select(day).distinct().withColumn("run_ts", F.current_timestamp())
      .write.mode("append").parquet(run_log_path))
+
+
+def catch_up(data: DataFrame, run_log_path: str, job, day: str = "day") -> DataFrame:
+    """Run ``job`` once over every day that has data but no entry in the run table,
+    then record those days.  Started late, one run processes all missed days together
+    (one job, not a loop); restarted, it skips what the run table already lists.
+
+    ``job`` receives the rows of the pending days and returns the DataFrame it produced.
+    """
+    spark = data.sparkSession
+    try:
+        done = spark.read.parquet(run_log_path).select(day)
+    except Exception:  # no run table yet: nothing has run
+        done = spark.createDataFrame([], data.select(day).schema)
+    pending = pending_days(data.select(day), done, day)
+    result = job(data.join(pending, day, "left_semi"))
+    record_runs(pending, run_log_path, day)
+    return result

@@ -135,3 +135,23 @@ def test_stream_continuous_trigger(spark):
     bad = spark.read.parquet(os.path.join(out, "rejected"))
     assert good.count() + bad.count() == read_table(spark, SF_SMALL, "events").count()
     assert bad.where("reject_reason = 'too few fields'").count() == bad.count() > 0
+
+
+def test_drop_unnamed_variants(spark):
+    from tallyho.operators.columns import align_to, drop_empty_unnamed, drop_unnamed, pick_column
+    df = spark.createDataFrame([(1, None, "x"), (2, None, None)], "a int, `Unnamed: 1` string, `Unnamed: 2` string")
+    assert drop_empty_unnamed(df).columns == ["a", "Unnamed: 2"]
+    assert drop_unnamed(df).columns == ["a"]
+    assert align_to(df.select("a"), ["b", "a"]).columns == ["b", "a"]
+    assert pick_column(["Amount (TWD)", "x"], ["amounttwd"], normalise=True) == "Amount (TWD)"
+
+
+def test_catch_up(spark):
+    root = tempfile.mkdtemp(prefix="tallyho-runs-")
+    log = os.path.join(root, "runs")
+    data = spark.createDataFrame([("d1", 1), ("d2", 2), ("d2", 3)], "day string, v int")
+    first = stream.catch_up(data, log, lambda rows: rows.groupBy("day").count())
+    assert sorted(r.day for r in first.collect()) == ["d1", "d2"]
+    more = data.unionByName(spark.createDataFrame([("d3", 4)], "day string, v int"))
+    second = stream.catch_up(more, log, lambda rows: rows.groupBy("day").count())
+    assert [r.day for r in second.collect()] == ["d3"]
