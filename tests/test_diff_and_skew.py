@@ -85,3 +85,18 @@ def test_occurrence_number_without_exchange_reuse(spark):
         assert check.where("hi != n OR d != n").count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_hot_key_is_spread(spark):
+    """A key holding a third of the rows (with many exact copies) is numbered over balanced
+    partitions -- no task receives the hot key alone."""
+    n = 300_000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5).alias("o"))
+    got = occurrence_number(df, ["k"], ["o"], num_partitions=8)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) <= 2 * (n / 8), sizes
+    hot = got.where("k = -1").agg(F.count("*").alias("c"), F.max("occ").alias("m"),
+                                  F.countDistinct("occ").alias("d")).first()
+    assert hot.c == hot.m == hot.d == n // 3
