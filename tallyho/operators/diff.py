@@ -133,6 +133,7 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
         only_left = L.join(R.select(*on), on, "left_anti")
         only_right = R.join(L.select(*on), on, "left_anti")
     elif surplus == "first":
+        # Multiset key counts per side (partial aggregation)
         cl = L.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tly_nl"))
         cr = R.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tly_nr"))
         counts = cl.join(cr, keys, "full").fillna(0, ["_tly_nl", "_tly_nr"])
@@ -212,3 +213,8 @@ def diff_report(result: DiffResult, left_name: str = "left", right_name: str = "
     return {"summary": diff_summary(result, left_name, right_name),
             "only_in_left": result.only_left, "only_in_right": result.only_right,
             "column_diff": result.cells}
+
+
+def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A10: the set of key tuples (a distinct aggregation, combined map-side)."""
+    return df.select(*keys).distinct()

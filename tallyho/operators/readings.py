@@ -78,8 +78,8 @@ def with_dew_point(readings: DataFrame) -> DataFrame:
     return readings.withColumn("dew_point_c", F.round(dew_point("rh", "temp_c"), 4))
 
 
-def parse_log_lines(log: DataFrame, ts_text: str = "timestamp") -> DataFrame:
+def parse_log_lines(log: DataFrame, ts_text: str = "timestamp", keep=()) -> DataFrame:
     """S8 + D10: a sensor CSV log (minute or second timestamps) as typed readings."""
-    return log.select(log_timestamp(F.col(ts_text)).alias("ts"),
+    return log.select(*keep, log_timestamp(F.col(ts_text)).alias("ts"),
                       F.col("`humidity_%RH`").cast("double").alias("rh"),
                       F.col("temperature_C").cast("double").alias("temp_c"))

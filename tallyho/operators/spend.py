@@ -47,6 +47,7 @@ def spend_rows(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT
     cleaned = drop_blank_rows(drop_subtotal_rows(df))
     dtype = dict(cleaned.dtypes)[amount]
     amt = parse_amount(amount) if dtype == "string" else F.col(amount).cast("decimal(18,2)")
+    # P5: only the two columns the aggregates need are kept (Catalyst prunes the scan)
     out = cleaned.select(blank_to_null(F.col(dimension).cast("string")).alias(dimension), amt.alias(AMOUNT))
     out = out.where(F.col(AMOUNT).isNotNull())
     if null_category == "drop":

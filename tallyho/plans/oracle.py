@@ -580,3 +580,9 @@ FROM dl JOIN cl ON dl.l_orderkey = cl.l_orderkey AND dl.l_linenumber = cl.l_line
 LEFT JOIN cr ON dl.l_orderkey = cr.l_orderkey AND dl.l_linenumber = cr.l_linenumber
 WHERE dl.occ <= nl - coalesce(nr, 0)""",
 })
+
+ORACLE["sensor_log"] = with_ctes(READINGS, _parsed_sql("A")) + """
+, log AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y/%m/%d %H:%M')
+   ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS timestamp, rh, temp_c FROM good)
+SELECT event_id, timestamp, coalesce(try_strptime(timestamp, '%Y/%m/%d %H:%M'),
+ try_strptime(timestamp, '%Y-%m-%d %H:%M:%S')) AS ts, rh, temp_c FROM log"""
