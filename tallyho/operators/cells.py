@@ -84,8 +84,8 @@ def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_
     highest-priority alias present, first column for duplicates (T22); when no date alias
     is present the date comes from grid column ``date_fallback``.
 
-    Output: one row per sheet, ``file, sheet, header_row, cols`` with ``cols`` a
-    map canonical -> col_idx.
+    Output: one row per sheet, ``file, sheet, header_row, cols, names`` with ``cols`` a
+    map canonical -> col_idx and ``names`` a map col_idx -> header name (all named columns).
     """
     spark = cells.sparkSession
     names = header_cells(cells, headers)
@@ -100,8 +100,12 @@ def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_
               .agg(F.min_by("col_idx", F.struct("priority", "col_idx")).alias("col_idx")))
     per_sheet = picked.groupBy(*SHEET).agg(F.map_from_entries(F.collect_list(F.struct("canonical", "col_idx")))
                                            .alias("cols"))
-    with_date = (headers.join(per_sheet, SHEET, "left")
-                 .withColumn("cols", F.coalesce(F.col("cols"), F.create_map().cast("map<string,int>"))))
+    # every named header cell of the sheet (col_idx -> name), for the non-canonical columns
+    all_names = (header_cells(cells, headers).groupBy(*SHEET)
+                 .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "name"))).alias("names")))
+    with_date = (headers.join(per_sheet, SHEET, "left").join(all_names, SHEET, "left")
+                 .withColumn("cols", F.coalesce(F.col("cols"), F.create_map().cast("map<string,int>")))
+                 .withColumn("names", F.coalesce(F.col("names"), F.create_map().cast("map<int,string>"))))
     if date_col is None:
         return with_date
     has_date = F.col("cols").getItem(date_col).isNotNull()
@@ -125,4 +129,10 @@ def sheet_rows_wide(cells: DataFrame, colmap: DataFrame, canonical=config.CANONI
     joined = grid_rows.join(colmap, SHEET).where(F.col("row_idx") > F.col("header_row"))
     wide = [F.try_element_at(F.col("_tly_cells"), F.try_element_at(F.col("cols"), F.lit(c))).alias(c)
             for c in canonical]
-    return joined.select(*SHEET, *extra, "row_idx", *wide)
+    # named columns that are not canonical stay with the row as header name -> value
+    # (unnamed columns are dropped, like the original's 'Unnamed' columns)
+    used = F.map_values(F.col("cols"))
+    kept = F.map_filter(F.col("_tly_cells"), lambda k, v: ~F.array_contains(used, k)
+                        & F.try_element_at(F.col("names"), k).isNotNull())
+    other = F.transform_keys(kept, lambda k, v: F.try_element_at(F.col("names"), k)).alias("other_columns")
+    return joined.select(*SHEET, *extra, "row_idx", *wide, other)

@@ -23,7 +23,7 @@ TEXT_COLUMNS = ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_n
 DATE_COLUMNS = ["planned_pay_date", "cash_date"]
 OUTPUT_COLUMNS = ["voucher_date", "voucher_no", "vendor_code", "vendor_name", "term_code", "term_name",
                   "planned_pay_date", "cash_date", "amount", "source_folder", "source_file", "sheet_name",
-                  "source_row"]
+                  "source_row", "other_columns"]
 
 
 @dataclass
@@ -52,7 +52,8 @@ def consolidate(cells: DataFrame, header_keys=config.HEADER_KEYS, min_hits: int
         *[sheet_date(F.col(c)).alias(c) for c in DATE_COLUMNS],
         parse_number(F.col("amount")).alias("amount"),
         folder.alias("source_folder"), F.col("file").alias("source_file"),
-        F.col("sheet").alias("sheet_name"), F.col("row_idx").alias("source_row"))
+        F.col("sheet").alias("sheet_name"), F.col("row_idx").alias("source_row"),
+        F.transform_values("other_columns", lambda k, v: clean_cell(v)).alias("other_columns"))
     file_log = table.groupBy("source_folder", "source_file", "sheet_name").agg(F.count(F.lit(1)).alias("rows"))
     return Consolidated(table, file_log, C.missing_header_errors(cells, headers))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyho.plans import jobs
 
-HEADER = ["憑單日期", "憑單單號", "廠商簡稱", "付款條件名稱", "預計付款日", "本幣貨款金額"]
+HEADER = ["憑單日期", "憑單單號", "廠商簡稱", "付款條件名稱", "預計付款日", "本幣貨款金額", "備註"]
 
 
 def _col_letter(i):
@@ -52,7 +52,7 @@ def write_xlsx(path, sheets):
 def _books(root):
     write_xlsx(os.path.join(root, "north", "book.xlsx"), {
         "Jan": [["Voucher list"], [], HEADER,
-                ["2025/11/20", "V1", "ACME", "當月15號", "2025/11/15", "1,000"],
+                ["2025/11/20", "V1", "ACME", "當月15號", "2025/11/15", "1,000", "rush"],
                 [None, "V2", "ACME", "次月15號付款", "2025/12/10", 250.5],
                 ["2025-12-31", "V3", "南科管理局", "次月15號付款", "2025/12/15", 99],
                 [None, None, " 小結:", None, None, "1,349.5"]],
@@ -71,6 +71,8 @@ def test_consolidation_then_audit(spark):
     got = {r.voucher_no: (str(r.voucher_date), r.amount) for r in total.collect() if r.voucher_no}
     assert got == {"V1": ("2025-11-20", 1000.0), "V2": ("2025-11-20", 250.5), "V3": ("2025-12-31", 99.0),
                    "V4": ("2023-03-15", 10.0)}
+    extra = {r.voucher_no: r.other_columns for r in total.collect() if r.voucher_no}
+    assert extra["V1"] == {"備註": "rush"} and extra["V2"] == {}
     errors = spark.read.parquet(paths["ERRORS"]).collect()
     assert [e.file.split("::")[-1] for e in errors] == ["Notes"]
     summary = {(r.source_folder, r.sheet_name): r.rows for r in spark.read.parquet(paths["SUMMARY"]).collect()}
