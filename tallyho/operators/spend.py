@@ -20,13 +20,19 @@ from ..functions.text import blank_to_null, is_blank, parse_amount, pct_label, s
 AMOUNT = "amount"
 
 
+def _subtotal_hit(df: DataFrame, prefix: str = config.SUBTOTAL_PREFIX):
+    """True when any text cell of the row -- text columns and the values of text maps such
+    as ``other_columns`` -- starts with the subtotal marker after strip."""
+    tests = [starts_with_subtotal(c, prefix) for c, t in df.dtypes if t == "string"]
+    tests += [F.coalesce(F.exists(F.map_values(F.col(c)), lambda v: starts_with_subtotal(v, prefix)), F.lit(False))
+              for c, t in df.dtypes if t == "map<string,string>"]
+    return reduce(lambda a, b: a | b, tests) if tests else None
+
+
 def drop_subtotal_rows(df: DataFrame, prefix: str = config.SUBTOTAL_PREFIX) -> DataFrame:
     """Drop rows where any text cell, stripped, starts with the subtotal marker."""
-    text_cols = [c for c, t in df.dtypes if t == "string"]
-    if not text_cols:
-        return df
-    hit = reduce(lambda a, b: a | b, [starts_with_subtotal(c, prefix) for c in text_cols])
-    return df.where(~hit)
+    hit = _subtotal_hit(df, prefix)
+    return df if hit is None else df.where(~hit)
 
 
 def drop_blank_rows(df: DataFrame, cols=("doc_date", "term_name", "planned_pay_date")) -> DataFrame:
@@ -57,8 +63,8 @@ def spend_rows(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT
 
 def quality_counts(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT) -> DataFrame:
     """How many rows each cleaning step drops, in one aggregate."""
-    text_cols = [c for c, t in df.dtypes if t == "string"]
-    subtotal = reduce(lambda a, b: a | b, [starts_with_subtotal(c) for c in text_cols]) if text_cols else F.lit(False)
+    hit = _subtotal_hit(df)
+    subtotal = hit if hit is not None else F.lit(False)
     dtype = dict(df.dtypes)[amount]
     amt = parse_amount(amount) if dtype == "string" else F.col(amount)
     return df.agg(F.count(F.lit(1)).alias("rows"),

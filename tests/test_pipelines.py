@@ -155,3 +155,10 @@ def test_catch_up(spark):
     more = data.unionByName(spark.createDataFrame([("d3", 4)], "day string, v int"))
     second = stream.catch_up(more, log, lambda rows: rows.groupBy("day").count())
     assert [r.day for r in second.collect()] == ["d3"]
+
+
+def test_subtotal_in_other_columns(spark):
+    df = spark.createDataFrame([("A", 1.0, {"note": " 小結"}), ("B", 2.0, {"note": "ok"}), ("C", 3.0, None)],
+                               "term_name string, amount double, other_columns map<string,string>")
+    assert sorted(r.term_name for r in spend.drop_subtotal_rows(df).collect()) == ["B", "C"]
+    assert spend.quality_counts(df).first().subtotal_rows == 1
