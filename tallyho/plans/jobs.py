@@ -95,16 +95,20 @@ def spend_table(cells: DataFrame) -> DataFrame:
 
 
 def spend_job(spark: SparkSession, base_dir: str, out_root: str, run_ts: str | None = None) -> dict[str, str]:
-    """Entry 3: the newest workbook of every folder -> summary, top-3 and vendor shares."""
-    cells, _ = workbook_cells(spark, base_dir, recursive=False, wide=True)
-    newest = extract.latest_per_folder(
-        files.list_files(spark, base_dir, config.WORKBOOK_EXTENSIONS_WIDE), use_name_time=False)
-    cells = cells.join(newest.select(F.element_at(F.split("latest_file", "/"), -1).alias("file"), "folder"),
-                       ["folder", "file"], "left_semi")
-    table = spend_table(cells)
+    """Entry 3: the newest workbook of every folder -> summary, top-3 and vendor shares.
+
+    The newest file per folder is chosen from the listing (S3: file metadata, one path per
+    folder), and only those workbooks are loaded."""
+    listing = files.keep_folders(files.list_files(spark, base_dir, config.WORKBOOK_EXTENSIONS_WIDE),
+                                 drop_hidden=True)
+    newest = [r.latest_file for r in extract.latest_per_folder(listing, use_name_time=False).collect()]
+    if not newest:
+        raise ValueError(f"no workbook under {base_dir}")
+    raw = xlsx.read_workbooks(spark.read.format("binaryFile").load(newest))
+    table = spend_table(xlsx.cells_of(raw))
     tables = {"summary": spend.top_k_with_other(table), "top3": spend.top_terms(table),
               "vendor_share": spend.vendor_share(table)}
-    return writers.write_report(tables, out_root, run_ts)
+    return writers.write_report(tables, out_root, run_ts, partition_by={"vendor_share": ["term_name"]})
 
 
 def extract_job(spark: SparkSession, url: str, view: str, out_path: str, log_path: str, **jdbc_options) -> int:

@@ -21,11 +21,13 @@ def run_stamp(now: _dt.datetime | None = None, seconds: bool = True) -> str:
 
 
 def write_report(tables: dict[str, DataFrame], root: str, run_ts: str | None = None,
-                 fmt: str = "parquet", skip_empty: tuple[str, ...] = ()) -> dict[str, str]:
+                 fmt: str = "parquet", skip_empty: tuple[str, ...] = (),
+                 partition_by: dict[str, list[str]] | None = None) -> dict[str, str]:
     """K1-K4: write every table of a report under ``root/<table>/run_ts=<run>/``.
 
     An empty table is still written (Spark keeps its schema) unless its name is in
     ``skip_empty`` -- the consolidation report only writes ERRORS when there are any.
+    ``partition_by`` adds partition columns per table (K4: one vendor table, a folder per term).
     """
     run_ts = run_ts or run_stamp()
     paths = {}
@@ -33,8 +35,9 @@ def write_report(tables: dict[str, DataFrame], root: str, run_ts: str | None = N
         if name in skip_empty and df.isEmpty():
             continue
         path = os.path.join(root, name)
+        parts = ["run_ts", *((partition_by or {}).get(name, []))]
         (df.withColumn("run_ts", F.lit(run_ts)).write.mode("append")
-         .partitionBy("run_ts").format(fmt).save(path))
+         .partitionBy(*parts).format(fmt).save(path))
         paths[name] = path
     return paths
 
