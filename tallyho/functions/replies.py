@@ -16,6 +16,11 @@ from .text import NUMBER_PATTERN, WS_CHARS, normalise_units
 PAYLOAD_STRIP = " ]\r\n"
 
 
+def latin1_text(raw_bytes) -> Column:
+    """Device bytes as text, one character per byte (Latin-1, like the poller)."""
+    return F.decode(F.col(raw_bytes) if isinstance(raw_bytes, str) else raw_bytes, "ISO-8859-1")
+
+
 def _after(text: Column, sep: str) -> Column:
     pos = F.instr(text, sep)
     return F.when(pos > 0, text.substr(pos + len(sep), F.length(text) + 1)).otherwise(text)

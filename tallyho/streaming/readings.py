@@ -34,6 +34,18 @@ def reply_stream(spark: SparkSession, source_dir: str, schema: StructType, file_
     return reader.load(source_dir)
 
 
+def kafka_reply_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
+                       starting_offsets: str = "latest") -> DataFrame:
+    """Replies from a Kafka topic (needs the Spark Kafka connector on the classpath;
+    not available in this build environment).  The record value is the raw reply bytes,
+    the record timestamp the device time."""
+    from ..functions.replies import latin1_text
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("subscribe", topic).option("startingOffsets", starting_offsets).load()
+            .select(F.col("offset").alias("event_id"), F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+                    latin1_text("value").alias("raw")))
+
+
 def parsed_stream(replies: DataFrame, raw: str = "raw", variant: str = "A") -> DataFrame:
     """R1 + R4: parse each reply; ``ingest_ts`` is the arrival time, ``ts`` the device time."""
     return ops.parse_replies(replies, raw, variant).withColumn("ingest_ts", F.current_timestamp())

@@ -65,3 +65,12 @@ def test_f14_helpers(spark):
     r = df.select(R.hex_text(R.bytes_from_decimal_text(F.col("d"))).alias("h"),
                   R.octal_to_decimal(F.col("o")).alias("n")).first()
     assert (r.h, r.n) == ("01030001", 15)
+
+
+def test_latin1_replies(spark):
+    from tallyho.functions.replies import latin1_text
+    raw = "{H00rdd 1;48.120; %rh;0;-;27.520;  °C;]".encode("latin-1")
+    df = spark.createDataFrame([(1, raw)], "event_id long, b binary").withColumn("ts", F.current_timestamp())
+    parsed = readings.parse_replies(df.select("event_id", "ts", latin1_text("b").alias("raw")))
+    r = readings.good(parsed).first()
+    assert (r.rh, r.temp_c, r.temp_unit) == (48.12, 27.52, "degC")
