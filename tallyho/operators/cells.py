@@ -27,7 +27,9 @@ def header_rows(cells: DataFrame, keys=config.HEADER_KEYS, min_hits: int = confi
     names (cells compared after strip, exact match)."""
     v = strip(F.col("value"))
     return (non_blank(cells).where(v.isin(*keys))
-            .groupBy(*SHEET, "row_idx").agg(F.count_distinct(v).alias("hits"))
+            # distinct known names per grid row (a set bounded by the row's width: one
+            # aggregation, combined map-side, instead of a distinct-aggregate plan)
+            .groupBy(*SHEET, "row_idx").agg(F.size(F.collect_set(v)).alias("hits"))
             .where(F.col("hits") >= min_hits)
             .groupBy(*SHEET).agg(F.min("row_idx").alias("header_row")))
 
