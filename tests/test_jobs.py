@@ -4,7 +4,6 @@ import tempfile
 import zipfile
 from xml.sax.saxutils import escape
 
-from pyspark.sql import functions as F
 
 from tallyho.plans import jobs
 
