@@ -66,8 +66,12 @@ def workbook_cells(data: bytes, first_sheet_only: bool = False):
             part = target.lstrip("/") if target.startswith("/") else posixpath.normpath(posixpath.join("xl", target))
             if part not in names:
                 continue
-            ws = ET.fromstring(zf.read(part))
-            for row in ws.iter(f"{{{_NS['m']}}}row"):
+            # stream the sheet: rows are handled as they are parsed and then released,
+            # so a very large sheet never sits in memory as a whole
+            row_tag = f"{{{_NS['m']}}}row"
+            for _event, row in ET.iterparse(zf.open(part), events=("end",)):
+                if row.tag != row_tag:
+                    continue
                 r_attr = row.get("r")
                 for pos, c in enumerate(row.findall("m:c", _NS)):
                     ref = c.get("r")
@@ -87,9 +91,15 @@ def workbook_cells(data: bytes, first_sheet_only: bool = False):
                     if value is None or value == "":
                         continue
                     yield sh.get("name"), idx, row_no - 1, col, value
+                row.clear()
+
+
+CHUNK_CELLS = 200_000   # cells per output batch (bounds the worker's memory)
 
 
 def _read_batches(first_sheet_only: bool):
+    cols = [f.name for f in CELL_SCHEMA.fields]
+
     def run(batches):
         for pdf in batches:
             out = []
@@ -97,9 +107,13 @@ def _read_batches(first_sheet_only: bool):
                 try:
                     for sheet, sidx, r, c, v in workbook_cells(bytes(content), first_sheet_only):
                         out.append((path, sheet, sidx, r, c, v, None))
+                        if len(out) >= CHUNK_CELLS:
+                            yield pd.DataFrame(out, columns=cols)
+                            out = []
                 except Exception as exc:  # H13: the job continues, the file is reported
                     out.append((path, None, None, None, None, None, f"{type(exc).__name__}: {exc}"))
-            yield pd.DataFrame(out, columns=[f.name for f in CELL_SCHEMA.fields])
+            if out:
+                yield pd.DataFrame(out, columns=cols)
     return run
 
 
