@@ -388,12 +388,12 @@ blocks AS (
  FROM regs JOIN windows ON regs.event_id = windows.event_id)"""
 
 _FLOAT = """CASE WHEN len(r) >= 2 THEN
- (CASE WHEN ((r[2] * 65536 + r[1]) >> 31) & 1 = 1 THEN -1.0 ELSE 1.0 END) *
- CASE WHEN ((r[2] * 65536 + r[1]) >> 23) & 255 = 255 THEN
-       CASE WHEN (r[2] * 65536 + r[1]) & 8388607 = 0 THEN 'inf'::DOUBLE ELSE 'nan'::DOUBLE END
-      WHEN ((r[2] * 65536 + r[1]) >> 23) & 255 = 0 THEN CAST((r[2] * 65536 + r[1]) & 8388607 AS DOUBLE) * pow(2.0, -149)
-      ELSE (1.0 + CAST((r[2] * 65536 + r[1]) & 8388607 AS DOUBLE) / 8388608.0)
-           * pow(2.0, (((r[2] * 65536 + r[1]) >> 23) & 255) - 127) END END"""
+ (CASE WHEN ((CAST(r[2] AS BIGINT) * 65536 + r[1]) >> 31) & 1 = 1 THEN -1.0 ELSE 1.0 END) *
+ CASE WHEN ((CAST(r[2] AS BIGINT) * 65536 + r[1]) >> 23) & 255 = 255 THEN
+       CASE WHEN (CAST(r[2] AS BIGINT) * 65536 + r[1]) & 8388607 = 0 THEN 'inf'::DOUBLE ELSE 'nan'::DOUBLE END
+      WHEN ((CAST(r[2] AS BIGINT) * 65536 + r[1]) >> 23) & 255 = 0 THEN CAST((CAST(r[2] AS BIGINT) * 65536 + r[1]) & 8388607 AS DOUBLE) * pow(2.0, -149)
+      ELSE (1.0 + CAST((CAST(r[2] AS BIGINT) * 65536 + r[1]) & 8388607 AS DOUBLE) / 8388608.0)
+           * pow(2.0, (((CAST(r[2] AS BIGINT) * 65536 + r[1]) >> 23) & 255) - 127) END END"""
 
 _GRID = ", ".join(f"({u}, '{b}', {s}, 16)" for u in (0, 1, 255) for b in ("3x", "4x") for s in (0, 20, 100, 200))
 
