@@ -26,20 +26,25 @@ def _after(text: Column, sep: str) -> Column:
     return F.when(pos > 0, text.substr(pos + len(sep), F.length(text) + 1)).otherwise(text)
 
 
-def reply_fields(raw, variant: str = "A") -> Column:
-    """F7 / F8 + M11: the trimmed ';'-separated fields of a reply's payload as an array
-    (fields are read with ``try_element_at``)."""
+def reply_parts(raw, variant: str = "A") -> Column:
+    """F7 / F8 + M11: the ';'-separated fields of a reply's payload as an array (untrimmed;
+    read single fields with ``reply_field``, which trims -- no per-element lambda)."""
     text = normalise_units(F.col(raw) if isinstance(raw, str) else raw)
     if variant == "A":
         payload = _after(text, " ")
     else:
         payload = F.when(F.instr(text, "rdd") > 0, _after(text, "rdd")).otherwise(_after(text, " "))
     payload = F.trim(payload, F.lit(PAYLOAD_STRIP))
-    return F.transform(F.split(payload, ";"), lambda p: F.trim(p, F.lit(WS_CHARS)))
+    return F.split(payload, ";")
 
 
-def field_number(fields: Column, index: int) -> Column:
-    f = F.try_element_at(fields, F.lit(index + 1))
+def reply_field(parts: Column, index: int) -> Column:
+    """Field ``index`` (0-based), stripped; null when the reply is shorter."""
+    return F.trim(F.try_element_at(parts, F.lit(index + 1)), F.lit(WS_CHARS))
+
+
+def field_number(parts: Column, index: int) -> Column:
+    f = reply_field(parts, index)
     return F.when(f.rlike(NUMBER_PATTERN), f.try_cast("double"))
 
 

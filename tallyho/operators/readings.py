@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.dates import log_timestamp
-from ..functions.replies import dew_point, field_number, reply_fields
+from ..functions.replies import dew_point, field_number, reply_field, reply_parts
 
 
 def parse_replies(replies: DataFrame, raw: str = "raw", variant: str = "A") -> DataFrame:
     """F7/F8 + R2: every reply with its fields, numbers and a reject reason (null = good)."""
-    fields = reply_fields(raw, variant)
-    staged = replies.withColumn("_tly_f", fields)
+    staged = replies.withColumn("_tly_f", reply_parts(raw, variant))
     f = F.col("_tly_f")
     rh = field_number(f, config.REPLY_RH_FIELD)
     temp = field_number(f, config.REPLY_TEMP_FIELD)
@@ -25,9 +24,9 @@ def parse_replies(replies: DataFrame, raw: str = "raw", variant: str = "A") -> D
               .when(rh.isNull() | temp.isNull(), F.lit("not a number")))
     parsed = (staged.withColumns({
         "rh": rh, "temp_c": temp,
-        "rh_unit": F.try_element_at(f, F.lit(config.REPLY_RH_FIELD + 2)),
-        "trend": F.try_element_at(f, F.lit(config.REPLY_TREND_FIELD + 1)),
-        "temp_unit": F.try_element_at(f, F.lit(config.REPLY_TEMP_FIELD + 2)),
+        "rh_unit": reply_field(f, config.REPLY_RH_FIELD + 1),
+        "trend": reply_field(f, config.REPLY_TREND_FIELD),
+        "temp_unit": reply_field(f, config.REPLY_TEMP_FIELD + 1),
         "reject_reason": reason})
         .drop("_tly_f"))
     # R2: good / rejected counts are published with the query (also per micro-batch in a
