@@ -66,7 +66,9 @@ def stats(readings: DataFrame, unit: str = "day", ts: str = "ts") -> DataFrame:
     n = F.count(F.lit(1))
 
     def mean(c):
-        return (F.sum(F.col(c).cast("decimal(12,3)")).cast("double") / n).alias(f"{c}_avg")
+        # ANSI-safe: an outlier that does not fit, or a sum that overflows, gives null
+        # instead of failing the job
+        return (F.try_sum(F.col(c).try_cast("decimal(38,3)")).cast("double") / n).alias(f"{c}_avg")
     return (readings.groupBy(bucket)
             .agg(n.alias("n"), mean("rh"), F.min("rh").alias("rh_min"), F.max("rh").alias("rh_max"),
                  mean("temp_c"), F.min("temp_c").alias("temp_c_min"), F.max("temp_c").alias("temp_c_max")))

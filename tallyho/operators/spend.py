@@ -52,7 +52,7 @@ def spend_rows(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT
     """
     cleaned = drop_blank_rows(drop_subtotal_rows(df))
     dtype = dict(cleaned.dtypes)[amount]
-    amt = parse_amount(amount) if dtype == "string" else F.col(amount).cast("decimal(18,2)")
+    amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast("decimal(18,2)")
     # P5: only the two columns the aggregates need are kept (Catalyst prunes the scan)
     out = cleaned.select(blank_to_null(F.col(dimension).cast("string")).alias(dimension), amt.alias(AMOUNT))
     out = out.where(F.col(AMOUNT).isNotNull())
@@ -149,7 +149,7 @@ def vendor_share(df: DataFrame, n: int = config.TOP_TERMS, dimension: str = "ter
     top = _ranked(sum_by(rows, dimension), dimension, n).select(dimension)
     cleaned = drop_blank_rows(drop_subtotal_rows(df))
     dtype = dict(cleaned.dtypes)[amount]
-    amt = parse_amount(amount) if dtype == "string" else F.col(amount).cast("decimal(18,2)")
+    amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast("decimal(18,2)")
     detail = (cleaned.select(blank_to_null(F.col(dimension).cast("string")).alias(dimension),
                              blank_to_null(F.col(vendor).cast("string")).alias(vendor), amt.alias(AMOUNT))
               .join(F.broadcast(top), dimension, "left_semi")
