@@ -116,3 +116,31 @@ def catch_up(data: DataFrame, run_log_path: str, job, day: str = "day") -> DataF
     result = job(data.join(pending, day, "left_semi"))
     record_runs(pending, run_log_path, day)
     return result
+
+
+def rollup_stream(parsed: DataFrame, every: str = "1 minute", watermark: str = "10 minutes") -> DataFrame:
+    """A12 in streaming form: per event-time bucket (tumbling window) count, mean, min and
+    max of RH and temperature over the good replies.  The watermark bounds the state:
+    a bucket is final (and its state dropped) once replies ``watermark`` later have been
+    seen; later replies for it are ignored."""
+    good = parsed.where(F.col("reject_reason").isNull()).withColumn("_tly_et", F.col("ts").cast("timestamp"))
+    n = F.count(F.lit(1))
+    return (good.withWatermark("_tly_et", watermark)
+            .groupBy(F.window("_tly_et", every).alias("w"))
+            .agg(n.alias("n"),
+                 F.try_sum(F.col("rh").try_cast("decimal(38,3)")).alias("_rh_sum"), F.min("rh").alias("rh_min"),
+                 F.max("rh").alias("rh_max"),
+                 F.try_sum(F.col("temp_c").try_cast("decimal(38,3)")).alias("_t_sum"),
+                 F.min("temp_c").alias("temp_c_min"), F.max("temp_c").alias("temp_c_max"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "n",
+                    (F.col("_rh_sum").cast("double") / F.col("n")).alias("rh_avg"), "rh_min", "rh_max",
+                    (F.col("_t_sum").cast("double") / F.col("n")).alias("temp_c_avg"), "temp_c_min", "temp_c_max"))
+
+
+def run_rollup(rollup: DataFrame, out_dir: str, checkpoint: str, trigger: str = "once"):
+    """Append finished buckets to parquet (each bucket is written once, after the watermark
+    passes it); returns the ``StreamingQuery``."""
+    writer = (rollup.writeStream.outputMode("append").format("parquet").option("path", out_dir)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if trigger == "once" else writer.trigger(processingTime=trigger)
+    return writer.start()
