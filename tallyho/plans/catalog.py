@@ -358,6 +358,27 @@ def sensor_log(spark, sf_dir):
     return parsed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("readings_rollup_stream")
+def readings_rollup_stream(spark, sf_dir):
+    """A12 as a stream: hourly statistics with event-time windows and a one-hour watermark,
+    appended once per finished hour (drained with availableNow)."""
+    import os
+
+    from ..sources.tables import table_path
+    from ..streaming import readings as stream
+
+    path = table_path(sf_dir, "events")
+    schema = read_table(spark, sf_dir, "events").schema
+    if os.path.isfile(path):
+        source = stream.reply_stream(spark, os.path.dirname(path), schema, file_glob=os.path.basename(path))
+    else:
+        source = stream.reply_stream(spark, path, schema)
+    rollup = stream.rollup_stream(stream.parsed_stream(fixtures.replies_from_events(source)), "1 hour", "1 hour")
+    out = stream.scratch_path(spark, "rollup")
+    stream.run_rollup(rollup, out, stream.scratch_path(spark, "rollup-ckpt")).awaitTermination()
+    return spark.read.parquet(out)
+
+
 # SURVEY section 2 ids exercised by each query (read by tools/coverage.py)
 QUERY_OPS = {
     "audit_detail": "D7 D8 P6 P8 P10 H7 H11 H12 J8 M12 F10 D4 D5 D6",
@@ -403,6 +424,7 @@ QUERY_OPS = {
     "readings_dew_point": "M10",
     "sensor_log": "D10 S8",
     "readings_stream": "R1 R3 R4 S10 K7",
+    "readings_rollup_stream": "R1 A12",
     "extract_top": "S9 O5 F11",
     "keyword_excluded": "P11",
     "incremental_pick": "J7",

@@ -586,3 +586,11 @@ ORACLE["sensor_log"] = with_ctes(READINGS, _parsed_sql("A")) + """
    ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS timestamp, rh, temp_c FROM good)
 SELECT event_id, timestamp, coalesce(try_strptime(timestamp, '%Y/%m/%d %H:%M'),
  try_strptime(timestamp, '%Y-%m-%d %H:%M:%S')) AS ts, rh, temp_c FROM log"""
+
+ORACLE["readings_rollup_stream"] = with_ctes(READINGS, _parsed_sql("A")) + """
+SELECT date_trunc('hour', ts) AS bucket, count(*) AS n,
+ CAST(sum(CAST(rh AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS rh_avg, min(rh) AS rh_min, max(rh) AS rh_max,
+ CAST(sum(CAST(temp_c AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS temp_c_avg, min(temp_c) AS temp_c_min,
+ max(temp_c) AS temp_c_max
+FROM good GROUP BY date_trunc('hour', ts)
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM good) - INTERVAL 1 HOUR"""
