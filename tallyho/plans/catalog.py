@@ -254,10 +254,14 @@ def latest_file(spark, sf_dir):
 
 @query("clean_text")
 def clean_text(spark, sf_dir):
+    """F1/F2 over whole documents: the full cleaned text, the same cut to the spreadsheet
+    cell limit (F1's 32,767 characters), and the report form (F2)."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    full = F.regexp_replace(F.col("text"), text.ILLEGAL_CELL_CLASS, "")
     cell = text.clean_cell(F.col("text"))
     report = text.clean_report_text(F.col("text"))
-    return d.select("doc_id", F.length(cell).alias("clean_len"), F.md5(cell).alias("clean_md5"),
+    return d.select("doc_id", F.length(full).alias("full_len"), F.md5(full).alias("full_md5"),
+                    F.length(cell).alias("clean_len"), F.md5(cell).alias("clean_md5"),
                     F.length(report).alias("report_len"), F.md5(report).alias("report_md5"))
 
 

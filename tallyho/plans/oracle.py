@@ -519,9 +519,10 @@ t AS (SELECT folder, path, coalesce(
 r AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY ts DESC, path DESC) AS rn FROM t)
 SELECT folder, path AS latest_file, CAST(ts AS TIMESTAMP) AS file_ts FROM r WHERE rn = 1""",
     "clean_text": f"""
-WITH c AS (SELECT doc_id, {clean_cell_sql('text')} AS cell,
+WITH c AS (SELECT doc_id, regexp_replace(text, '{_ILLEGAL}', '', 'g') AS whole, {clean_cell_sql('text')} AS cell,
   coalesce(regexp_replace(text, '{_C0}', '', 'g'), '') AS report FROM documents)
-SELECT doc_id, CAST(length(cell) AS INTEGER) AS clean_len, md5(cell) AS clean_md5,
+SELECT doc_id, CAST(length(whole) AS INTEGER) AS full_len, md5(whole) AS full_md5,
+ CAST(length(cell) AS INTEGER) AS clean_len, md5(cell) AS clean_md5,
  CAST(length(report) AS INTEGER) AS report_len, md5(report) AS report_md5 FROM c""",
     "parse_amount": with_ctes(CELLS) + f"""
 SELECT file, sheet, row_idx, col_idx, value, {number_sql('value')} AS number FROM cells""",
