@@ -102,7 +102,11 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
     # Tie-breakers: a hash of the whole row orders distinct rows the same way on every
     # run; the row id splits a group of identical copies over several range partitions
     # (copies are interchangeable, so their relative order never shows in a result).
-    base = (df.withColumn(_KEY, F.to_json(F.struct(*key_cols)))
+    # run detection compares keys by their JSON text; -0.0 and 0.0 are one key to Spark,
+    # so floating-point keys are normalised first (x + 0.0 turns -0.0 into 0.0)
+    dtypes = dict(df.dtypes)
+    json_keys = [(F.col(k) + F.lit(0.0)).alias(k) if dtypes[k] in ("double", "float") else F.col(k) for k in keys]
+    base = (df.withColumn(_KEY, F.to_json(F.struct(*json_keys)))
               .withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
               .withColumn(_ROW, F.monotonically_increasing_id()))
     tie = [F.col(_TIE), F.col(_ROW)]

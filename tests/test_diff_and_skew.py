@@ -100,3 +100,9 @@ def test_hot_key_is_spread(spark):
     hot = got.where("k = -1").agg(F.count("*").alias("c"), F.max("occ").alias("m"),
                                   F.countDistinct("occ").alias("d")).first()
     assert hot.c == hot.m == hot.d == n // 3
+
+
+def test_negative_zero_is_one_key(spark):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 2), (0.0, 3)], "k double, o int")
+    got = sorted(r.occ for r in occurrence_number(df, ["k"], ["o"], num_partitions=2).collect())
+    assert got == [1, 2, 3]
