@@ -51,7 +51,7 @@ def parsed_stream(replies: DataFrame, raw: str = "raw", variant: str = "A") -> D
     return ops.parse_replies(replies, raw, variant).withColumn("ingest_ts", F.current_timestamp())
 
 
-def _batch_writer(out_dir: str, keep):
+def _batch_writer(out_dir: str, keep, fmt: str = "parquet"):
     def write(batch: DataFrame, batch_id: int) -> None:
         # R2: good rows and rejects go to separate tables.  Each batch overwrites only its
         # own batch_id partition, so a batch replayed after a failure is idempotent.
@@ -61,21 +61,22 @@ def _batch_writer(out_dir: str, keep):
             good = ops.good(tagged, keep=(*keep, "ingest_ts", "batch_id"))
             bad = ops.rejected(tagged, keep=(*keep, "ingest_ts", "batch_id"))
             for name, df in (("good", good), ("rejected", bad)):
-                (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(os.path.join(out_dir, name)))
+                # K7: CSV logs carry a header line in every file, so any file reads alone
+                (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
+                 .partitionBy("batch_id").format(fmt).save(os.path.join(out_dir, name)))
         finally:
             tagged.unpersist()
     return write
 
 
 def run_reading_log(parsed: DataFrame, out_dir: str, checkpoint: str, trigger: str = "once",
-                    keep=("event_id", "ts")):
+                    keep=("event_id", "ts"), fmt: str = "parquet"):
     """R1 + R2 + R3 + K7: start the log stream; returns the ``StreamingQuery``.
 
     ``trigger="once"`` -> ``availableNow`` (process everything present, then stop);
     otherwise a processing-time interval such as ``"10 seconds"``.
     """
-    writer = (parsed.writeStream.foreachBatch(_batch_writer(out_dir, keep))
+    writer = (parsed.writeStream.foreachBatch(_batch_writer(out_dir, keep, fmt))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if trigger == "once" else writer.trigger(processingTime=trigger)
     return writer.start()

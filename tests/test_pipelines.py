@@ -202,3 +202,14 @@ def test_rollup_append_emits_finished_buckets(spark):
     cols = ["bucket", "n", "rh_min", "rh_max"]
     assert got.count() == finished.count() > 0
     assert got.select(*cols).exceptAll(finished.select(*cols)).count() == 0
+
+
+def test_stream_csv_log(spark):
+    from tallyho.sources.tables import read_table
+    schema = read_table(spark, SF_SMALL, "events").schema
+    src = stream.reply_stream(spark, SF_SMALL, schema, file_glob="events.parquet")
+    parsed = stream.parsed_stream(fixtures.replies_from_events(src))
+    out = stream.scratch_path(spark, "csv-log")
+    stream.run_reading_log(parsed, out, stream.scratch_path(spark, "csv-ckpt"), fmt="csv").awaitTermination()
+    log = spark.read.option("header", True).csv(os.path.join(out, "good"))
+    assert {"event_id", "ts", "rh", "temp_c"} <= set(log.columns) and log.count() == 980
