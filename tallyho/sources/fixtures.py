@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_of_month
-from ..operators.skew import occurrence_number
+from ..operators.skew import occurrence_number, occurrence_number_unique
 from .tables import read_table
 
 # ---- fixed values: payment-term texts cycled over the orders ------------------------
@@ -71,8 +71,9 @@ def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.concat(F.lit("book"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
                     F.col("n_name").alias("sheet"), "c_nationkey", "c_custkey", "c_name"))
-    # row number inside a sheet; a sheet is a hot key by construction (25 sheets)
-    return occurrence_number(rows, ["c_nationkey"], ["c_custkey"], out_col="rn")
+    # row number inside a sheet; a sheet is a hot key by construction (25 sheets), and the
+    # customer key is unique, so the block-wise numbering applies
+    return occurrence_number_unique(rows, ["c_nationkey"], "c_custkey", out_col="rn")
 
 
 HEADER_ROW = 2

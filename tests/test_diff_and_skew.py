@@ -106,3 +106,11 @@ def test_negative_zero_is_one_key(spark):
     df = spark.createDataFrame([(0.0, 1), (-0.0, 2), (0.0, 3)], "k double, o int")
     got = sorted(r.occ for r in occurrence_number(df, ["k"], ["o"], num_partitions=2).collect())
     assert got == [1, 2, 3]
+
+
+def test_occurrence_number_unique_blocks(spark):
+    from tallyho.operators.skew import occurrence_number_unique
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 + 11).alias("o"))
+    got = occurrence_number_unique(df, ["k"], "o", block_width=64)
+    want = df.withColumn("occ2", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert got.join(want, ["k", "o"]).where("occ != occ2").count() == 0 and got.count() == 5000
