@@ -153,15 +153,19 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
         cells_arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_tly_l{i}").alias("left_value"),
                                        F.col(f"_tly_r{i}").alias("right_value"))
                               for i, c in enumerate(common)])
-        cells = (pairs.where(differs)
+        # Each difference once per paired row; ``multiplicity`` = paired rows of the key
+        # (a partial aggregate of the pairs, joined back on the key)
+        mult = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("multiplicity"))
+        cells = (pairs.where(differs).join(mult, keys)
                  .select(*[F.col(k).alias(f"key_{j + 1}") for j, k in enumerate(keys)],
-                         F.inline(cells_arr))
+                         F.inline(cells_arr), "multiplicity")
                  .where(F.col("left_value") != F.col("right_value")))
     else:
         cells = pairs.select(*[F.col(k).alias(f"key_{j + 1}") for j, k in enumerate(keys)],
                              F.lit(None).cast("string").alias("column"),
                              F.lit(None).cast("string").alias("left_value"),
-                             F.lit(None).cast("string").alias("right_value")).where(F.lit(False))
+                             F.lit(None).cast("string").alias("right_value"),
+                             F.lit(None).cast("long").alias("multiplicity")).where(F.lit(False))
     return DiffResult(keys, only_left.drop(OCC), only_right.drop(OCC), cells, pairs)
 
 

@@ -198,12 +198,14 @@ pairs AS (SELECT dl.l_orderkey AS key_1, dl.l_linenumber AS key_2,
            dl.l_quantity AS lq, dr.l_quantity AS rq, dl.l_returnflag AS lf, dr.l_returnflag AS rf,
            dl.l_shipdate AS ld, dr.l_shipdate AS rd
           FROM dl JOIN dr ON dl.l_orderkey = dr.l_orderkey AND dl.l_linenumber = dr.l_linenumber AND dl.occ = dr.occ),
-cells AS (
+cells0 AS (
  SELECT key_1, key_2, 'l_partkey' AS "column", lp AS left_value, rp AS right_value FROM pairs WHERE lp <> rp
  UNION ALL SELECT key_1, key_2, 'l_quantity', lq, rq FROM pairs WHERE lq <> rq
  UNION ALL SELECT key_1, key_2, 'l_returnflag', lf, rf FROM pairs WHERE lf <> rf
  UNION ALL SELECT key_1, key_2, 'l_shipdate', ld, rd FROM pairs WHERE ld <> rd
- UNION ALL SELECT key_1, key_2, 'l_suppkey', ls, rs FROM pairs WHERE ls <> rs)"""
+ UNION ALL SELECT key_1, key_2, 'l_suppkey', ls, rs FROM pairs WHERE ls <> rs),
+mult AS (SELECT key_1, key_2, count(*) AS multiplicity FROM pairs GROUP BY key_1, key_2),
+cells AS (SELECT cells0.*, multiplicity FROM cells0 JOIN mult ON cells0.key_1 = mult.key_1 AND cells0.key_2 = mult.key_2)"""
 _DIFF_SEL = ", ".join(_DIFF_COLS)
 _DIFF_ON = " AND ".join(f"a.{c} = b.{c}" for c in _DIFF_COLS)
 

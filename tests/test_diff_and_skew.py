@@ -24,7 +24,11 @@ def test_cell_diff_and_summary(spark):
     right = spark.createDataFrame([("a", "X", 1.0), ("b", "y", 3.0)], "key string, s string, q double")
     res = diff.diff_by_keys(left, right, ["key"])
     cells = sorted(tuple(r) for r in res.cells.collect())
-    assert cells == [("a", "s", "x", "X"), ("b", "q", "2.0", "3.0")]
+    assert cells == [("a", "s", "x", "X", 1), ("b", "q", "2.0", "3.0", 1)]
+    dup_l = spark.createDataFrame([("k", "1"), ("k", "1")], "key string, v string")
+    dup_r = spark.createDataFrame([("k", "2"), ("k", "2")], "key string, v string")
+    dup = diff.diff_by_keys(dup_l, dup_r, ["key"]).cells.collect()
+    assert [tuple(r) for r in dup] == [("k", "v", "1", "2", 2)] * 2   # once per pair, multiplicity 2
     ci = diff.diff_by_keys(left, right, ["key"], case_insensitive=True)
     assert ci.cells.count() == 1
     s = diff.diff_summary(res).first()
