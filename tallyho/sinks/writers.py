@@ -36,7 +36,10 @@ def write_report(tables: dict[str, DataFrame], root: str, run_ts: str | None = N
             continue
         path = os.path.join(root, name)
         parts = ["run_ts", *((partition_by or {}).get(name, []))]
-        (df.withColumn("run_ts", F.lit(run_ts)).write.mode("append")
+        # dynamic partition overwrite: a re-run of the same run replaces its own partitions
+        # (idempotent after a failure) and leaves every other run untouched
+        (df.withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).format(fmt).save(path))
         paths[name] = path
     return paths

@@ -213,3 +213,14 @@ def test_stream_csv_log(spark):
     stream.run_reading_log(parsed, out, stream.scratch_path(spark, "csv-ckpt"), fmt="csv").awaitTermination()
     log = spark.read.option("header", True).csv(os.path.join(out, "good"))
     assert {"event_id", "ts", "rh", "temp_c"} <= set(log.columns) and log.count() == 980
+
+
+def test_report_rerun_is_idempotent(spark):
+    from tallyho.sinks import writers
+    root = tempfile.mkdtemp(prefix="tallyho-rerun-")
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    writers.write_report({"t": df}, root, run_ts="r1")
+    writers.write_report({"t": df}, root, run_ts="r1")     # retried run
+    writers.write_report({"t": df.limit(1)}, root, run_ts="r2")
+    t = spark.read.parquet(os.path.join(root, "t"))
+    assert t.where("run_ts = 'r1'").count() == 2 and t.where("run_ts = 'r2'").count() == 1
