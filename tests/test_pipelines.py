@@ -224,3 +224,17 @@ def test_report_rerun_is_idempotent(spark):
     writers.write_report({"t": df.limit(1)}, root, run_ts="r2")
     t = spark.read.parquet(os.path.join(root, "t"))
     assert t.where("run_ts = 'r1'").count() == 2 and t.where("run_ts = 'r2'").count() == 1
+
+
+def test_stream_restart_from_checkpoint(spark):
+    """A restarted log stream resumes from its checkpoint: nothing is read or written twice."""
+    from tallyho.sources.tables import read_table
+    schema = read_table(spark, SF_SMALL, "events").schema
+    out = stream.scratch_path(spark, "restart-log")
+    ckpt = stream.scratch_path(spark, "restart-ckpt")
+    for _ in range(2):
+        src = stream.reply_stream(spark, SF_SMALL, schema, file_glob="events.parquet")
+        parsed = stream.parsed_stream(fixtures.replies_from_events(src))
+        stream.run_reading_log(parsed, out, ckpt).awaitTermination()
+    good = spark.read.parquet(os.path.join(out, "good"))
+    assert good.count() == good.select("event_id").distinct().count() == 980
