@@ -88,12 +88,18 @@ def _number_runs(out_col: str):
 
 
 def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str = "occ",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, checkpoint_sorted: bool = False) -> DataFrame:
     """Add ``out_col`` = ``row_number() over (partition by keys order by order)``.
 
     ``order`` columns decide the position inside a key; rows that tie on keys and order
     are identical for every purpose the result is used for, so the tie-breaker that makes
     the range shuffle splittable does not change any output value.
+
+    The two passes read one shuffle output.  If a map task is recomputed after an
+    executor loss it must reproduce its rows in the same order, which holds for file
+    scans (every registered query).  For input that comes out of another shuffle, pass
+    ``checkpoint_sorted=True``: the sorted rows are then written once to the shared
+    checkpoint folder and both passes read that copy.
     """
     n = _num_partitions(df, num_partitions)
     cols = df.columns
@@ -121,7 +127,7 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
     # (no column pruning below it: mapInPandas takes every column), so Spark runs it once
     # and the second pass reads the reused shuffle output.  Without exchange reuse the
     # sorted rows are checkpointed to the shared checkpoint folder instead.
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+    if checkpoint_sorted or df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         ranged = ranged.checkpoint(eager=True)
     summary = ranged.mapInPandas(_partition_summary, summary_schema)
     # carry for partition p = rows of p's first key in earlier partitions; the key is

@@ -118,3 +118,10 @@ def test_occurrence_number_unique_blocks(spark):
     got = occurrence_number_unique(df, ["k"], "o", block_width=64)
     want = df.withColumn("occ2", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert got.join(want, ["k", "o"]).where("occ != occ2").count() == 0 and got.count() == 5000
+
+
+def test_occurrence_number_checkpointed(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 4).alias("k"), (F.col("id") % 9).alias("o")).repartition(5)
+    got = occurrence_number(df, ["k"], ["o"], num_partitions=6, checkpoint_sorted=True)
+    check = got.groupBy("k").agg(F.count("*").alias("n"), F.max("occ").alias("hi"), F.countDistinct("occ").alias("d"))
+    assert check.where("hi != n OR d != n").count() == 0
