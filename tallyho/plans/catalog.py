@@ -235,6 +235,15 @@ def extract_top(spark, sf_dir):
     return extract.extract_top(o, ["o_orderkey"])
 
 
+@query("extract_range")
+def extract_range(spark, sf_dir):
+    """P13 + O5 + F11: one year of orders (the interval is pushed into the scan), first 100 by key."""
+    from ..sources import jdbc
+    rows = jdbc.extract(read_table(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01", "1997-01-01",
+                        order=["o_orderkey"])
+    return rows.withColumn("line", text.delimited_row(rows.columns))
+
+
 @query("keyword_excluded")
 def keyword_excluded(spark, sf_dir):
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
@@ -430,6 +439,7 @@ QUERY_OPS = {
     "readings_stream": "R1 R3 R4 S10 K7",
     "readings_rollup_stream": "R1 A12",
     "extract_top": "S9 O5 F11",
+    "extract_range": "P13 O5 F11",
     "keyword_excluded": "P11",
     "incremental_pick": "J7",
     "latest_file": "S3 S4 D11",

@@ -597,3 +597,8 @@ SELECT date_trunc('hour', ts) AS bucket, count(*) AS n,
  max(temp_c) AS temp_c_max
 FROM good GROUP BY date_trunc('hour', ts)
 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM good) - INTERVAL 1 HOUR"""
+
+ORACLE["extract_range"] = f"""
+SELECT *, concat_ws(chr(9), {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in _ORDER_COLS)}) AS line
+FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
+ORDER BY o_orderkey LIMIT 100"""
