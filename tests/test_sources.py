@@ -71,3 +71,16 @@ def test_extract_filter_and_limit(spark):
     out = jdbc.extract(o, "o_orderdate", "1996-01-01", "1997-01-01", limit=100, order=["o_orderkey"])
     rows = out.collect()
     assert len(rows) == 100 and all(r.o_orderdate.year == 1996 for r in rows)
+
+
+def test_size_for_input(spark):
+    from tallyho.session import size_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        parts = size_for_input(spark, 100 * 1024 ** 4)          # 100 TB of input
+        assert parts == int(100 * 1024 ** 4 * 2 // (128 << 20)) + 1
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(parts)
+        assert size_for_input(spark, 1000) == 200                 # small input: the floor
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
