@@ -136,7 +136,12 @@ def ablations(rows: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
 
 
 def keep_passing(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    """The rows of ``docs``, all columns, that pass the base and the policy."""
-    both = Policy(policy.version, tuple({*BASE.rules, *policy.rules}))
-    return (measured(docs).withColumn("_q_failed", _bits("_q_")).filter(~fails(both, "_q_failed"))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The rows of ``docs``, all columns, that pass the base and the policy.
+
+    The counters also keep the filter above the measuring: pushed below, its condition would
+    hold every measurement's expression several times over.
+    """
+    both = Policy(policy.version, tuple(sorted({*BASE.rules, *policy.rules})))
+    rows = measured(docs).withColumn("_q_failed", _bits("_q_"))
+    rows = rows.observe(f"quality rules {policy.version}", F.count(F.lit(1)).alias("rows"), F.count_if(fails(both, "_q_failed")).alias("rejected"))
+    return rows.filter(~fails(both, "_q_failed")).select(*[F.col(f"`{c}`") for c in docs.columns])
