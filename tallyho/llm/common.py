@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +57,18 @@ def ascii_words(text: str | None) -> list[bytes]:
 def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches that have rows."""
     return (b for b in rows if b.num_rows)
+
+
+def groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of equal keys of sorted rows; a group waits until its last row has come."""
+    waiting = None
+    for batch in batches(rows):
+        table = pa.Table.from_batches([batch])
+        table = table if waiting is None else pa.concat_tables([waiting, table])
+        columns = [table.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield table.slice(a, b - a)
+        waiting = table.slice(cuts[-1])
+    if waiting is not None:
+        yield waiting

@@ -8,8 +8,10 @@ per shingle gives all coordinates at once.
 Documents with equal shingle sets form one class from the start, so copies never meet in a
 bucket.  Classes that share a band are candidates.  Candidates are confirmed on their full
 sets in rounds that never list all pairs of a bucket: first each class meets one
-partner in each of its buckets, then, in buckets that still hold several components, the
-classes outside the bucket's largest component meet the others exhaustively.  Pairs already
+partner in each of its buckets, twice.  The classes of buckets that still hold several
+components are then joined exactly: they are cut into blocks of bounded size, blocks whose
+classes share one of their rarest shingles, as sets that reach the threshold do, are
+compared as a whole, and one link is returned for two components.  Pairs already
 connected need no test, so no connection among candidates is lost.
 """
 
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_words, batches, landed
+from .common import ascii_words, batches, groups, landed
 from .components import components
 
 SLOTS = 1 << 20
@@ -41,7 +43,8 @@ class Params:
     times.  ``max_bits`` is the number of differing one-bit coordinates (of 128) above which
     a candidate pair can't reach the threshold: 16 are expected at 0.75, and 41 is 6.7
     standard deviations more.  ``crowd`` is the size of the groups in which a large
-    bucket's classes meet a common partner.
+    bucket's classes meet a common partner, ``block`` the number of shingles of the blocks
+    that are compared exactly.
     """
 
     shingle: int = 5
@@ -50,6 +53,7 @@ class Params:
     rows: int = 4
     max_bits: int = 41
     crowd: int = 64
+    block: int = 200_000
     seed: int = 20
 
 
@@ -202,15 +206,98 @@ def _with_components(members: DataFrame, links: DataFrame) -> DataFrame:
     return landed(labelled.join(landed(mixed, "mixed"), "key", "left_semi"), "members")
 
 
-def _remaining(members: DataFrame, p: Params) -> DataFrame:
-    """Every pair of a bucket in different components; pairs inside its largest are never made."""
-    sizes = members.groupBy("key", "comp").count()
-    major = landed(sizes.groupBy("key").agg(F.max_by("comp", F.struct("count", "comp")).alias("major")), "major")
-    marked = landed(members.join(major, "key"), "members")
-    x, y = marked.filter("comp <> major").alias("x"), marked.alias("y")
-    once = (F.col("y.comp") == F.col("y.major")) | (F.col("x.id") < F.col("y.id"))
-    return (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & once & _near("x", "y", p))
-            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+def _setter(p: Params):
+    def run(rows):
+        cache = _WordHashes()
+        for batch in batches(rows):
+            sets = [shingle_set(t.as_py(), p.shingle, cache).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "keys"])
+    return run
+
+
+def _overlaps(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    def flat(x):
+        ends = x.offsets.to_numpy()
+        return x.flatten().to_numpy(), np.repeat(np.arange(len(x)), np.diff(ends))
+    (lk, lo), (rk, ro) = flat(left), flat(right)
+    order = np.argsort(rk, kind="stable")
+    rk, ro = rk[order], ro[order]
+    first = np.searchsorted(rk, lk, "left")
+    many = np.searchsorted(rk, lk, "right") - first
+    lo, first, many = lo[many > 0], first[many > 0], many[many > 0]
+    out = np.zeros(len(left) * len(right), np.int64)
+    upto = np.cumsum(many)
+    a = 0
+    while a < len(many):  # at most about 4M meetings at once
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + (1 << 22))))
+        n = many[a:b]
+        at = np.arange(n.sum()) + np.repeat(first[a:b] - (np.cumsum(n) - n), n)
+        cells = np.repeat(lo[a:b], n) * len(right) + ro[at]
+        out += np.bincount(cells, minlength=len(out))
+        a = b
+    return out.reshape(len(left), len(right))
+
+
+def _block_links(table: pa.Table, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """One link for each two components of a group that have any; a group is one or two blocks."""
+    own = table.column("own").to_numpy(zero_copy_only=False)
+    left = np.flatnonzero(own)
+    right = np.flatnonzero(~own) if not own.all() else left
+    ids, comps, n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
+    sets = table.column("keys").combine_chunks()
+    both = _overlaps(sets.take(pa.array(left)), sets.take(pa.array(right)))
+    union = n[left][:, None] + n[right][None, :] - both
+    linked = (both > 0) & (100 * both >= p.percent * union) & (comps[left][:, None] != comps[right][None, :])
+    i, j = np.nonzero(linked)
+    i, j = left[i], right[j]
+    pair = np.c_[np.minimum(comps[i], comps[j]), np.maximum(comps[i], comps[j])]
+    _, once = np.unique(pair, axis=0, return_index=True)
+    return ids[i[once]], ids[j[once]]
+
+
+def _block_comparer(p: Params):
+    def run(rows):
+        for table in groups(rows, ["block_x", "block_y"]):
+            a, b = _block_links(table, p)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    return run
+
+
+def _contested_links(members: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """Links between the components of ``members``, whose buckets hold several: one for each two that have any.
+
+    A class is at home in its largest bucket.  A home's classes are cut into blocks, those of
+    its largest component apart from the others, so that blocks of one component never meet.
+    Two blocks meet if they share a key of some class's rarest: of n shingles in one order for
+    all, here by frequency among these classes, two sets that reach the threshold share one
+    of the first n - ceil(percent * n / 100) + 1.
+    """
+    largest = F.max_by("key", F.struct("size", "key")).alias("home")
+    homed = landed(members.groupBy("id", "n", "comp").agg(largest), "homed")
+    sizes = homed.groupBy("home", "comp").agg(F.sum("n").alias("_n"))
+    home = landed(sizes.groupBy("home").agg(F.max_by("comp", F.struct("_n", "comp")).alias("_major"), F.sum("_n").alias("_total")), "homes")
+    single = F.when(F.col("comp") == F.col("_major"), F.col("comp"))
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("_total") / p.block))
+    classes = landed(homed.join(home, "home").select("id", "n", "comp", single.alias("single"),
+                                                     F.xxhash64("home", single.isNull(), part).alias("block")), "contested")
+    own = texts.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    sets = landed(own.mapInArrow(_setter(p), "id long, keys array<long>").join(classes, "id"), "sets")
+    keys = sets.select("id", "n", "block", "single", "comp", F.explode("keys").alias("key"))
+    shared = landed(keys.groupBy("key").agg(F.count(F.lit(1)).alias("df")), "shared")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
+    need = F.floor((F.col("n") * p.percent + 99) / 100)
+    rarest = keys.join(shared, "key").withColumn("_place", place).filter("df > 1").filter(F.col("_place") <= F.col("n") - need + 1)
+    by_block = landed(rarest.groupBy("key", "block", "single").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "rarest")
+    x, y = by_block.alias("x"), by_block.alias("y")
+    apart = (F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")) & ~(F.coalesce(F.col("x.single") == F.col("y.single"), F.lit(False)))
+    pairs = landed(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block")) & apart)
+                   .select(F.col("x.block").alias("block_x"), F.col("y.block").alias("block_y")).distinct(), "meetings")
+    sides = (pairs.withColumn("block", F.col("block_x")).withColumn("own", F.lit(True))
+             .union(pairs.filter("block_x <> block_y").withColumn("block", F.col("block_y")).withColumn("own", F.lit(False))))
+    met = sides.join(sets.select("block", "id", "n", "comp", "keys"), "block")
+    return (met.repartition("block_x", "block_y").sortWithinPartitions("block_x", "block_y")
+            .mapInArrow(_block_comparer(p), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -235,18 +322,18 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
                    .join(wanted, "doc_id", "left_semi"), "texts")
 
     links = tried = None
-    for round_ in (1, 2, 3):
-        pairs = _partners(members, p, round_) if round_ < 3 else _remaining(members, p)
+    for round_ in (1, 2):
+        pairs = _partners(members, p, round_)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = landed(pairs, "pairs")
-        new = landed(confirmed(pairs, texts, p), "confirmed")
-        tried = pairs if tried is None else tried.union(pairs)
+        tried = landed(pairs, "pairs")
+        new = landed(confirmed(tried, texts, p), "confirmed")
         links = new if links is None else links.union(new)
-        if round_ < 3:
-            members = _with_components(members, links)
-            if members.isEmpty():
-                break
+        members = _with_components(members, links)
+        if members.isEmpty():
+            break
+    else:
+        links = links.union(landed(_contested_links(members, texts, p), "contested"))
     found = components(links).withColumnRenamed("component", "component_id")
     joined = landed(classes.join(found, "id", "left")
                     .select("set_a", "set_b", "copies", "id", F.coalesce("component_id", "id").alias("component_id"))
