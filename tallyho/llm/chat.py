@@ -112,6 +112,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
 
     Null texts and roles are empty; rows without conv_id are one conversation; other columns
     are not read; an empty table gives an empty result.  A conversation is one output row,
-    so its turns meet in one task; nothing larger does.
+    so its turns meet in one task; nothing larger does.  Dealing by conversation first
+    serves every window and grouping after it, so texts are shuffled once.
     """
-    return render(fold(table_events(conversations)))
+    return render(fold(table_events(conversations.select("conv_id", "turn", "role", "text").repartition("conv_id"))))
