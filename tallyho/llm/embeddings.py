@@ -91,14 +91,12 @@ def _hasher(p: Params):
     return run
 
 
-def _links(ids, copies, own, x, keys, nth: int, p: Params):
+def _links(ids, copies, own, x, keys, nth: int, within: bool, p: Params):
     """Links of one group, between its two blocks or within its one block.
 
     Per vector that has any: id, copies linked, smallest id of its component in the group.
     """
     left = np.flatnonzero(own)
-    within = len(left) in (0, len(ids))
-    left = np.arange(len(ids)) if within else left
     right = left if within else np.flatnonzero(~own)
     near = (x[left] @ x[right].T) >= p.cosine
     if within:
@@ -136,7 +134,8 @@ def _comparer(p: Params):
             own = table.column("own").to_numpy(zero_copy_only=False)
             x, _ = normalised(_lists(table.column("vector").combine_chunks(), np.float64))
             keys = _lists(table.column("keys").combine_chunks(), np.int64)
-            out = [_links(ids[a:b], copies[a:b], own[a:b], x[a:b], keys[a:b], int(place[0][a]), p)
+            out = [_links(ids[a:b], copies[a:b], own[a:b], x[a:b], keys[a:b], int(place[0][a]),
+                          place[2][a] == place[3][a], p)
                    for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1]
             columns = [np.concatenate([o[c] for o in out] or [np.empty(0, np.int64)]) for c in range(3)]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "links", "to"])

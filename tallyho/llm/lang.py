@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import batches
 
@@ -216,8 +217,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     nothing was learnt.  A text none of whose n-grams is known has all languages alike: the
     most frequent one, score one over their number.  Ties go to the more frequent language.
     """
-    schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields),
-                        f"{PRED} string", f"{SCORE} double"])
+    schema = T.StructType([*docs.schema.fields, T.StructField(PRED, T.StringType()), T.StructField(SCORE, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**slot_bits bytes for each 8 languages
     return docs.withColumn(TEXT, F.col("text").cast("string")).mapInArrow(_identifier(shared), schema)
 

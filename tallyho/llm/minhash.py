@@ -243,7 +243,7 @@ def _block_links(table: pa.Table, p: Params) -> tuple[np.ndarray, np.ndarray]:
     """One link for each two components of a group that have any; a group is one or two blocks."""
     own = table.column("own").to_numpy(zero_copy_only=False)
     left = np.flatnonzero(own)
-    right = np.flatnonzero(~own) if not own.all() else left
+    right = left if table.column("block_x")[0] == table.column("block_y")[0] else np.flatnonzero(~own)
     ids, comps, n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
     sets = table.column("keys").combine_chunks()
     both = _overlaps(sets.take(pa.array(left)), sets.take(pa.array(right)))

@@ -51,7 +51,7 @@ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::
       FROM w LEFT JOIN p USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines
+       NOT base_failed AND NOT (100 * n_symbols > 5 * word_chars OR 100 * n_dup_lines > 40 * n_lines
                                 OR word_chars < 2 * n_words OR word_chars > 30 * n_words) AS kept
 FROM b
 """

@@ -30,8 +30,8 @@ class Rule:
 RULES = (
     Rule("few_words", "n_words < 50"),
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words"),
-    Rule("symbols", "100 * n_symbols > 10 * word_chars"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("symbols", "100 * n_symbols > 5 * word_chars"),
+    Rule("repeated_lines", "100 * n_dup_lines > 40 * n_lines"),
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 30 * n_words"),
 )
