@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import batches
 
-# Words in a worker's table, and characters of text whose new words are merged together.
-TABLE_SIZE = 1 << 19
-SLICE = 1 << 21
+# Words in a task's table, and characters of text whose new words are merged together.
+TABLE_SIZE = 1 << 18
+SLICE = 1 << 20
 # Texts of characters below this one are in NFC and can be split by the standard, faster re module.
 PLAIN_END = 0x180
 # Bytes of UTF-8 that such texts consist of.
@@ -235,14 +235,11 @@ def words_of(text: str | None, v: Vocabulary) -> list[str]:
     return (v.split_newer if v.newer.search(text) else v.split).findall(text)
 
 
-def encode(texts: Iterable[str | None], table: Words) -> Iterator[list[int]]:
-    """Token ids of each text.  The new words of about SLICE characters of text are merged together."""
+def encode_slices(texts: Iterable[str | None], table: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Token ids of texts, and where each text's ids end, for about SLICE characters of texts at once."""
     def ready(words, ends):
         ids, count = table.ids_of(words)
-        stops = np.r_[0, np.cumsum(count)][np.array([0, *ends])].tolist()
-        ids = ids.tolist()
-        for a, b in zip(stops[:-1], stops[1:]):
-            yield ids[a:b]
+        return ids, np.r_[0, np.cumsum(count)][np.array(ends, np.int64)]
 
     words, ends, size = [], [], 0
     for text in texts:
@@ -250,9 +247,18 @@ def encode(texts: Iterable[str | None], table: Words) -> Iterator[list[int]]:
         ends.append(len(words))
         size += len(text or "")
         if size > SLICE:
-            yield from ready(words, ends)
+            yield ready(words, ends)
             words, ends, size = [], [], 0
-    yield from ready(words, ends)
+    if ends:
+        yield ready(words, ends)
+
+
+def encode(texts: Iterable[str | None], table: Words) -> Iterator[list[int]]:
+    """Token ids of each text.  The new words of about SLICE characters of text are merged together."""
+    for ids, ends in encode_slices(texts, table):
+        ids, ends = ids.tolist(), ends.tolist()
+        for a, b in zip([0, *ends], ends):
+            yield ids[a:b]
 
 
 def decode(ids: Iterable[int], v: Vocabulary) -> str:
@@ -260,10 +266,10 @@ def decode(ids: Iterable[int], v: Vocabulary) -> str:
     return " ".join([v.tokens[i] for i in ids if i is not None and 0 <= i < len(v.tokens)])
 
 
-@lru_cache(maxsize=2)
-def _words(content: str) -> Words:
-    """A Python worker's table, kept from one task to the next."""
-    return Words(parse_vocabulary(content))
+@lru_cache(maxsize=1)
+def _vocabulary(content: str) -> Vocabulary:
+    """A Python worker's vocabulary, kept from one task to the next; the words met belong to a task."""
+    return parse_vocabulary(content)
 
 
 def _sha256(text: str) -> str:
@@ -272,7 +278,7 @@ def _sha256(text: str) -> str:
 
 def _digester(content):
     def run(rows):
-        table = _words(content.value)
+        table = Words(_vocabulary(content.value))
         number, token = table.text, table.v.tokens
         for batch in batches(rows):
             got = [(len(ids), _sha256(" ".join([number[i] for i in ids])), _sha256(" ".join([token[i] for i in ids])))
@@ -285,18 +291,24 @@ def _digester(content):
 
 def _encoder(content):
     def run(rows):
-        table = _words(content.value)
+        table = Words(_vocabulary(content.value))
         for batch in batches(rows):
-            got = list(encode((row.as_py() for row in batch.column("text")), table))
+            ids, ends, total = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], 0
+            for slice_ids, slice_ends in encode_slices((row.as_py() for row in batch.column("text")), table):
+                ids.append(slice_ids.astype(np.int32))
+                ends.append(slice_ends + total)
+                total += len(slice_ids)
+            at = np.concatenate(ends)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(ids) for ids in got], pa.int64()), pa.array(got, pa.list_(pa.int32()))],
+                [batch.column("doc_id"), pa.array(np.diff(at)),
+                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.concatenate(ids)))],
                 names=["doc_id", "n_tokens", "ids"])
     return run
 
 
 def _decoder(content):
     def run(rows):
-        v = _words(content.value).v
+        v = _vocabulary(content.value)
         for batch in batches(rows):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([decode(x.as_py() or [], v) for x in batch.column("ids")], pa.string())],

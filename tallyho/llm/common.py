@@ -15,7 +15,7 @@ from ..session import apply_defaults, checkpoint_dir
 # The white space that ends a word; bytes.split() without arguments splits at exactly these six.
 WORD_ENDS = " \t\n\x0b\x0c\r"
 # Bytes of one Arrow batch handed to Python; bounds a task's memory whatever the texts' lengths are.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -30,7 +30,7 @@ from .common import ascii_words, batches, groups, landed
 from .components import components
 
 SLOTS = 1 << 20
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 18
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                 dtype=np.uint64)
 
