@@ -24,11 +24,16 @@ ILLEGAL_CELL_CLASS = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{84}\\x{86}-\\x{
 # C0 controls except tab/LF/CR only
 ILLEGAL_C0_CLASS = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]"
 MAX_CELL_CHARS = 32767
+# wide enough for any amount on a sheet; rounding is left to the output
+AMOUNT_TYPE = "decimal(38,6)"
 
 # T5: what counts as a number (pandas.to_numeric accepts these; Spark's cast would also
 # accept '1d', 'nan', 'Infinity', which must stay null)
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
+# H6: characters that a normalised column name does not have
+NAME_NOISE = "".join(config.NAME_NOISE_CHARS)
+
 FULLWIDTH_DIGITS = "０１２３４５６７８９"
 ASCII_DIGITS = "0123456789"
 
@@ -49,8 +54,13 @@ def blank_to_null(c) -> Column:
 
 
 def clean_cell(c) -> Column:
-    """drop characters illegal in a spreadsheet cell and cut to 32,767 characters."""
-    return F.substring(F.regexp_replace(_col(c), ILLEGAL_CELL_CLASS, ""), 1, MAX_CELL_CHARS)
+    """drop characters illegal in a spreadsheet cell; the length stays."""
+    return F.regexp_replace(_col(c), ILLEGAL_CELL_CLASS, "")
+
+
+def cut_cell(c) -> Column:
+    """the first 32,767 characters, for output that ends in a spreadsheet cell."""
+    return F.substring(_col(c), 1, MAX_CELL_CHARS)
 
 
 def clean_report_text(c) -> Column:
@@ -78,8 +88,9 @@ def parse_number(c) -> Column:
 
 
 def parse_amount(c) -> Column:
-    """F4 for money: the number as DECIMAL(18,2) (exact sums, order-independent)."""
-    return (parse_number(c)).try_cast("decimal(18,2)")
+    """F4 for money: the number as AMOUNT_TYPE (exact sums, order-independent)."""
+    s = strip(F.regexp_replace(_col(c).cast("string"), ",", ""))
+    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast(AMOUNT_TYPE))
 
 
 def is_blank(c) -> Column:
@@ -94,16 +105,12 @@ def starts_with_subtotal(c, prefix: str = config.SUBTOTAL_PREFIX) -> Column:
 
 def norm_name(c) -> Column:
     """H6: column-name normal form: strip, lower case, drop space _ - ( ) （ ） [ ] 【 】 : ："""
-    noise = "".join("\\" + ch if ch in "[]()-" else ch for ch in config.NAME_NOISE_CHARS)
-    return F.regexp_replace(F.lower(strip(c)), f"[{noise}]", "")
+    return F.translate(F.lower(strip(c)), NAME_NOISE, "")
 
 
 def norm_name_py(name: str) -> str:
-    """H6 on the driver, for column *names* (metadata only)."""
-    s = str(name).strip().lower()
-    for ch in config.NAME_NOISE_CHARS:
-        s = s.replace(ch, "")
-    return s
+    """The same rule on the driver, for column *names* (metadata only)."""
+    return str(name).strip(WS_CHARS).lower().translate(dict.fromkeys(map(ord, NAME_NOISE)))
 
 
 def format_amount(c, unit: str = "TWD") -> Column:

@@ -136,5 +136,10 @@ def sheet_rows_wide(cells: DataFrame, colmap: DataFrame, canonical=config.CANONI
     used = F.map_values(F.col("cols"))
     kept = F.map_filter(F.col("_tly_cells"), lambda k, v: ~F.array_contains(used, k)
                         & F.try_element_at(F.col("names"), k).isNotNull())
-    other = F.transform_keys(kept, lambda k, v: F.try_element_at(F.col("names"), k)).alias("other_columns")
+    # a header that an earlier column of the sheet has too gets a number, so no value is lost
+    def unique(k):
+        name = F.try_element_at(F.col("names"), k)
+        earlier = F.size(F.map_filter(F.col("names"), lambda c, n: (c < k) & (n == name)))
+        return F.when(earlier > 0, F.concat(name, F.lit("."), earlier.cast("string"))).otherwise(name)
+    other = F.transform_keys(kept, lambda k, v: unique(k)).alias("other_columns")
     return joined.select(*SHEET, *extra, "row_idx", *wide, other)

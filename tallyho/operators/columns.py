@@ -26,6 +26,17 @@ def pick_column(columns: list[str], candidates: list[str], normalise: bool = Fal
     return next((c for c in candidates if c in present), None)
 
 
+def spelled(columns: list[str], name: str) -> str | None:
+    """The column that equals ``name`` apart from case."""
+    return next((c for c in columns if c.lower() == name.lower()), None)
+
+
+def shared_column(left: list[str], right: list[str], candidates: list[str]) -> tuple[str, str] | None:
+    """How both sides spell the first candidate that both have."""
+    both = ((spelled(left, name), spelled(right, name)) for name in candidates)
+    return next((pair for pair in both if None not in pair), None)
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     """H8: column names stripped and made text."""
     return df.toDF(*[str(c).strip() for c in df.columns])

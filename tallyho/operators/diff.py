@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import sheet_date
 from ..functions.text import norm_text
+from .columns import shared_column
 from .skew import occurrence_number
 
 OCC = "_tly_occ"
@@ -58,17 +59,8 @@ def pick_keys(left_cols: list[str], right_cols: list[str],
     """From each candidate group, the first name present on both sides (case-insensitive)."""
     if groups is None:
         groups = [config.KEY_GROUP1_FIRST + config.KEY_CANDIDATE_GROUPS[0], *config.KEY_CANDIDATE_GROUPS[1:]]
-    lmap = {c.lower(): c for c in left_cols}
-    rmap = {c.lower(): c for c in right_cols}
-    lk, rk = [], []
-    for group in groups:
-        for name in group:
-            low = name.lower()
-            if low in lmap and low in rmap:
-                lk.append(lmap[low])
-                rk.append(rmap[low])
-                break
-    return lk, rk
+    found = [hit for group in groups if (hit := shared_column(left_cols, right_cols, group))]
+    return [left for left, _ in found], [right for _, right in found]
 
 
 @dataclass

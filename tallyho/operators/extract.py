@@ -35,18 +35,23 @@ def exclude_keywords(df: DataFrame, columns: list[str], keywords=config.EXCLUDE_
     return df.where(~hit)
 
 
-def exclude_keyword_table(df: DataFrame, column: str, keywords: DataFrame, max_keywords: int = 100_000) -> DataFrame:
-    """P11 with keywords in a table: left-anti join on ``contains``.
+def exclude_keyword_table(df: DataFrame, column: str, keywords: DataFrame, gram: int = 3) -> DataFrame:
+    """P11 with keywords in a table of any size: rows whose text contains one are dropped.
 
-    The keyword table is broadcast, so its size is checked first (an action on a
-    one-column table); beyond ``max_keywords`` the job stops instead of shipping an
-    unbounded table to every task.
+    A text that contains a keyword contains the keyword's first ``gram`` characters (all of a
+    shorter one).  Distinct texts are joined with the keywords on those beginnings, an
+    equi-join, and the pairs checked exactly; nothing is broadcast by force or capped.
+    Empty and null keywords match nothing.
     """
-    n = keywords.count()
-    if n > max_keywords:
-        raise ValueError(f"{n} keywords exceed the broadcast bound {max_keywords}")
-    kw = F.broadcast(keywords.select(F.col(keywords.columns[0]).alias("_tly_kw")))
-    return df.join(kw, F.col(column).contains(F.col("_tly_kw")), "left_anti")
+    kw = (keywords.select(F.col(keywords.columns[0]).cast("string").alias("_tly_kw")).where("_tly_kw <> ''").distinct()
+          .withColumn("_tly_gram", F.substring("_tly_kw", 1, gram)))
+    texts = df.select(F.col(column).alias("_tly_text")).where("_tly_text is not null").distinct()
+    places = F.sequence(F.lit(1), F.greatest(F.length("_tly_text"), F.lit(1)))
+    grams = F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(
+        *[F.substring(F.col("_tly_text"), i, F.lit(n)) for n in range(1, gram + 1)]))))
+    hits = (texts.withColumn("_tly_gram", F.explode(grams)).join(kw, "_tly_gram")
+            .where(F.contains("_tly_text", "_tly_kw")).select("_tly_text").distinct())
+    return df.join(hits, F.col(column) == F.col("_tly_text"), "left_anti")
 
 
 def incremental_pick(source: DataFrame, manifest: DataFrame, name: str = "name", mtime: str = "mtime") -> DataFrame:

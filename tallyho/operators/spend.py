@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.text import blank_to_null, is_blank, parse_amount, pct_label, starts_with_subtotal
+from ..functions.text import AMOUNT_TYPE, blank_to_null, is_blank, parse_amount, pct_label, starts_with_subtotal
 
 AMOUNT = "amount"
 
@@ -46,13 +46,13 @@ def spend_rows(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT
                null_category: str = "drop") -> DataFrame:
     """P2 + P3 + P4 + F4: the cleaned ``(dimension, amount)`` rows that feed every spend table.
 
-    ``amount`` may be text ('1,500.25') or numeric; it becomes DECIMAL(18,2).  Rows without
+    ``amount`` may be text ('1,500.25') or numeric; it becomes an exact decimal.  Rows without
     an amount are dropped; rows without a category are dropped (``null_category="drop"``)
     or kept as their own group (``"keep"``).
     """
     cleaned = drop_blank_rows(drop_subtotal_rows(df))
     dtype = dict(cleaned.dtypes)[amount]
-    amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast("decimal(18,2)")
+    amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast(AMOUNT_TYPE)
     # P5: only the two columns the aggregates need are kept (Catalyst prunes the scan)
     out = cleaned.select(blank_to_null(F.col(dimension).cast("string")).alias(dimension), amt.alias(AMOUNT))
     out = out.where(F.col(AMOUNT).isNotNull())
@@ -149,7 +149,7 @@ def vendor_share(df: DataFrame, n: int = config.TOP_TERMS, dimension: str = "ter
     top = _ranked(sum_by(rows, dimension), dimension, n).select(dimension)
     cleaned = drop_blank_rows(drop_subtotal_rows(df))
     dtype = dict(cleaned.dtypes)[amount]
-    amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast("decimal(18,2)")
+    amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast(AMOUNT_TYPE)
     detail = (cleaned.select(blank_to_null(F.col(dimension).cast("string")).alias(dimension),
                              blank_to_null(F.col(vendor).cast("string")).alias(vendor), amt.alias(AMOUNT))
               .join(F.broadcast(top), dimension, "left_semi")

@@ -290,7 +290,7 @@ def number_sql(e: str) -> str:
 
 
 def clean_cell_sql(e: str) -> str:
-    return f"substring(regexp_replace({e}, '{_ILLEGAL}', '', 'g'), 1, 32767)"
+    return f"regexp_replace({e}, '{_ILLEGAL}', '', 'g')"
 
 
 _CANON = ["voucher_date", "voucher_no", "vendor_code", "vendor_name", "term_code", "term_name",
@@ -521,7 +521,7 @@ t AS (SELECT folder, path, coalesce(
 r AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY ts DESC, path DESC) AS rn FROM t)
 SELECT folder, path AS latest_file, CAST(ts AS TIMESTAMP) AS file_ts FROM r WHERE rn = 1""",
     "clean_text": f"""
-WITH c AS (SELECT doc_id, regexp_replace(text, '{_ILLEGAL}', '', 'g') AS whole, {clean_cell_sql('text')} AS cell,
+WITH c AS (SELECT doc_id, regexp_replace(text, '{_ILLEGAL}', '', 'g') AS whole, substring({clean_cell_sql('text')}, 1, 32767) AS cell,
   coalesce(regexp_replace(text, '{_C0}', '', 'g'), '') AS report FROM documents)
 SELECT doc_id, CAST(length(whole) AS INTEGER) AS full_len, md5(whole) AS full_md5,
  CAST(length(cell) AS INTEGER) AS clean_len, md5(cell) AS clean_md5,
@@ -595,10 +595,8 @@ SELECT date_trunc('hour', ts) AS bucket, count(*) AS n,
  CAST(sum(CAST(rh AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS rh_avg, min(rh) AS rh_min, max(rh) AS rh_max,
  CAST(sum(CAST(temp_c AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS temp_c_avg, min(temp_c) AS temp_c_min,
  max(temp_c) AS temp_c_max
-FROM good GROUP BY date_trunc('hour', ts)
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM good) - INTERVAL 1 HOUR"""
+FROM good GROUP BY date_trunc('hour', ts)"""
 
 ORACLE["extract_range"] = f"""
 SELECT *, concat_ws(chr(9), {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in _ORDER_COLS)}) AS line
-FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'
-ORDER BY o_orderkey LIMIT 100"""
+FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'"""

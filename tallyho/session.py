@@ -95,15 +95,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     file system every executor can reach).  Only when nothing is configured -- local runs
     and tests -- a fresh scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    path = current or tempfile.mkdtemp(prefix="tallyho-ckpt-")
-    if not current:
+    context = getattr(spark, "sparkContext", None)
+    known = context.getCheckpointDir() if context else None
+    path = spark.conf.get("spark.checkpoint.dir", None) or known
+    if path is None:
+        if context is None or not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="tallyho-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # remote sessions: DataFrame.checkpoint uses the conf directly
-        pass
+    if context and known is None:
+        context.setCheckpointDir(path)
     return path
 
 

@@ -6,6 +6,7 @@ file contents are never read just to list them.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,9 +85,15 @@ def pick_sheet(cells: DataFrame, name: str | None = None) -> DataFrame:
     return cells.where(F.col("sheet_idx") == cells.agg(F.min("sheet_idx")).scalar())
 
 
+# Spark's conditions for a folder that does not exist, or holds no file yet
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def previous_output_columns(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names of the previous output (schema only, no job); None if unreadable."""
+    """Column names of the previous output (schema only, no job); None if there is none."""
     try:
         return spark.read.parquet(path).columns or None
-    except Exception:  # a missing or unreadable template just means "no template"
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in NO_TABLE:  # there is no previous output yet
+            return None
+        raise

@@ -30,9 +30,9 @@ def read_view(spark: SparkSession, url: str, table: str, user: str | None = None
 
 
 def extract(view: DataFrame, date_column: str | None = None, start=None, end=None,
-            limit: int | None = config.EXTRACT_ROWS, order: list[str] | None = None) -> DataFrame:
+            limit: int | None = None, order: list[str] | None = None) -> DataFrame:
     """P13 + O5: optional day / interval filter (pushed to the database), optional order,
-    then the row limit."""
+    and a row limit only where one is given (``config.EXTRACT_ROWS`` for the top-n extract)."""
     out = view
     if date_column and start is not None:
         out = out.where(F.col(date_column) >= F.lit(start))

@@ -42,7 +42,8 @@ def _col_index(letters: str) -> int:
 
 
 def _text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t"))
+    """Text of a string item: its own text and its runs, without phonetic hints."""
+    return "".join(t.text or "" for path in ("m:t", "m:r/m:t") for t in node.findall(path, _NS))
 
 
 def workbook_cells(data: bytes, first_sheet_only: bool = False):

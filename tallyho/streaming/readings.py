@@ -13,12 +13,14 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import readings as ops
 from ..session import checkpoint_dir
+from ..sources.files import NO_TABLE
 
 DEFAULT_INTERVAL = "10 seconds"   # the original poll interval
 
@@ -106,15 +108,21 @@ def catch_up(data: DataFrame, run_log_path: str, job, day: str = "day") -> DataF
     then record those days.  Started late, one run processes all missed days together
     (one job, not a loop); restarted, it skips what the run table already lists.
 
-    ``job`` receives the rows of the pending days and returns the DataFrame it produced.
+    ``job`` receives the rows of the pending days and returns the DataFrame it produced.  The
+    result is written (to the shared checkpoint folder) before the days are recorded, so a
+    failed job leaves its days pending.
     """
     spark = data.sparkSession
     try:
         done = spark.read.parquet(run_log_path).select(day)
-    except Exception:  # no run table yet: nothing has run
+    except AnalysisException as e:
+        if e.getCondition() not in NO_TABLE:
+            raise
+        # no run table yet: nothing has run
         done = spark.createDataFrame([], data.select(day).schema)
-    pending = pending_days(data.select(day), done, day)
-    result = job(data.join(pending, day, "left_semi"))
+    checkpoint_dir(spark)
+    pending = pending_days(data.select(day), done, day).checkpoint()
+    result = job(data.join(pending, day, "left_semi")).checkpoint()
     record_runs(pending, run_log_path, day)
     return result
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tallyho.plans.catalog import QUERIES
 
 
 def plan_of(spark, name):
@@ -12,7 +13,7 @@ def plan_of(spark, name):
     return qe.optimizedPlan().toString() + "\n" + qe.executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_row_at_a_time_python(spark, name):
     if name in ("readings_stream", "readings_rollup_stream"):
         pytest.skip("streaming queries return the sink's table")
