@@ -30,6 +30,7 @@ CASH_DATE_ALIASES = ["預計兌現日"]
 # canonical column -> aliases; the consolidated voucher table uses these names
 CANONICAL_ALIASES = {
     "voucher_date": DATE_ALIASES,
+    "doc_date": DOC_DATE_ALIASES[:1],
     "voucher_no": VOUCHER_NO_ALIASES,
     "vendor_code": VENDOR_CODE_ALIASES,
     "vendor_name": VENDOR_ALIASES,

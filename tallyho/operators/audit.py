@@ -20,6 +20,7 @@ STATUS_SKIPPED = "skipped"
 STATUS_UNSUPPORTED = "unsupported"
 STATUS_MISMATCH = "mismatch"
 STATUS_MATCH = "match"
+STATUS_NOT_COMPARED = "not compared"   # the table has no planned-date column
 
 REPORT_COLUMNS = ["voucher_no", "doc_date", "vendor_code", "vendor_name", "term_code", "term_name",
                   "planned_pay_date", "expected_pay_date", "days_diff", "basis"]
@@ -47,7 +48,8 @@ def audit_payments(df: DataFrame) -> DataFrame:
     """D7 + P8 + P10 + D8 + P6 on a voucher table.
 
     Output: the canonical voucher columns (missing ones as null, H11) plus
-    ``expected_pay_date, pay_rule, basis, is_consistent, days_diff, audit_status``.
+    ``expected_pay_date, pay_rule, basis, is_consistent, days_diff, audit_status``.  Without a
+    planned-date column nothing can be compared: ``is_consistent`` is null, no row a mismatch.
     """
     found = resolve_audit_columns(df.columns)
     dtypes = dict(df.dtypes)
@@ -65,9 +67,11 @@ def audit_payments(df: DataFrame) -> DataFrame:
                      planned.alias("planned_pay_date"))
     vendor = "vendor_name" if found["vendor_name"] else None
     exp = F.col("expected_pay_date")
-    consistent = F.when(exp.isNotNull(), F.coalesce(F.col("planned_pay_date") == exp, F.lit(False)))
+    comparable = exp.isNotNull() if found["planned_pay_date"] else F.lit(False)
+    consistent = F.when(comparable, F.coalesce(F.col("planned_pay_date") == exp, F.lit(False)))
     status = (F.when(F.col("pay_rule") == RULE_SKIPPED, STATUS_SKIPPED)
               .when(exp.isNull(), STATUS_UNSUPPORTED)
+              .when(F.col("is_consistent").isNull(), STATUS_NOT_COMPARED)
               .when(~F.col("is_consistent"), STATUS_MISMATCH)
               .otherwise(STATUS_MATCH))
     audited = (with_expected_pay_date(base, "doc_date", "term_name", vendor)

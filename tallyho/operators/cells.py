@@ -115,9 +115,10 @@ def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_
     return with_date.withColumn("cols", F.when(has_date, F.col("cols")).otherwise(fallback))
 
 
-def sheet_rows_wide(cells: DataFrame, colmap: DataFrame, canonical=config.CANONICAL_ALIASES) -> DataFrame:
+def sheet_rows_wide(cells: DataFrame, colmap: DataFrame, canonical=config.CANONICAL_ALIASES,
+                    per_sheet: tuple[str, ...] = ()) -> DataFrame:
     """H3 + H4 + pivot: one row per non-blank grid row below the header, one column per
-    canonical name (raw text).
+    canonical name (raw text); ``per_sheet`` names further columns of ``colmap`` to carry.
 
     Cells are first grouped per grid row -- a group is one row's cells, bounded by the
     sheet width -- and only then joined with the per-sheet column map, so a very large
@@ -142,4 +143,4 @@ def sheet_rows_wide(cells: DataFrame, colmap: DataFrame, canonical=config.CANONI
         earlier = F.size(F.map_filter(F.col("names"), lambda c, n: (c < k) & (n == name)))
         return F.when(earlier > 0, F.concat(name, F.lit("."), earlier.cast("string"))).otherwise(name)
     other = F.transform_keys(kept, lambda k, v: unique(k)).alias("other_columns")
-    return joined.select(*SHEET, *extra, "row_idx", *wide, other)
+    return joined.select(*SHEET, *extra, *per_sheet, "row_idx", *wide, other)

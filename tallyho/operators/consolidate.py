@@ -21,7 +21,7 @@ from .skew import fill_down
 
 TEXT_COLUMNS = ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_name"]
 DATE_COLUMNS = ["planned_pay_date", "cash_date"]
-OUTPUT_COLUMNS = ["voucher_date", "voucher_no", "vendor_code", "vendor_name", "term_code", "term_name",
+OUTPUT_COLUMNS = ["voucher_date", "doc_date", "voucher_no", "vendor_code", "vendor_name", "term_code", "term_name",
                   "planned_pay_date", "cash_date", "amount", "source_folder", "source_file", "sheet_name",
                   "source_row", "other_columns"]
 
@@ -37,7 +37,12 @@ def consolidate(cells: DataFrame, header_keys=config.HEADER_KEYS, min_hits: int
                 fill_block_rows: int = 1 << 20) -> Consolidated:
     headers = C.header_rows(cells, header_keys, min_hits)
     colmap = C.column_map(cells, headers)
-    rows = C.sheet_rows_wide(cells, colmap)
+    # a sheet with a document date beside its voucher date: that column is the document date,
+    # blank or not; elsewhere the voucher date is
+    cols = F.col("cols")
+    own = cols.getItem("doc_date") != cols.getItem("voucher_date")
+    rows = C.sheet_rows_wide(cells, colmap.select("*", F.coalesce(own, F.lit(False)).alias("_tly_own_doc")),
+                             per_sheet=("_tly_own_doc",))
     # The date text is filled down within a sheet before parsing ('', 'nan', 'NaT'
     # count as missing); skew-safe forward fill in blocks of rows
     raw_date = strip(F.col("voucher_date"))
@@ -48,6 +53,7 @@ def consolidate(cells: DataFrame, header_keys=config.HEADER_KEYS, min_hits: int
     folder = F.col("folder") if "folder" in cells.columns else F.lit(None).cast("string")
     table = dated.select(
         "voucher_date",
+        F.when(F.col("_tly_own_doc"), sheet_date(F.col("doc_date"))).otherwise(F.col("voucher_date")).alias("doc_date"),
         *[clean_cell(F.col(c)).alias(c) for c in TEXT_COLUMNS],
         *[sheet_date(F.col(c)).alias(c) for c in DATE_COLUMNS],
         parse_number(F.col("amount")).alias("amount"),

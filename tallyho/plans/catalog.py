@@ -149,6 +149,13 @@ def consolidated(spark, sf_dir):
     return consolidate.consolidate(_cells(spark, sf_dir)).table.drop("other_columns")
 
 
+@query("audit_consolidated")
+def audit_consolidated(spark, sf_dir):
+    """Cell grids -> consolidated vouchers -> payment audit; the document date goes before the voucher date."""
+    table = consolidate.consolidate(fixtures.voucher_cells(spark, sf_dir)).table
+    return audit.audit_payments(table).withColumn("days_diff", F.col("days_diff").cast("int"))
+
+
 @query("consolidated_file_log")
 def consolidated_file_log(spark, sf_dir):
     return consolidate.consolidate(_cells(spark, sf_dir)).file_log
@@ -406,6 +413,7 @@ QUERY_OPS = {
     "cells_table": "H3 H4 J6 H8",
     "consolidated": "H1 H3 H4 H7 H9 H10 W1 D1 P1 F1 F4 U1",
     "consolidated_sorted": "O1",
+    "audit_consolidated": "H7 D1 D3 D7 W1 P6 P8 P10",
     "consolidated_file_log": "A8",
     "consolidated_errors": "H13",
     "frame_crc": "M2 M8 S11 F13",

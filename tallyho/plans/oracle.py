@@ -248,6 +248,17 @@ sheet_rows AS (
  UNION ALL SELECT file, sheet, rn + 2, 3, concat(CAST(c_custkey % 900 + 1 AS VARCHAR), ',500.25') FROM sheet_rows
 ), nb AS (SELECT * FROM cells WHERE value IS NOT NULL AND value <> '')"""
 
+VOUCHER_CELLS = CELLS.replace("), nb AS", """
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 4, '單據日期' FROM sheet_rows WHERE c_nationkey % 4 = 0 AND c_nationkey <> 24
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 5, '付款條件名稱' FROM sheet_rows WHERE c_nationkey <> 24
+ UNION ALL SELECT DISTINCT file, sheet, CAST(2 AS BIGINT), 6, '預計付款日' FROM sheet_rows WHERE c_nationkey <> 24
+ UNION ALL SELECT file, sheet, rn + 2, 4, concat('2023/', CAST(c_custkey % 12 + 1 AS VARCHAR), '/', CAST(c_custkey % 28 + 1 AS VARCHAR))
+  FROM sheet_rows WHERE c_nationkey % 4 = 0 AND c_nationkey <> 24 AND c_custkey % 7 <> 0
+ UNION ALL SELECT file, sheet, rn + 2, 5, CASE c_custkey % 4 WHEN 0 THEN '月結30天' WHEN 1 THEN '當月15號'
+  WHEN 2 THEN '次月15號付款' ELSE '月結60天' END FROM sheet_rows
+ UNION ALL SELECT file, sheet, rn + 2, 6, concat('2024/', CAST(c_custkey % 12 + 1 AS VARCHAR), '/15') FROM sheet_rows
+), nb AS""")
+
 _HEADER_KEYS = "'憑單日期', '憑單單號', '單據日期', '廠商代號', '廠商簡稱', '付款條件代號', '付款條件名稱', '預計付款日', '預計兌現日'"
 HEADERS = f"""
 hits AS (SELECT file, sheet, row_idx, count(DISTINCT {strip_sql('value')}) AS hits FROM nb
@@ -259,6 +270,7 @@ names AS (SELECT nb.file, nb.sheet, col_idx, {strip_sql('value')} AS name FROM n
 _ALIAS_ROWS = []
 for _canon, _aliases in [
         ("voucher_date", ["憑單日期", "憑單日", "憑單日期(西元)", "單據日期"]),
+        ("doc_date", ["單據日期"]),
         ("voucher_no", ["憑單單號", "單據編號", "憑單編號", "單號", "發票號碼"]),
         ("vendor_code", ["廠商代號"]),
         ("vendor_name", ["廠商簡稱", "廠商名稱", "供應商名稱", "供應商"]),
@@ -294,7 +306,7 @@ def clean_cell_sql(e: str) -> str:
 
 
 _CANON = ["voucher_date", "voucher_no", "vendor_code", "vendor_name", "term_code", "term_name",
-          "planned_pay_date", "cash_date", "amount"]
+          "planned_pay_date", "cash_date", "amount", "doc_date"]
 CONSOLIDATED = f"""
 aliases AS (SELECT * FROM (VALUES {_ALIASES}) t(alias, canonical, priority)),
 picked AS (SELECT file, sheet, canonical, col_idx FROM (
@@ -304,6 +316,8 @@ picked AS (SELECT file, sheet, canonical, col_idx FROM (
 colmap AS (SELECT * FROM picked UNION ALL
   SELECT file, sheet, 'voucher_date', 1 FROM hdr WHERE NOT EXISTS (
    SELECT 1 FROM picked p WHERE p.file = hdr.file AND p.sheet = hdr.sheet AND p.canonical = 'voucher_date')),
+own_doc AS (SELECT d.file, d.sheet FROM colmap d JOIN colmap v ON d.file = v.file AND d.sheet = v.sheet
+  WHERE d.canonical = 'doc_date' AND v.canonical = 'voucher_date' AND d.col_idx <> v.col_idx),
 body AS (SELECT nb.file, nb.sheet, nb.row_idx, nb.col_idx, nb.value FROM nb JOIN hdr ON nb.file = hdr.file
          AND nb.sheet = hdr.sheet WHERE row_idx > header_row),
 wide AS (SELECT b.file, b.sheet, b.row_idx,
@@ -316,6 +330,8 @@ filled AS (SELECT *, last_value(dt IGNORE NULLS) OVER (PARTITION BY file, sheet
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dtext FROM marked),
 consolidated AS (
  SELECT {sheet_date_sql('dtext')} AS voucher_date,
+  CASE WHEN (file, sheet) IN (SELECT (file, sheet) FROM own_doc) THEN {sheet_date_sql('doc_date')}
+       ELSE {sheet_date_sql('dtext')} END AS doc_date,
   {", ".join(f"{clean_cell_sql(c)} AS {c}" for c in ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_name"])},
   {sheet_date_sql('planned_pay_date')} AS planned_pay_date, {sheet_date_sql('cash_date')} AS cash_date,
   {number_sql('amount')} AS amount,
@@ -349,6 +365,9 @@ FROM nb JOIN hdr ON nb.file = hdr.file AND nb.sheet = hdr.sheet
 LEFT JOIN names ON nb.file = names.file AND nb.sheet = names.sheet AND nb.col_idx = names.col_idx
 WHERE nb.row_idx > hdr.header_row""",
     "consolidated": with_ctes(CELLS, HEADERS, CONSOLIDATED) + "SELECT * FROM consolidated",
+    "audit_consolidated": with_ctes(VOUCHER_CELLS, HEADERS, CONSOLIDATED, """
+vouchers AS (SELECT voucher_no, doc_date, vendor_code, vendor_name, term_name, planned_pay_date FROM consolidated)""",
+                                    AUDITED) + "SELECT * FROM audited",
     "consolidated_file_log": with_ctes(CELLS, HEADERS, CONSOLIDATED) + """
 SELECT source_folder, source_file, sheet_name, count(*) AS rows FROM consolidated
 GROUP BY source_folder, source_file, sheet_name""",

@@ -128,6 +128,32 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode(sheets, title_and_header).unionByName(explode(rows, data))
 
 
+def voucher_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cells`` with a payment term and a planned date in every sheet; every fourth sheet has
+    a document date (some blank) beside its voucher date."""
+    rows = sheet_rows(spark, sf_dir)
+    nk, ck = F.col("c_nationkey"), F.col("c_custkey")
+    month, day = (ck % 12 + 1).cast("string"), (ck % 28 + 1).cast("string")
+    both = (nk % 4 == 0) & (nk != 24)
+
+    def cell(row_idx, col_idx, value, keep=F.lit(True)):
+        return F.when(keep, F.struct(row_idx.cast("long").alias("row_idx"), F.lit(col_idx).cast("int").alias("col_idx"),
+                                     value.alias("value")))
+
+    header, data, first = F.lit(HEADER_ROW), F.col("rn") + HEADER_ROW, F.col("rn") == 1
+    parts = F.array(
+        cell(header, 4, F.lit("單據日期"), first & both),
+        cell(header, 5, F.lit("付款條件名稱"), first & (nk != 24)),
+        cell(header, 6, F.lit("預計付款日"), first & (nk != 24)),
+        cell(data, 4, F.concat(F.lit("2023/"), month, F.lit("/"), day), both & (ck % 7 != 0)),
+        cell(data, 5, F.element_at(F.array(*[F.lit(t) for t in ("月結30天", "當月15號", "次月15號付款", "月結60天")]),
+                                   (ck % 4 + 1).cast("int"))),
+        cell(data, 6, F.concat(F.lit("2024/"), month, F.lit("/15"))))
+    more = (rows.select("file", "sheet", F.explode(parts).alias("_c")).where(F.col("_c").isNotNull())
+            .select("file", "sheet", "_c.*"))
+    return cells(spark, sf_dir).unionByName(more)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw humidity/temperature replies, one per event; every 50th is malformed."""
     return replies_from_events(read_table(spark, sf_dir, "events"))

@@ -84,6 +84,29 @@ def test_consolidation_then_audit(spark):
     assert (mism.voucher_no, str(mism.expected_pay_date), mism.days_diff) == ("V2", "2025-12-15", -5)
 
 
+def test_document_date_goes_before_voucher_date(spark):
+    root = tempfile.mkdtemp(prefix="tallyho-docdate-")
+    head = ["憑單日期", "單據日期", "憑單單號", "廠商簡稱", "付款條件名稱", "預計付款日", "本幣貨款金額"]
+    write_xlsx(os.path.join(root, "north", "book.xlsx"), {
+        "both": [head, ["2025/11/20", "2025/10/05", "V1", "ACME", "月結30天", "2025/11/30", 10],
+                 [None, None, "V2", "ACME", "月結30天", "2025/11/30", 10]],
+        "one": [["單據日期", *head[2:]], ["2025/10/05", "V3", "ACME", "月結30天", "2025/11/30", 10],
+                [None, "V4", "ACME", "月結30天", "2025/12/30", 10]]})
+    out = os.path.join(root, "_out")
+    paths = jobs.consolidation_job(spark, root, out, run_ts="r1")
+    reports = jobs.audit_job(spark, paths["TOTAL"], os.path.join(out, "audit"), run_ts="r1")
+    got = {r.voucher_no: (str(r.doc_date), r.audit_status) for r in spark.read.parquet(reports["all"]).collect()}
+    assert got["V1"] == ("2025-10-05", "match") and got["V2"][0] == "None"
+    assert got["V3"] == ("2025-10-05", "match") and got["V4"] == ("2025-10-05", "mismatch")
+
+
+def test_audit_without_a_planned_date_column(spark):
+    df = spark.createDataFrame([("2025/10/05", "月結30天"), (None, "月結30天")], "`單據日期` string, `付款條件名稱` string")
+    rows = jobs.audit.audit_payments(df).collect()
+    assert all(r.is_consistent is None and r.audit_status != "mismatch" for r in rows)
+    assert "not compared" in {r.audit_status for r in rows}
+
+
 def test_spend_job(spark):
     root = tempfile.mkdtemp(prefix="tallyho-spend-")
     _books(root)
