@@ -90,22 +90,24 @@ def column_map(cells: DataFrame, headers: DataFrame, canonical=config.CANONICAL_
     map canonical -> col_idx and ``names`` a map col_idx -> header name (all named columns).
     """
     spark = cells.sparkSession
-    names = header_cells(cells, headers)
     aliases = alias_table(spark, canonical)
+    key = F.col("name")
     if normalise:
         # H6: compare normalised names (trim, lower case, punctuation removed)
-        names = names.withColumn("name", norm_name(F.col("name")))
+        key = norm_name(key)
         aliases = aliases.withColumn("alias", norm_name(F.col("alias")))
-    aliases = F.broadcast(aliases)
-    picked = (names.join(aliases, names["name"] == aliases["alias"])
+    # the header cells are read once: canonical columns and all named cells (col_idx -> name)
+    # come from the same two aggregates; a sheet has as many as it is wide
+    named = header_cells(cells, headers).withColumn("_tly_key", key)
+    picked = (named.join(F.broadcast(aliases), F.col("_tly_key") == F.col("alias"), "left")
               .groupBy(*SHEET, "canonical")
-              .agg(F.min_by("col_idx", F.struct("priority", "col_idx")).alias("col_idx")))
-    per_sheet = picked.groupBy(*SHEET).agg(F.map_from_entries(F.collect_list(F.struct("canonical", "col_idx")))
-                                           .alias("cols"))
-    # every named header cell of the sheet (col_idx -> name), for the non-canonical columns
-    all_names = (header_cells(cells, headers).groupBy(*SHEET)
-                 .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "name"))).alias("names")))
-    with_date = (headers.join(per_sheet, SHEET, "left").join(all_names, SHEET, "left")
+              .agg(F.min_by("col_idx", F.struct("priority", "col_idx")).alias("col_idx"),
+                   F.collect_set(F.struct("col_idx", "name")).alias("named")))
+    canon = F.when(F.col("canonical").isNotNull(), F.struct("canonical", "col_idx"))
+    per_sheet = picked.groupBy(*SHEET).agg(
+        F.map_from_entries(F.collect_list(canon)).alias("cols"),
+        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("named")))).alias("names"))
+    with_date = (headers.join(per_sheet, SHEET, "left")
                  .withColumn("cols", F.coalesce(F.col("cols"), F.create_map().cast("map<string,int>")))
                  .withColumn("names", F.coalesce(F.col("names"), F.create_map().cast("map<int,string>"))))
     if date_col is None:

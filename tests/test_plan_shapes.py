@@ -41,6 +41,12 @@ def test_scan_pruning_and_pushdown(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in audit
 
 
+def test_date_range_reaches_the_scan(spark):
+    df = entry.queries()["readings_window"](spark, SF_SMALL)
+    pushed = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "PushedFilters" in line]
+    assert pushed and any("GreaterThanOrEqual(ts" in line and "LessThan(ts" in line for line in pushed)
+
+
 def test_audit_rule_not_inlined_into_join(spark):
     plan = plan_of(spark, "audit_mismatch_by_term")
     assert "CollectMetrics" in plan
