@@ -15,6 +15,7 @@ from .. import config
 from ..functions.text import norm_name, norm_name_py, strip
 
 SHEET = ["file", "sheet"]
+ROW_BLOCK_BITS = 16   # joins of rows with their sheet's header go by blocks of 2^16 rows
 
 
 def non_blank(cells: DataFrame) -> DataFrame:
@@ -64,12 +65,22 @@ def header_cells(cells: DataFrame, headers: DataFrame) -> DataFrame:
             .where(F.col("name") != ""))
 
 
+def _row_block():
+    return F.shiftright("row_idx", ROW_BLOCK_BITS).alias("_tly_rows")
+
+
+def _per_block(per_sheet: DataFrame, cells: DataFrame) -> DataFrame:
+    """``per_sheet`` once for each block of rows its sheet has, so that joining it with the
+    sheet's rows on (file, sheet, block) has no hot key, however large a sheet is."""
+    return per_sheet.join(non_blank(cells).select(*SHEET, _row_block()).distinct(), SHEET)
+
+
 def table_cells(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """H3 + J6: cells below the header row, labelled with their column's header name
     (null for columns without a header cell)."""
     names = header_cells(cells, headers)
-    body = (non_blank(cells).join(headers, SHEET).where(F.col("row_idx") > F.col("header_row"))
-            .drop("header_row"))
+    body = (non_blank(cells).select("*", _row_block()).join(_per_block(headers, cells), [*SHEET, "_tly_rows"])
+            .where(F.col("row_idx") > F.col("header_row")).drop("header_row", "_tly_rows"))
     return body.join(names, [*SHEET, "col_idx"], "left")
 
 
@@ -123,15 +134,15 @@ def sheet_rows_wide(cells: DataFrame, colmap: DataFrame, canonical=config.CANONI
     canonical name (raw text); ``per_sheet`` names further columns of ``colmap`` to carry.
 
     Cells are first grouped per grid row -- a group is one row's cells, bounded by the
-    sheet width -- and only then joined with the per-sheet column map, so a very large
-    sheet is never gathered into one task (a hot sheet in the join is split by AQE).
+    sheet width -- and only then joined with the column map, by blocks of rows, so a very
+    large sheet is never gathered into one task.
     """
     extra = ["folder"] if "folder" in cells.columns else []
     grid_rows = (non_blank(cells)
                  .groupBy(*SHEET, "row_idx")
                  .agg(F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("_tly_cells"),
                       *[F.first(c, ignorenulls=True).alias(c) for c in extra]))
-    joined = grid_rows.join(colmap, SHEET).where(F.col("row_idx") > F.col("header_row"))
+    joined = grid_rows.select("*", _row_block()).join(_per_block(colmap, cells), [*SHEET, "_tly_rows"]).where(F.col("row_idx") > F.col("header_row"))
     wide = [F.try_element_at(F.col("_tly_cells"), F.try_element_at(F.col("cols"), F.lit(c))).alias(c)
             for c in canonical]
     # named columns that are not canonical stay with the row as header name -> value

@@ -53,6 +53,21 @@ def test_audit_rule_not_inlined_into_join(spark):
     assert len(plan) < 60_000   # the rule chain is evaluated once, not copied into every reference
 
 
+def test_hot_sheet_is_split_in_joins(spark):
+    """Without broadcasts, the join of a sheet's rows with its header has the row block in its key."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plans = [entry.queries()[n](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+                 for n in ("cells_table", "consolidated")]
+    finally:
+        spark.conf.set(key, before)
+    for plan in plans:
+        assert "SortMergeJoin [file" in plan and "_tly_rows" in plan
+        assert any("SortMergeJoin" in line and "_tly_rows" in line for line in plan.splitlines())
+
+
 def test_fill_down_windows_are_blocked(spark):
     plan = plan_of(spark, "consolidated")
     assert "_tly_block" in plan
