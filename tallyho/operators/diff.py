@@ -6,9 +6,10 @@ in a caller-given order); unpaired rows are the left-only / right-only surplus.
 keys, whole rows are anti-joined in both directions.
 
 Scale: the occurrence number comes from ``skew.occurrence_number`` (range shuffle, no
-per-key task), and every later join is on ``(keys, occurrence)``, which is unique per
-row -- so a key holding a third of all rows never lands in one task.  The keyless
-anti-join relies on AQE's skew-join split for a hot duplicated row.
+per-key task), and rows are paired on ``(keys, occurrence)``, which is unique per row.
+Two joins are on the keys alone: the counts of ``surplus="first"`` and the multiplicity of
+differing pairs; in the latter the differing pairs of one hot key meet in one task.  The
+keyless diff collapses equal rows on both sides before they meet.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from ..functions.text import norm_text
 from .columns import shared_column
 from .skew import occurrence_number
 
+COPY_CHUNK = 1 << 16   # copies of one row that a task writes at once
+
 OCC = "_tly_occ"
 TEMPORAL = ("date", "timestamp", "timestamp_ntz")
 
@@ -171,10 +174,17 @@ def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False)
         return n.select(*[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in cols])
 
     L, R = aligned(left), aligned(right)
-    # existence is all an anti-join needs: de-duplicating the probe side collapses a pile of
-    # identical copies in the map-side partial aggregate, so a hot row costs one row there
-    # (the kept side's hot partition is split by AQE's skew handling)
-    return L.join(R.distinct(), cols, "left_anti"), R.join(L.distinct(), cols, "left_anti")
+    def absent(kept, other):
+        # a pile of identical copies collapses in the map-side partial aggregate of either side
+        # and is written out again, in chunks that spread over tasks, if the other has none
+        counted = kept.groupBy(*cols).agg(F.count(F.lit(1)).alias("_tly_n")).join(other.distinct(), cols, "left_anti")
+        last = F.expr(f"(_tly_n - 1) div {COPY_CHUNK}")
+        chunks = (counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_tly_k"))
+                  .repartition(*cols, "_tly_k"))
+        left_over = F.least(F.lit(COPY_CHUNK).cast("long"), F.col("_tly_n") - F.col("_tly_k") * COPY_CHUNK)
+        return chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), left_over)).alias("_tly_copy")).select(*cols)
+
+    return absent(L, R), absent(R, L)
 
 
 def diff_summary(result: DiffResult, left_name: str = "left", right_name: str = "right") -> DataFrame:
