@@ -9,6 +9,7 @@ probabilities.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,13 +58,12 @@ def statistics(text: str | None) -> list[float]:
         return (len(raw) - len(raw.translate(None, of))) / chars
     lengths = np.fromiter(map(len, words), np.float64, n)
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    kinds = set(words)
+    counts = Counter(words)
     repeats = sum(map(bytes.__eq__, words[1:], words[:-1]))
-    first = words[0] if n < 3 else max(words[0::max(1, n // 3)][:3], key=words.count)
     return [np.log1p(n), chars / n, float(lengths.std()), share(_UPPER), share(_DIGITS), share(_PUNCTUATION), share(_SYMBOLS),
-            share(_HIGH), raw.count(b"!") / n, raw.count(b"|") / n, repeats / n, len(kinds) / n ** 0.8,
+            share(_HIGH), raw.count(b"!") / n, raw.count(b"|") / n, repeats / n, len(counts) / n ** 0.8,
             1 - len(set(lines)) / len(lines), float(np.log1p(n / len(lines))), raw.count(b".") / n,
-            sum(1 for w in words if not w.isalnum() and _ALONE.match(w)) / n, words.count(first) / n,
+            sum(1 for w in words if not w.isalnum() and _ALONE.match(w)) / n, max(counts.values()) / n,
             sum(map(bytes.isupper, words)) / n]
 
 

@@ -213,6 +213,14 @@ def test_normal_equations_sum_over_partitions(spark):
     assert n[0] == len(x) and np.allclose(total, x.sum(axis=0)) and np.allclose(squares, (x * x).sum(axis=0))
 
 
+def test_top_word_counts_every_word(spark):
+    at = quality_model.STATISTICS.index("top_word")
+    assert quality_model.statistics("a spam b spam c spam d spam e f")[at] == 0.4
+    for r in read(spark, SMALL, "documents").collect():
+        words = (r["text"] or "").encode().split()
+        assert quality_model.statistics(r["text"])[at] == max((words.count(w) / len(words) for w in set(words)), default=0)
+
+
 def test_quality_model_held_out(spark):
     rows = QUERIES["op5_quality_model"](spark, CHECK).join(read(prepare(spark), CHECK, "labels"), "doc_id").filter("held_out").collect()
     assert len(rows) > 50
