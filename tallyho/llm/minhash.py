@@ -11,8 +11,9 @@ sets in rounds that never list all pairs of a bucket: first each class meets one
 partner in each of its buckets, twice.  The classes of buckets that still hold several
 components are then joined exactly: they are cut into blocks of bounded size, blocks whose
 classes share one of their rarest shingles, as sets that reach the threshold do, are
-compared as a whole, and one link is returned for two components.  Pairs already
-connected need no test, so no connection among candidates is lost.
+compared as a whole, a strip of rows at a time, and links are returned that connect what
+the pairs connect.  Pairs already connected need no test, so no connection among
+candidates is lost.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from .components import components
 
 SLOTS = 1 << 20
 WORD_CACHE = 1 << 18
+# Cells of the matrix of intersections that are held at once when blocks are compared, whatever the classes in a block.
+CELLS = 1 << 22
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                 dtype=np.uint64)
 
@@ -215,45 +218,70 @@ def _setter(p: Params):
     return run
 
 
-def _overlaps(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
-    """Sizes of the intersections of all sets on the left with all on the right."""
-    def flat(x):
-        ends = x.offsets.to_numpy()
-        return x.flatten().to_numpy(), np.repeat(np.arange(len(x)), np.diff(ends))
-    (lk, lo), (rk, ro) = flat(left), flat(right)
+def _flat(sets: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of some sets, and the number of the set of each."""
+    return sets.flatten().to_numpy(), np.repeat(np.arange(len(sets)), np.diff(sets.offsets.to_numpy()))
+
+
+def _strips(left: pa.ListArray, right: pa.ListArray, cells: int):
+    """Sizes of the intersections of all sets on the left with all on the right, by rows of at most about ``cells``.
+
+    Yields the first row's number and the rows; only one strip exists at a time.
+    """
+    rk, ro = _flat(right)
     order = np.argsort(rk, kind="stable")
     rk, ro = rk[order], ro[order]
-    first = np.searchsorted(rk, lk, "left")
-    many = np.searchsorted(rk, lk, "right") - first
-    lo, first, many = lo[many > 0], first[many > 0], many[many > 0]
-    out = np.zeros(len(left) * len(right), np.int64)
-    upto = np.cumsum(many)
-    a = 0
-    while a < len(many):  # at most about 4M meetings at once
-        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + (1 << 22))))
-        n = many[a:b]
-        at = np.arange(n.sum()) + np.repeat(first[a:b] - (np.cumsum(n) - n), n)
-        cells = np.repeat(lo[a:b], n) * len(right) + ro[at]
-        out += np.bincount(cells, minlength=len(out))
-        a = b
-    return out.reshape(len(left), len(right))
-
-
-def _block_links(table: pa.Table, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """One link for each two components of a group that have any; a group is one or two blocks."""
+    height = max(1, cells // max(1, len(right)))
+    for top in range(0, len(left), height):
+        strip = left.slice(top, height)
+        lk, lo = _flat(strip)
+        first = np.searchsorted(rk, lk, "left")
+        many = np.searchsorted(rk, lk, "right") - first
+        lo, first, many = lo[many > 0], first[many > 0], many[many > 0]
+        out = np.zeros(len(strip) * len(right), np.int64)
+        upto = np.cumsum(many)
+        a = 0
+        while a < len(many):  # at most about 4M meetings at once
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + (1 << 22))))
+            n = many[a:b]
+            at = np.arange(n.sum()) + np.repeat(first[a:b] - (np.cumsum(n) - n), n)
+            out += np.bincount(np.repeat(lo[a:b], n) * len(right) + ro[at], minlength=len(out))
+            a = b
+        yield top, out.reshape(len(strip), len(right))
+
+
+def _overlaps(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    return np.concatenate([np.zeros((0, len(right)), np.int64), *(rows for _, rows in _strips(left, right, CELLS))])
+
+
+def _block_links(table: pa.Table, p: Params, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect all components of a group that its pairs connect; a group is one or two blocks.
+
+    Components that a link joins count as one from then on, so there are fewer links than
+    components, however many pairs reach the threshold.
+    """
     own = table.column("own").to_numpy(zero_copy_only=False)
     left = np.flatnonzero(own)
     right = left if table.column("block_x")[0] == table.column("block_y")[0] else np.flatnonzero(~own)
-    ids, comps, n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
+    ids, n = (table.column(c).to_numpy() for c in ("id", "n"))
+    comps = table.column("comp").to_numpy().copy()
     sets = table.column("keys").combine_chunks()
-    both = _overlaps(sets.take(pa.array(left)), sets.take(pa.array(right)))
-    union = n[left][:, None] + n[right][None, :] - both
-    linked = (both > 0) & (100 * both >= p.percent * union) & (comps[left][:, None] != comps[right][None, :])
-    i, j = np.nonzero(linked)
-    i, j = left[i], right[j]
-    pair = np.c_[np.minimum(comps[i], comps[j]), np.maximum(comps[i], comps[j])]
-    _, once = np.unique(pair, axis=0, return_index=True)
-    return ids[i[once]], ids[j[once]]
+    out: list[np.ndarray] = []
+    for top, both in _strips(sets.take(pa.array(left)), sets.take(pa.array(right)), cells):
+        rows = left[top:top + len(both)]
+        union = n[rows][:, None] + n[right][None, :] - both
+        linked = (both > 0) & (100 * both >= p.percent * union) & (comps[rows][:, None] != comps[right][None, :])
+        for r in np.flatnonzero(linked.any(axis=1)):
+            i, j = rows[r], right[linked[r]]
+            joined, once = np.unique(comps[j], return_index=True)
+            new = joined != comps[i]
+            if new.any():
+                j = j[once[new]]
+                out.append(np.c_[np.full(len(j), ids[i]), ids[j]])
+                comps[np.isin(comps, joined)] = comps[i]
+    pairs = np.concatenate([np.empty((0, 2), np.int64), *out])
+    return pairs[:, 0], pairs[:, 1]
 
 
 def _block_comparer(p: Params):
@@ -265,7 +293,7 @@ def _block_comparer(p: Params):
 
 
 def _contested_links(members: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """Links between the components of ``members``, whose buckets hold several: one for each two that have any.
+    """Links between the components of ``members``, whose buckets hold several: they connect what any pair connects.
 
     A class is at home in its largest bucket.  A home's classes are cut into blocks, those of
     its largest component apart from the others, so that blocks of one component never meet.

@@ -57,6 +57,41 @@ def test_overlaps_equal_brute_force():
     assert got.tolist() == [[len(set(a) & set(b)) for b in sets[12:]] for a in sets[:12]]
 
 
+def one_block(sets, comps=None):
+    import pyarrow as pa
+    n = len(sets)
+    return pa.table({"block_x": [1] * n, "block_y": [1] * n, "own": [True] * n, "id": range(n), "comp": comps or list(range(n)),
+                     "n": [len(s) for s in sets], "keys": pa.array(sets, pa.list_(pa.int64()))})
+
+
+def test_block_of_many_short_classes_stays_small():
+    """8,000 classes of 12 shingles are half of what a block may hold; a whole matrix of them takes 512 MB."""
+    import tracemalloc
+    sets = [[0, *range(1 + 11 * i, 12 + 11 * i)] for i in range(8000)]
+    sets[7999] = sets[3]
+    table = one_block(sets)
+    tracemalloc.start()
+    a, b = minhash._block_links(table, minhash.Params())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {*a.tolist(), *b.tolist()} == {3, 7999} and len(a) == 1
+    assert peak < 400 << 20
+
+
+def test_strips_connect_what_all_pairs_connect():
+    rng = random.Random(6)
+    bases = [rng.sample(range(400), 12) for _ in range(6)]
+    sets = [sorted({*rng.sample(rng.choice(bases), 11), rng.randrange(400)}) for _ in range(70)]
+    comps = [rng.choice([i, i - i % 3]) for i in range(70)]
+    pairs = [(i, j) for i in range(70) for j in range(i) if 100 * len({*sets[i]} & {*sets[j]}) >= 75 * len({*sets[i]} | {*sets[j]})]
+    own = list(enumerate(comps))
+    want = components(pairs + own, range(70))
+    for cells in (1, 300, 1 << 22):
+        a, b = minhash._block_links(one_block(sets, comps), minhash.Params(), cells)
+        assert components([*zip(a.tolist(), b.tolist()), *own], range(70)) == want
+        assert len(a) < len(set(comps))
+
+
 def test_signature_estimates_similarity():
     p, rng = minhash.Params(), np.random.default_rng(0)
     common = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
