@@ -214,7 +214,10 @@ def _setter(p: Params):
         cache = _WordHashes()
         for batch in batches(rows):
             sets = [shingle_set(t.as_py(), p.shingle, cache).view(np.int64) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "keys"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.fromiter(map(len, sets), np.int64, len(sets))),
+                 pa.array(np.fromiter((xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets)).view(np.int64)),
+                 pa.array(sets, pa.list_(pa.int64()))], names=["id", "n", "set", "keys"])
     return run
 
 
@@ -300,20 +303,22 @@ def _contested_links(members: DataFrame, texts: DataFrame, p: Params) -> DataFra
     Two blocks meet if they share a key of some class's rarest: of n shingles in one order for
     all, here by frequency among these classes, two sets that reach the threshold share one
     of the first n - ceil(percent * n / 100) + 1.
+
+    An id whose rows have different texts has several sets; each is measured and ordered on its own.
     """
     largest = F.max_by("key", F.struct("size", "key")).alias("home")
-    homed = landed(members.groupBy("id", "n", "comp").agg(largest), "homed")
+    homed = landed(members.groupBy("id", "comp").agg(largest, F.sum_distinct("n").alias("n")), "homed")
     sizes = homed.groupBy("home", "comp").agg(F.sum("n").alias("_n"))
     home = landed(sizes.groupBy("home").agg(F.max_by("comp", F.struct("_n", "comp")).alias("_major"), F.sum("_n").alias("_total")), "homes")
     single = F.when(F.col("comp") == F.col("_major"), F.col("comp"))
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("_total") / p.block))
-    classes = landed(homed.join(home, "home").select("id", "n", "comp", single.alias("single"),
+    classes = landed(homed.join(home, "home").select("id", "comp", single.alias("single"),
                                                      F.xxhash64("home", single.isNull(), part).alias("block")), "contested")
     own = texts.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = landed(own.mapInArrow(_setter(p), "id long, keys array<long>").join(classes, "id"), "sets")
-    keys = sets.select("id", "n", "block", "single", "comp", F.explode("keys").alias("key"))
+    sets = landed(own.mapInArrow(_setter(p), "id long, n long, set long, keys array<long>").join(classes, "id"), "sets")
+    keys = sets.select("id", "set", "n", "block", "single", "comp", F.explode("keys").alias("key"))
     shared = landed(keys.groupBy("key").agg(F.count(F.lit(1)).alias("df")), "shared")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
+    place = F.dense_rank().over(Window.partitionBy("id", "set").orderBy("df", "key"))  # rows may repeat a set
     need = F.floor((F.col("n") * p.percent + 99) / 100)
     rarest = keys.join(shared, "key").withColumn("_place", place).filter("df > 1").filter(F.col("_place") <= F.col("n") - need + 1)
     by_block = landed(rarest.groupBy("key", "block", "single").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "rarest")

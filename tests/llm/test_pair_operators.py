@@ -92,6 +92,22 @@ def test_strips_connect_what_all_pairs_connect():
         assert len(a) < len(set(comps))
 
 
+def test_contested_ids_with_several_texts(spark):
+    """Each text of a repeated id is measured by its own set, in whichever rows it comes."""
+    prepare(spark)
+    def text(*parts):  # words of their own between parts: n words are n - 4 shingles
+        return " ".join(f"{name}{i}" for name, a, b in parts for i in range(a, b))
+    # 1 holds sets of 96 and 56 shingles; 2 has 56 of 66 in common with the first; 3 is near the first, 5 near 4
+    long, short = text(("a", 0, 100)), text(("c", 0, 60))
+    rows = [(1, long), (1, long), (1, short), (2, text(("a", 0, 60), ("b", 0, 10))), (3, text(("a", 0, 96), ("d", 0, 4))),
+            (4, text(("e", 0, 100))), (4, text(("e", 0, 100))), (5, text(("e", 0, 90)))]
+    sizes = {1: (96, 56), 2: (66,), 3: (96,), 4: (96,), 5: (86,)}
+    members = spark.createDataFrame([(i, 9, 5, n, 0, 0, i) for i in sizes for n in sizes[i]],
+                                    "id long, key long, size long, n long, bits_a long, bits_b long, comp long")
+    got = minhash._contested_links(members, spark.createDataFrame(rows, "doc_id long, text string"), minhash.Params())
+    assert {(r["a"], r["b"]) for r in got.collect()} == {(1, 3), (4, 5)}
+
+
 def test_signature_estimates_similarity():
     p, rng = minhash.Params(), np.random.default_rng(0)
     common = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
