@@ -9,6 +9,7 @@ roots down, and only below nodes that differ.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,15 +116,40 @@ def audit(left: DataFrame, right: DataFrame, p: Params = Params()) -> DataFrame:
 def located(differing: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """What an audit found, with page ids, offset ranges and kind of fault.
 
-    `missing` and `added` are records that only one replica has, `moved` ones whose bytes
-    agree at another offset, `corrupt` the rest.
+    A record lost or gained shifts all that follow it, so records at differing places are
+    matched again inside their archive: first those of equal id and digest, then what is
+    left of equal id, each in order.  `missing` and `added` are records that only one replica
+    has, `moved` ones whose bytes agree at another offset, `corrupt` ones whose bytes differ.
+    Places are the left replica's, the right one's for `added`.
     """
     def side(indexed, name):
-        return indexed.select("archive", "nth", F.col("page_id").alias(f"{name}_id"), F.col("from").alias(f"{name}_from"),
-                              F.col("bytes").alias(f"{name}_bytes"))
-    rows = (differing.join(side(left, "left"), ["archive", "nth"], "left").join(side(right, "right"), ["archive", "nth"], "left"))
-    kind = (F.when(F.col("right_hash").isNull(), "missing").when(F.col("left_hash").isNull(), "added")
-            .when(F.col("left_hash") == F.col("right_hash"), "moved").otherwise("corrupt"))
-    return rows.select("archive", "nth", F.coalesce("left_id", "right_id").alias("page_id"),
-                       F.coalesce("left_from", "right_from").alias("from"), F.coalesce("left_bytes", "right_bytes").alias("bytes"),
-                       kind.alias("kind"))
+        found = differing.filter(F.col(f"{name}_hash").isNotNull()).select("archive", "nth")
+        found = found.join(indexed.select("archive", "nth", "page_id", "from", "bytes", "hash"), ["archive", "nth"])
+        return landed(_numbered(found, ["archive", "page_id", "hash"]), name)
+
+    def matched(a, b, *keys):
+        a, b = a.alias("a"), b.alias("b")
+        on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("archive", "page_id", *keys, "occ")]
+        both = a.join(b, reduce(Column.__and__, on), "full")
+        return landed(both.select(*[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in
+                                    ("archive", "nth", "page_id", "from", "bytes", "hash")]), "matched")
+
+    def rest(pairs, x, other):
+        one = pairs.filter(F.col(f"{other}_nth").isNull())
+        one = one.select(*[F.col(f"{x}_{c}").alias(c) for c in ("archive", "nth", "page_id", "from", "bytes", "hash")])
+        return landed(_numbered(one, ["archive", "page_id"]), "rest")
+
+    same = matched(side(left, "left"), side(right, "right"), "hash")
+    # equal bytes at the same offset are no fault, whatever the number of records before them
+    moved = same.filter("a_nth is not null and b_nth is not null and a_from <> b_from").withColumn("kind", F.lit("moved"))
+    other = matched(rest(same, "a", "b"), rest(same, "b", "a"))
+    other = other.withColumn("kind", F.when(F.col("b_nth").isNull(), "missing").when(F.col("a_nth").isNull(), "added").otherwise("corrupt"))
+    rows = moved.unionByName(other)
+    is_left = F.col("a_nth").isNotNull()
+    return rows.select(*[F.when(is_left, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(c)
+                         for c in ("archive", "nth", "page_id", "from", "bytes")], "kind")
+
+
+def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``occ``: the number of a row among those of equal keys, in the order of the archive."""
+    return rows.withColumn("occ", F.row_number().over(Window.partitionBy(*keys).orderBy("nth")))

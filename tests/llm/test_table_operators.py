@@ -125,6 +125,28 @@ def test_audit_finds_every_fault_and_nothing_else(spark):
     assert warc.audit(left, left.limit(0), p).count() == len(rows)
 
 
+def test_audit_tells_shifted_records_from_lost_ones(spark):
+    prepare(spark)
+    p = warc.Params(fanout=4, archive=64)
+    rows = [(i, f"http://h/{i:03}", "x" * (20 if i >= 128 else i % 50)) for i in range(256)]
+    rows += [(None, "http://n/1", "n"), (None, "http://n/1", "n"), (None, "http://n/2", "m")]
+    def replica(without, changed=()):
+        kept = [(i, u, ("y" + h[1:] if i in changed else h)) for i, u, h in rows if i not in without]
+        return warc.index(warc.records(spark.createDataFrame(kept, "page_id long, url string, html string"), p))
+    # archive 0 loses 10 and corrupts 40 behind the gap; 1 gains 70; 2 loses 130 and gains 150, of equal sizes; 3 is as it was
+    left, right = replica({70, 150}), replica({10, 130}, {40, 200})
+    found = {r["page_id"]: r for r in warc.located(warc.audit(left, right, p), left, right).collect()}
+    want = {10: "missing", 40: "corrupt", 70: "added", 130: "missing", 150: "added", 200: "corrupt"}
+    want |= {i: "moved" for i in [*range(11, 64), *range(71, 128), *range(131, 150)] if i != 40}
+    assert {i: r["kind"] for i, r in found.items()} == want
+    assert (found[40]["archive"], found[40]["nth"]) == (0, 40) and (found[70]["archive"], found[70]["nth"]) == (1, 6)
+    one = left.filter("not (archive = -1 and nth = 1)")  # of two equal records without an id one is lost
+    gap = one.withColumn("nth", F.when(F.col("archive") == -1, F.least("nth", F.lit(1))).otherwise(F.col("nth"))).withColumn(
+        "from", F.when((F.col("archive") == -1) & (F.col("nth") == 1), F.col("bytes")).otherwise(F.col("from")))
+    kinds = [r["kind"] for r in warc.located(warc.audit(left, gap, p), left, gap).collect()]
+    assert kinds.count("missing") == 1 and {*kinds} <= {"missing", "moved"}
+
+
 def test_url_parts_and_rules(spark):
     prepare(spark)
     urls = {"http://A.Example.ORG/es/x?y#z": ("a.example.org", "/es/x", "example.org/es/", "block"),
