@@ -95,7 +95,7 @@ def spend_table(cells: DataFrame) -> DataFrame:
 
 
 def spend_job(spark: SparkSession, base_dir: str, out_root: str, run_ts: str | None = None) -> dict[str, str]:
-    """Entry 3: the newest workbook of every folder -> summary, top-3 and vendor shares.
+    """Entry 3: the newest workbook of every folder -> summary, top-3, vendor shares and read errors.
 
     The newest file per folder is chosen from the listing (S3: file metadata, one path per
     folder), and only those workbooks are loaded."""
@@ -107,8 +107,8 @@ def spend_job(spark: SparkSession, base_dir: str, out_root: str, run_ts: str | N
     raw = xlsx.read_workbooks(spark.read.format("binaryFile").load(newest))
     table = spend_table(xlsx.cells_of(raw))
     tables = {"summary": spend.top_k_with_other(table), "top3": spend.top_terms(table),
-              "vendor_share": spend.vendor_share(table)}
-    return writers.write_report(tables, out_root, run_ts, partition_by={"vendor_share": ["term_name"]})
+              "vendor_share": spend.vendor_share(table), "ERRORS": xlsx.errors_of(raw)}
+    return writers.write_report(tables, out_root, run_ts, skip_empty=("ERRORS",), partition_by={"vendor_share": ["term_name"]})
 
 
 def extract_job(spark: SparkSession, url: str, view: str, out_path: str, log_path: str, **jdbc_options) -> int:

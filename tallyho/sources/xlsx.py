@@ -60,12 +60,14 @@ def workbook_cells(data: bytes, first_sheet_only: bool = False):
                 rels[rel.get("Id")] = rel.get("Target")
         wb = ET.fromstring(zf.read("xl/workbook.xml"))
         sheets = wb.findall("m:sheets/m:sheet", _NS)
+        missing = []
         for idx, sh in enumerate(sheets):
             if first_sheet_only and idx > 0:
                 break
             target = rels.get(sh.get(f"{{{_NS['r']}}}id"), f"worksheets/sheet{idx + 1}.xml")
             part = target.lstrip("/") if target.startswith("/") else posixpath.normpath(posixpath.join("xl", target))
             if part not in names:
+                missing.append(f"{sh.get('name')} ({part})")
                 continue
             # stream the sheet: rows are handled as they are parsed and then released,
             # so a very large sheet never sits in memory as a whole
@@ -93,6 +95,8 @@ def workbook_cells(data: bytes, first_sheet_only: bool = False):
                         continue
                     yield sh.get("name"), idx, row_no - 1, col, value
                 row.clear()
+        if missing:  # after the sheets that can be read
+            raise ValueError(f"no part for sheet {', '.join(missing)}")
 
 
 CHUNK_CELLS = 200_000   # cells per output batch (bounds the worker's memory)

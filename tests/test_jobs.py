@@ -117,6 +117,24 @@ def test_spend_job(spark):
     assert [r.term_name for r in top3] == ["當月15號", "次月15號付款", "月結30天"]
 
 
+def test_spend_job_reports_what_it_cannot_read(spark):
+    root = tempfile.mkdtemp(prefix="tallyho-spend-")
+    _books(root)
+    write_xlsx(os.path.join(root, "z1", "whole.xlsx"), {"s1": [HEADER], "s2": [HEADER]})
+    os.makedirs(os.path.join(root, "z2"))
+    with zipfile.ZipFile(os.path.join(root, "z1", "whole.xlsx")) as whole, \
+            zipfile.ZipFile(os.path.join(root, "z2", "part.xlsx"), "w") as part:
+        for name in whole.namelist():
+            if not name.endswith("sheet2.xml"):
+                part.writestr(name, whole.read(name))
+    os.makedirs(os.path.join(root, "z3"))
+    with open(os.path.join(root, "z3", "bad.xlsx"), "wb") as f:
+        f.write(b"no zip")
+    paths = jobs.spend_job(spark, root, os.path.join(root, "_out"), run_ts="r1")
+    errors = {os.path.basename(r.file): r.error for r in spark.read.parquet(paths["ERRORS"]).collect()}
+    assert {"part.xlsx", "bad.xlsx"} <= errors.keys() and "whole.xlsx" not in errors and "s2" in errors["part.xlsx"]
+
+
 def test_diff_job(spark):
     left = spark.createDataFrame([("V1", "1", "a"), ("V2", "1", "b"), ("V2", "1", "b")], "`憑單單號` string, `項次` string, x string")
     right = spark.createDataFrame([("V1", "1", "A"), ("V2", "1", "b")], "`憑單單號` string, `項次` string, x string")
