@@ -5,11 +5,11 @@ on the left is paired with the t-th row of that key on the right (t = occurrence
 in a caller-given order); unpaired rows are the left-only / right-only surplus.  Without
 keys, whole rows are anti-joined in both directions.
 
-Scale: the occurrence number comes from ``skew.occurrence_number`` (range shuffle, no
-per-key task), and rows are paired on ``(keys, occurrence)``, which is unique per row.
-Two joins are on the keys alone: the counts of ``surplus="first"`` and the multiplicity of
-differing pairs; in the latter the differing pairs of one hot key meet in one task.  The
-keyless diff collapses equal rows on both sides before they meet.
+Scale: the occurrence number comes from ``skew.occurrence_number`` (no per-key task), and
+rows are paired on ``(keys, occurrence)``, which is unique per row.  What belongs to a key as
+a whole (its counts, its multiplicity) meets the key's rows by blocks of ``KEY_BLOCK``
+occurrences, so a hot key is split there too.  The keyless diff compares digests of
+buckets of rows first; only rows of buckets that differ are shuffled.
 """
 
 from __future__ import annotations
@@ -23,12 +23,15 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import sheet_date
 from ..functions.text import norm_text
+from ..session import landed
 from .columns import shared_column
-from .skew import occurrence_number
+from .skew import expand_copies, occurrence_number
 
-COPY_CHUNK = 1 << 16   # copies of one row that a task writes at once
+KEY_BLOCK = 1 << 16   # occurrences of a key that meet its counts in one task
 
 OCC = "_tly_occ"
+BLOCK = "_tly_key_block"
+SUMS = [f"_tly_s{i}" for i in range(5)]
 TEMPORAL = ("date", "timestamp", "timestamp_ntz")
 
 
@@ -89,21 +92,26 @@ def _numbered(df: DataFrame, keys: list[str], order: list[str], date_cols, case_
     computed afterwards.  Keys are normalised first only when raw grouping could differ.
     """
     dtypes = dict(df.dtypes)
-    hidden = [f"_tly_o{i}" for i in range(len(order))]
+    by = [F.col(f"`{c}`") for c in order]
     raw_keys = all(dtypes[k] in _RAW_KEY_TYPES or dtypes[k].startswith("decimal") for k in keys) \
         and not set(keys) & set(date_cols)
+    normalised = dict(zip(df.columns, _normalised(df, date_cols, case_insensitive)))
     if raw_keys:
-        staged = df.select(*[F.col(f"`{c}`") for c in df.columns],
-                           *[F.col(f"`{c}`").alias(h) for c, h in zip(order, hidden)])
-        numbered = occurrence_number(staged, keys, hidden, out_col=OCC)
-        return numbered.select(*_normalised(df, date_cols, case_insensitive), OCC)
-    norm_keys = [f"_tly_k{i}" for i in range(len(keys))]
-    normalised = {c: e for c, e in zip(df.columns, _normalised(df, date_cols, case_insensitive))}
-    staged = df.select(*[F.col(f"`{c}`") for c in df.columns],
-                       *[normalised[k].alias(nk) for k, nk in zip(keys, norm_keys)],
-                       *[F.col(f"`{c}`").alias(h) for c, h in zip(order, hidden)])
-    numbered = occurrence_number(staged, norm_keys, hidden, out_col=OCC)
-    return numbered.select(*_normalised(df, date_cols, case_insensitive), OCC)
+        numbered = occurrence_number(df, keys, by, out_col=OCC)
+    else:
+        norm_keys = [f"_tly_k{i}" for i in range(len(keys))]
+        staged = df.select("*", *[normalised[k].alias(nk) for k, nk in zip(keys, norm_keys)])
+        numbered = occurrence_number(staged, norm_keys, by, out_col=OCC)
+    return numbered.select(*normalised.values(), OCC)
+
+
+def _per_block(counts: DataFrame, up_to) -> DataFrame:
+    """Rows of a table with a row a key, once for each block of occurrences from 1 to ``up_to``."""
+    return counts.withColumn(BLOCK, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((up_to - 1) / KEY_BLOCK))))
+
+
+def _blocked(df: DataFrame) -> DataFrame:
+    return df.withColumn(BLOCK, F.floor((F.col(OCC) - 1) / KEY_BLOCK))
 
 
 def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list[str] | None = None,
@@ -132,10 +140,13 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
         cl = L.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tly_nl"))
         cr = R.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tly_nr"))
         counts = cl.join(cr, keys, "full").fillna(0, ["_tly_nl", "_tly_nr"])
-        only_left = (L.join(counts, keys).where(F.col(OCC) <= F.col("_tly_nl") - F.col("_tly_nr"))
-                     .drop("_tly_nl", "_tly_nr"))
-        only_right = (R.join(counts, keys).where(F.col(OCC) <= F.col("_tly_nr") - F.col("_tly_nl"))
-                      .drop("_tly_nl", "_tly_nr"))
+
+        def first(rows, own, other):
+            spare = (F.col(own) - F.col(other)).alias("_tly_spare")
+            over = _per_block(counts.select(*keys, spare).filter("_tly_spare > 0"), F.col("_tly_spare"))
+            return (_blocked(rows).join(over, [*keys, BLOCK]).where(F.col(OCC) <= F.col("_tly_spare"))
+                    .drop("_tly_spare", BLOCK))
+        only_left, only_right = first(L, "_tly_nl", "_tly_nr"), first(R, "_tly_nr", "_tly_nl")
     else:
         raise ValueError("surplus must be 'unpaired' or 'first'")
     common = [c for c in sorted(set(left.columns) & set(right.columns)) if c not in keys]
@@ -149,9 +160,9 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
                                        F.col(f"_tly_r{i}").alias("right_value"))
                               for i, c in enumerate(common)])
         # Each difference once per paired row; ``multiplicity`` = paired rows of the key
-        # (a partial aggregate of the pairs, joined back on the key)
-        mult = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("multiplicity"))
-        cells = (pairs.where(differs).join(mult, keys)
+        # (a partial aggregate of the pairs, joined back on the key and the block)
+        mult = _per_block(pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("multiplicity")), F.col("multiplicity"))
+        cells = (_blocked(pairs.where(differs)).join(mult, [*keys, BLOCK])
                  .select(*[F.col(k).alias(f"key_{j + 1}") for j, k in enumerate(keys)],
                          F.inline(cells_arr), "multiplicity")
                  .where(F.col("left_value") != F.col("right_value")))
@@ -164,27 +175,48 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
     return DiffResult(keys, only_left.drop(OCC), only_right.drop(OCC), cells, pairs)
 
 
-def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False) -> tuple[DataFrame, DataFrame]:
+def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False, buckets: int = 1 << 20,
+              date_cols=()) -> tuple[DataFrame, DataFrame]:
     """J4 + U4: keyless diff -- rows of one side whose whole normalised row is absent on
-    the other side, duplicates kept; columns aligned by name, missing ones as ''."""
+    the other side, duplicates kept; columns aligned by name, missing ones as ''.
+
+    Rows fall into buckets by a hash.  Per bucket and side one aggregate holds the row count
+    and the sums of the four 32-bit parts of the rows' 128-bit digests; sums do not depend on
+    an order and, unlike xor, do not cancel copies.  A bucket whose aggregates agree holds the
+    same rows on both sides, so only rows of the others are shuffled and compared as a whole.
+    The list of differing buckets (broadcast) has at most ``buckets`` numbers.
+    """
     cols = sorted(set(left.columns) | set(right.columns))
+    names = [F.col(f"`{c}`") for c in cols]
 
     def aligned(df):
-        n = normalise_for_diff(df, case_insensitive=case_insensitive)
-        return n.select(*[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in cols])
+        n = normalise_for_diff(df, date_cols, case_insensitive)
+        rows = n.select(*[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in cols])
+        digest = rows.select("*", F.xxhash64(*names).alias("_tly_d1"), F.xxhash64(F.lit("#"), *names).alias("_tly_d2"))
+        return digest.withColumn("_tly_bucket", F.pmod(F.col("_tly_d1"), F.lit(buckets)).cast("int"))
+
+    def digests(rows, sign):
+        half = [F.expr(f"{d} & 4294967295").alias(f"{d}l") for d in ("_tly_d1", "_tly_d2")] + \
+               [F.expr(f"shiftrightunsigned({d}, 32)").alias(f"{d}h") for d in ("_tly_d1", "_tly_d2")]
+        return rows.select("_tly_bucket", *[(c * sign) for c in (*half, F.lit(1).cast("long"))]).toDF("_tly_bucket", *SUMS)
 
     L, R = aligned(left), aligned(right)
+    both = digests(L, 1).union(digests(R, -1)).groupBy("_tly_bucket").agg(*[F.sum(c).alias(c) for c in SUMS])
+    # landed: both directions and both sides read it; its size is bounded by ``buckets``
+    differing = landed(both.filter(" or ".join(f"{c} <> 0" for c in SUMS)).select("_tly_bucket"), "differing")
+
+    def suspects(rows):
+        return rows.join(F.broadcast(differing), "_tly_bucket", "left_semi").select(*names)
+
+    sl, sr = suspects(L), suspects(R)
+
     def absent(kept, other):
         # a pile of identical copies collapses in the map-side partial aggregate of either side
         # and is written out again, in chunks that spread over tasks, if the other has none
-        counted = kept.groupBy(*cols).agg(F.count(F.lit(1)).alias("_tly_n")).join(other.distinct(), cols, "left_anti")
-        last = F.expr(f"(_tly_n - 1) div {COPY_CHUNK}")
-        chunks = (counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_tly_k"))
-                  .repartition(*cols, "_tly_k"))
-        left_over = F.least(F.lit(COPY_CHUNK).cast("long"), F.col("_tly_n") - F.col("_tly_k") * COPY_CHUNK)
-        return chunks.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), left_over)).alias("_tly_copy")).select(*cols)
-
-    return absent(L, R), absent(R, L)
+        counted = kept.groupBy(*names).agg(F.count(F.lit(1)).alias("_tly_n")).join(other.distinct(), cols, "left_anti")
+        return expand_copies(counted, "_tly_n", "_tly_copy").select(*names)
+
+    return absent(sl, sr), absent(sr, sl)
 
 
 def diff_summary(result: DiffResult, left_name: str = "left", right_name: str = "right") -> DataFrame:

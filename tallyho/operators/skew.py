@@ -2,13 +2,13 @@
 
 ``row_number() OVER (PARTITION BY k ORDER BY o)`` and a forward fill over ``PARTITION BY
 sheet`` put every row of one key into one task.  When a key, a sheet or a group of copies
-holds a third of the data that task is the job.  The two operators below compute the same
+holds a third of the data that task is the job.  The operators below compute the same
 values without ever collecting a key into one task:
 
 * ``occurrence_number`` -- 1-based position of a row within its key, in a given order.
-  One range shuffle on (key, order, tie-breaker) spreads even a single key over all
-  partitions; a per-partition summary (one row per partition) carries run lengths across
-  partition borders.
+  Hot keys are cut into buckets of the order at measured quantiles; rows are numbered
+  inside a bucket and shifted by the sizes of the key's earlier buckets.
+* ``global_index`` -- the same over the whole table: the position of a row after a sort.
 * ``fill_down`` -- last non-null value so far within a group, ordered by a numeric
   position.  Rows are cut into fixed-size blocks; the window runs per (group, block) and
   a small per-block table carries the last value into the following blocks.
@@ -16,137 +16,111 @@ values without ever collecting a key into one task:
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_PID = "_tly_pid"
-_KEY = "_tly_key"
-_TIE = "_tly_tie"
-_ROW = "_tly_row"
-_CARRY_KEY = "_tly_carry_key"
-_CARRY = "_tly_carry"
-
-
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _partition_summary(it):
-    """One row per partition: first key, last key and length of the trailing run."""
-    first = last = None
-    last_run = 0
-    pid = None
-    for pdf in it:
-        if pdf.empty:
-            continue
-        pid = int(pdf[_PID].iat[0])
-        keys = pdf[_KEY]
-        if first is None:
-            first = keys.iat[0]
-        # length of the run of the final key in this batch
-        tail_key = keys.iat[-1]
-        same = (keys == tail_key).to_numpy()
-        whole = bool(same.all())
-        run = len(same) if whole else int(same[::-1].argmin())
-        last_run = last_run + run if (whole and tail_key == last) else run
-        last = tail_key
-    if pid is not None:
-        yield pd.DataFrame({_PID: [pid], "first_key": [first], "last_key": [last],
-                            "last_run": [last_run]})
-
-
-def _number_runs(out_col: str):
-    def run(it):
-        prev_key = None
-        prev_count = 0
-        for pdf in it:
-            if pdf.empty:
-                yield pdf.drop(columns=[_CARRY_KEY, _CARRY]).assign(**{out_col: pd.Series([], dtype="int64")})
-                continue
-            keys = pdf[_KEY]
-            if prev_key is None:
-                # first batch of the partition: the first run may continue a run that
-                # started in earlier partitions
-                carry_key = pdf[_CARRY_KEY].iat[0]
-                carry = pdf[_CARRY].iat[0]
-                prev_key = carry_key if carry_key is not None and not pd.isna(carry_key) else None
-                prev_count = int(carry) if prev_key is not None else 0
-            new_run = keys.ne(keys.shift()).to_numpy()
-            new_run[0] = keys.iat[0] != prev_key
-            run_id = new_run.cumsum()
-            pos = pd.Series(1, index=pdf.index).groupby(run_id).cumsum().to_numpy()
-            if not new_run[0]:
-                pos[run_id == 0] += prev_count
-            prev_key = keys.iat[-1]
-            prev_count = int(pos[-1])
-            yield pdf.drop(columns=[_CARRY_KEY, _CARRY]).assign(**{out_col: pos.astype("int64")})
-    return run
+
+from ..session import landed
+
+GROUP_ROWS = 1 << 18   # rows of a key that one window may hold before the key is cut into buckets
+MAX_BUCKETS = 1 << 12  # buckets of all hot keys together: the bound of the tables that are broadcast
+HITS = 64              # sampled rows that stand for one bucket
+COPY_CHUNK = 1 << 16   # copies of one row that a task writes at once
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.to_json(F.col(f"`{c}`")) if t.startswith("map") else F.col(f"`{c}`") for c, t in df.dtypes]
+
+
+def _first_not_below(bounds: Column, value: Column, most: int) -> Column:
+    """How many of the ascending ``bounds`` are below ``value``, by halving (at most ``most`` bounds)."""
+    def halve(s, _):
+        mid = F.floor((s.lo + s.hi) / 2).cast("int")
+        below = F.get(bounds, mid) < value
+        return F.when(s.lo >= s.hi, s).otherwise(F.struct(F.when(below, mid + 1).otherwise(s.lo).alias("lo"),
+                                                          F.when(below, s.hi).otherwise(mid).alias("hi")))
+    steps = F.array(*[F.lit(i) for i in range(most.bit_length())])
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi")), halve)["lo"]
+
+
+def expand_copies(df: DataFrame, count_col: str, number_col: str, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Each row ``count_col`` times, numbered 1, 2, ... in ``number_col``; chunks of a row's copies spread over tasks."""
+    last = F.expr(f"(`{count_col}` - 1) div {chunk}")
+    chunks = (df.filter(F.col(count_col) > 0)
+              .withColumn("_tly_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+              .repartition(*[c for c in _hashable(df)], "_tly_chunk"))
+    start = F.col("_tly_chunk") * chunk
+    return (chunks.withColumn(number_col, F.explode(F.sequence(start + 1, F.least(start + chunk, F.col(count_col)))))
+            .drop("_tly_chunk"))
 
 
 def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str = "occ",
-                      num_partitions: int | None = None, checkpoint_sorted: bool = False) -> DataFrame:
+                      group_rows: int = GROUP_ROWS) -> DataFrame:
     """Add ``out_col`` = ``row_number() over (partition by keys order by order)``.
 
-    ``order`` columns decide the position inside a key; rows that tie on keys and order
-    are identical for every purpose the result is used for, so the tie-breaker that makes
-    the range shuffle splittable does not change any output value.
-
-    The two passes read one shuffle output.  If a map task is recomputed after an
-    executor loss it must reproduce its rows in the same order, which holds for file
-    scans (every registered query).  For input that comes out of another shuffle, pass
-    ``checkpoint_sorted=True``: the sorted rows are then written once to the shared
-    checkpoint folder and both passes read that copy.
+    ``order`` (names or expressions, ascending, nulls first) decides the position inside a
+    key, a hash of the row breaks ties; rows that tie on that too are equal, and which of
+    them gets which number cannot be told.  Null keys are one key.  ``df`` must give the
+    same rows whenever it is computed; it is read up to four times.
+
+    A table of at most ``group_rows`` rows, and every key that is not hot, is one window.
+    Hot keys are found in a sample, which only decides how well buckets balance: a key's
+    bucket bounds are every ``HITS``-th of its sampled (order, hash) tuples.  Bounds are
+    written once, so a row's bucket depends on the row alone and passes agree however often
+    they are computed again.  Rows that equal a bound -- a pile of copies makes itself one --
+    are a bucket of their own: they are collapsed before the shuffle and written out from
+    their count.  The two tables that are broadcast have at most one row a hot key and two a
+    bound; there are about ``MAX_BUCKETS`` bounds, whatever the rows.
     """
-    n = _num_partitions(df, num_partitions)
-    cols = df.columns
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    key_cols = [F.col(k) for k in keys]
-    # Tie-breakers: a hash of the whole row orders distinct rows the same way on every
-    # run; the row id splits a group of identical copies over several range partitions
-    # (copies are interchangeable, so their relative order never shows in a result).
-    # run detection compares keys by their JSON text; -0.0 and 0.0 are one key to Spark,
-    # so floating-point keys are normalised first (x + 0.0 turns -0.0 into 0.0)
-    dtypes = dict(df.dtypes)
-    json_keys = [(F.col(k) + F.lit(0.0)).alias(k) if dtypes[k] in ("double", "float") else F.col(k) for k in keys]
-    base = (df.withColumn(_KEY, F.to_json(F.struct(*json_keys)))
-              .withColumn(_TIE, F.xxhash64(*[F.col(c) for c in cols]))
-              .withColumn(_ROW, F.monotonically_increasing_id()))
-    tie = [F.col(_TIE), F.col(_ROW)]
-    ranged = (base.repartitionByRange(n, *key_cols, *order_cols, *tie)
-                  .sortWithinPartitions(*key_cols, *order_cols, *tie)
-                  .withColumn(_PID, F.spark_partition_id()))
-
-    summary_schema = T.StructType([
-        T.StructField(_PID, T.IntegerType()), T.StructField("first_key", T.StringType()),
-        T.StructField("last_key", T.StringType()), T.StructField("last_run", T.LongType())])
-    # Both passes must see the same range boundaries.  They consume the *same* exchange
-    # (no column pruning below it: mapInPandas takes every column), so Spark runs it once
-    # and the second pass reads the reused shuffle output.  Without exchange reuse the
-    # sorted rows are checkpointed to the shared checkpoint folder instead.
-    if checkpoint_sorted or df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        ranged = ranged.checkpoint(eager=True)
-    summary = ranged.mapInPandas(_partition_summary, summary_schema)
-    # carry for partition p = rows of p's first key in earlier partitions; the key is
-    # contiguous in sort order, so those rows are the trailing runs of the directly
-    # preceding partitions that end with that key.  The table has one row per partition.
-    w_key = Window.partitionBy("last_key").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.orderBy(_PID)
-    carry = (summary
-             .withColumn("cum", F.sum("last_run").over(w_key))
-             .withColumn("prev_last", F.lag("last_key").over(w_all))
-             .withColumn("prev_cum", F.lag("cum").over(w_all))
-             .select(_PID,
-                     F.when(F.col("prev_last") == F.col("first_key"), F.col("first_key")).alias(_CARRY_KEY),
-                     F.when(F.col("prev_last") == F.col("first_key"), F.col("prev_cum")).alias(_CARRY)))
-    # size bound: one row per shuffle partition
-    with_carry = ranged.join(F.broadcast(carry), _PID, "left")
-    out_schema = T.StructType(ranged.schema.fields + [T.StructField(out_col, T.LongType(), False)])
-    numbered = with_carry.mapInPandas(_number_runs(out_col), out_schema)
-    return numbered.select(*cols, out_col)
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = _hashable(df)
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(by)], F.xxhash64(*hashed).alias("h1"),
+                     F.xxhash64(F.lit(17), *hashed).alias("h2"))
+    key = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], F.lit(0).alias("all"))
+    parts = [F.col(f"`{k}`") for k in keys] or [F.lit(0)]
+
+    def plain(rows):
+        return rows.select(*cols, F.row_number().over(Window.partitionBy(*parts).orderBy(place)).cast("long").alias(out_col))
+
+    n = df.count()
+    if n <= group_rows:
+        return plain(df)
+    share = max(group_rows, n / MAX_BUCKETS)
+    hits = min(HITS, group_rows)
+    picked = df.select(key.alias("_tly_key"), place.alias("_tly_place")).sample(min(1.0, hits / share), 7)
+    tuples = F.sort_array(F.collect_list("_tly_place"))
+    bounds = F.array_distinct(F.filter(F.col("_tly_all"), lambda x, i: i % hits == hits - 1))
+    hot = landed(picked.groupBy("_tly_key").agg(tuples.alias("_tly_all")).filter(F.size("_tly_all") >= hits)
+                 .select(F.col("_tly_key").alias("_tly_hot"), bounds.alias("_tly_bounds")), "bounds")
+    if hot.isEmpty():
+        return plain(df)
+
+    most = int(n / share) + 2 if share > hits else n
+    at = _first_not_below(F.col("_tly_bounds"), place, most)
+    cut = (df.join(F.broadcast(hot), key == F.col("_tly_hot"), "left").withColumn("_tly_at", at)
+           .withColumn("_tly_pile", F.coalesce(F.get("_tly_bounds", F.col("_tly_at")) == place, F.lit(False)))
+           .withColumn("_tly_bucket", F.when(F.col("_tly_bounds").isNull(), -1)
+                       .otherwise(F.col("_tly_at") * 2 + F.col("_tly_pile").cast("int"))))
+    sizes = cut.filter("_tly_bounds is not null").groupBy("_tly_hot", "_tly_bucket").agg(F.count(F.lit(1)).alias("_tly_n"))
+    before = Window.partitionBy("_tly_hot").orderBy("_tly_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = landed(sizes.select(F.col("_tly_hot").alias("_tly_of"), F.col("_tly_bucket").alias("_tly_in"),
+                                 F.coalesce(F.sum("_tly_n").over(before), F.lit(0)).alias("_tly_shift")), "shifts")
+
+    def shifted(rows):
+        return rows.join(F.broadcast(shifts), (key == F.col("_tly_of")) & (F.col("_tly_bucket") == F.col("_tly_in")), "left")
+
+    local = F.row_number().over(Window.partitionBy(*parts, "_tly_bucket").orderBy(place))
+    single = (shifted(cut.filter("not _tly_pile").select(*cols, "_tly_bucket").withColumn("_tly_local", local))
+              .select(*cols, (F.coalesce("_tly_shift", F.lit(0)) + F.col("_tly_local")).cast("long").alias(out_col)))
+    piles = cut.filter("_tly_pile").groupBy(*cols, "_tly_bucket").agg(F.count(F.lit(1)).alias("_tly_n"))
+    copies = (expand_copies(shifted(piles).select(*cols, "_tly_n", "_tly_shift"), "_tly_n", "_tly_local")
+              .select(*cols, (F.col("_tly_shift") + F.col("_tly_local")).cast("long").alias(out_col)))
+    return single.union(copies)
+
+
+def global_index(df: DataFrame, order: list, out_col: str = "pos", group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Add ``out_col`` = the 1-based position of each row after a sort by ``order``, without an unpartitioned window."""
+    return occurrence_number(df, [], order, out_col, group_rows)
 
 
 def fill_down(df: DataFrame, partition_cols: list[str], position_col: str, value_col: str,

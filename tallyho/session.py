@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query in this package is written against.
 SQL_DEFAULTS = {
@@ -108,6 +109,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: lineage is cut, every use sees the same rows."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 128 << 20,
                    expansion: float = 2.0, min_partitions: int = 200) -> int:
     """Set shuffle partitions so that a shuffle partition holds about ``target_partition_bytes``

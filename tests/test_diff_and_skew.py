@@ -58,7 +58,7 @@ def test_occurrence_number_hot_key(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("k"),
         (F.col("id") % 11).alias("o"))
-    got = occurrence_number(df, ["k"], ["o"], num_partitions=13)
+    got = occurrence_number(df, ["k"], ["o"], group_rows=50)
     want = df.groupBy("k", "o").count()
     # within a key, positions are 1..n without gaps, and ordered by o
     check = got.groupBy("k").agg(F.count("*").alias("n"), F.min("occ").alias("lo"), F.max("occ").alias("hi"),
@@ -79,11 +79,11 @@ def test_fill_down_blocks(spark):
 
 
 def test_occurrence_number_without_exchange_reuse(spark):
-    """With exchange reuse off, the sorted rows are checkpointed so both passes agree."""
+    """The passes agree without a shared exchange: a row's bucket depends on the row alone."""
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
         df = spark.range(0, 2000).select((F.col("id") % 3).alias("k"), (F.col("id") % 17).alias("o"))
-        got = occurrence_number(df, ["k"], ["o"], num_partitions=9)
+        got = occurrence_number(df, ["k"], ["o"], group_rows=40)
         check = got.groupBy("k").agg(F.count("*").alias("n"), F.max("occ").alias("hi"),
                                      F.countDistinct("occ").alias("d"))
         assert check.where("hi != n OR d != n").count() == 0
@@ -91,24 +91,89 @@ def test_occurrence_number_without_exchange_reuse(spark):
         spark.conf.set("spark.sql.exchange.reuse", "true")
 
 
+def _numbers_are_right(df, got, keys, order):
+    """The same rows, numbered as a plain window numbers them, ties aside."""
+    w = Window.partitionBy(*keys or [F.lit(0)]).orderBy(*order)
+    got, want = got.collect(), df.withColumn("occ", F.row_number().over(w)).collect()
+    view = lambda rows: sorted(([r[c] for c in (*keys, *order)] + [r["occ"]] for r in rows), key=repr)
+    assert view(got) == view(want)
+    rest = lambda rows: sorted((tuple(r[c] for c in df.columns) for r in rows), key=repr)
+    assert rest(got) == rest(want)
+
+
 def test_hot_key_is_spread(spark):
-    """A key holding a third of the rows (with many exact copies) is numbered over balanced
-    partitions -- no task receives the hot key alone."""
-    n = 300_000
+    """A key of 90 % of the rows, of which a third are copies: no task holds more than its share."""
+    n = 60_000
     df = spark.range(0, n).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5).alias("o"))
-    got = occurrence_number(df, ["k"], ["o"], num_partitions=8)
-    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert max(sizes) <= 2 * (n / 8), sizes
-    hot = got.where("k = -1").agg(F.count("*").alias("c"), F.max("occ").alias("m"),
-                                  F.countDistinct("occ").alias("d")).first()
-    assert hot.c == hot.m == hot.d == n // 3
+        F.when(F.col("id") % 10 > 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("o"))
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = occurrence_number(df, ["k"], ["o"], group_rows=2000)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "InPandas" not in plan and "monotonically" not in plan
+            _numbers_are_right(df, got, ["k"], ["o"])
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", "true")
+    counts = got.where("k = -1").agg(F.count("*").alias("c"), F.max("occ").alias("m"), F.countDistinct("occ").alias("d")).first()
+    assert counts.c == counts.m == counts.d == n * 9 // 10
+
+
+def test_numbering_odd_values(spark):
+    """Null keys are one key, nulls come first in the order, rows with maps and repeated rows are kept."""
+    rows = [(None if i % 4 == 0 else "a", None if i % 5 == 0 else i % 7, {"x": i % 3}) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, o int, m map<string,int>")
+    got = occurrence_number(df, ["k"], ["o"], group_rows=30)
+    assert got.columns == ["k", "o", "m", "occ"]
+    seen = {}
+    for r in got.collect():
+        seen.setdefault(r.k, []).append((r.occ, -1 if r.o is None else r.o))
+    assert set(seen) == {None, "a"}
+    for found in seen.values():
+        found.sort()
+        assert [f[0] for f in found] == list(range(1, len(found) + 1)) and [f[1] for f in found] == sorted(f[1] for f in found)
+    assert occurrence_number(df.limit(0), ["k"], ["o"]).count() == 0
+
+
+def test_global_index(spark):
+    from tallyho.operators.skew import global_index
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v"), F.col("id").cast("string").alias("s"))
+    got = global_index(df, ["v"], group_rows=200)
+    assert got.where("pos <> v + 1").count() == 0 and got.count() == 5000
+    # equal rows: every position once
+    same = global_index(spark.range(0, 3000).select(F.lit(1).alias("v")), ["v"], group_rows=100)
+    assert sorted(r.pos for r in same.collect()) == list(range(1, 3001))
+
+
+def test_key_counts_meet_rows_by_blocks(spark, monkeypatch):
+    """Multiplicity and first surplus rows of a hot key that spans several blocks."""
+    monkeypatch.setattr(diff, "KEY_BLOCK", 8)
+    left = spark.createDataFrame([("k", i, "l") for i in range(50)], "key string, o int, v string")
+    right = spark.createDataFrame([("k", i, "r" if i % 2 else "l") for i in range(30)], "key string, o int, v string")
+    cells = diff.diff_by_keys(left, right, ["key"], order=["o"]).cells.collect()
+    assert len(cells) == 15 and {r.multiplicity for r in cells} == {30}
+    first = diff.diff_by_keys(left, right, ["key"], order=["o"], surplus="first")
+    assert sorted(int(r.o) for r in first.only_left.collect()) == list(range(20)) and first.only_right.count() == 0
+
+
+def test_rows_diff_by_digests(spark):
+    """Copies count by presence; with few buckets every row is compared, with many only those that differ."""
+    left = spark.createDataFrame([(i % 40, "x") for i in range(200)] + [(100, "y")] * 3 + [(7, "n")] * 2, "a int, b string")
+    right = spark.createDataFrame([(i % 40, "x") for i in range(160)] + [(200, "z")], "a int, c string")
+    for buckets in (1, 7, 1 << 20):
+        same_l, same_r = diff.diff_rows(left, left.repartition(3), buckets=buckets)
+        assert same_l.count() == 0 and same_r.count() == 0
+        ol, or_ = diff.diff_rows(left, right.withColumnRenamed("c", "b"), buckets=buckets)
+        assert sorted(tuple(r) for r in ol.collect()) == [("100", "y")] * 3 + [("7", "n")] * 2
+        assert [tuple(r) for r in or_.collect()] == [("200", "z")]
+    ol, or_ = diff.diff_rows(left, right)
+    assert ol.columns == or_.columns == ["a", "b", "c"] and ol.count() == 205 and or_.count() == 161
 
 
 def test_negative_zero_is_one_key(spark):
     df = spark.createDataFrame([(0.0, 1), (-0.0, 2), (0.0, 3)], "k double, o int")
-    got = sorted(r.occ for r in occurrence_number(df, ["k"], ["o"], num_partitions=2).collect())
+    got = sorted(r.occ for r in occurrence_number(df, ["k"], ["o"], group_rows=2).collect())
     assert got == [1, 2, 3]
 
 
@@ -118,10 +183,3 @@ def test_occurrence_number_unique_blocks(spark):
     got = occurrence_number_unique(df, ["k"], "o", block_width=64)
     want = df.withColumn("occ2", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert got.join(want, ["k", "o"]).where("occ != occ2").count() == 0 and got.count() == 5000
-
-
-def test_occurrence_number_checkpointed(spark):
-    df = spark.range(0, 3000).select((F.col("id") % 4).alias("k"), (F.col("id") % 9).alias("o")).repartition(5)
-    got = occurrence_number(df, ["k"], ["o"], num_partitions=6, checkpoint_sorted=True)
-    check = got.groupBy("k").agg(F.count("*").alias("n"), F.max("occ").alias("hi"), F.countDistinct("occ").alias("d"))
-    assert check.where("hi != n OR d != n").count() == 0

@@ -22,11 +22,9 @@ def test_no_row_at_a_time_python(spark, name):
     assert "CartesianProduct" not in plan         # no cross product of data
 
 
-def test_diff_has_no_window_per_key(spark):
+def test_diff_runs_on_the_jvm(spark):
     plan = plan_of(spark, "diff_only_left")
-    # the pairing never partitions a window by the diff key alone (a hot key would be one task)
-    assert "windowspecdefinition(l_orderkey" not in plan
-    assert "rangepartitioning(l_orderkey" in plan
+    assert "InPandas" not in plan and "InArrow" not in plan and "monotonically" not in plan
 
 
 def test_top_n_is_bounded(spark):
