@@ -132,3 +132,106 @@ SELECT page_id, j.host, path, rule,
        coalesce(ruled, CASE WHEN mean + 2 * sqrt(mean * (1 - mean) / (host.n + k + 1)) < 0.3 THEN 'block' ELSE 'allow' END) AS verdict
 FROM j JOIN host ON host.host = j.host
 """
+
+
+def _pii(nth: int, kind: str, pattern: str, valid: str) -> str:
+    return rf"""
+SELECT r, {nth} AS nth, '{kind}' AS kind, e - length(v) AS s, e
+FROM (SELECT r, m[i] AS v, p[i] AS b, p[i + 1] AS a, sum(length(p[i]) + length(m[i])) OVER (PARTITION BY r ORDER BY i)::BIGINT AS e
+      FROM (SELECT r, m, p, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_split_to_array(t, '{pattern}') AS p FROM d) WHERE len(m) > 0))
+WHERE {valid}"""
+
+
+def _has(words: str) -> str:
+    return f"regexp_matches(lower(right(b, 40) || ' ' || left(a, 40)), '(^|[^a-z])({words})([^a-z]|$)')"
+
+
+_ONLY = "regexp_replace(v, '[^0-9]', '', 'g')"
+_CALL = "phone|tel|call|mobile|fax|telefon|llame"
+_CHARS = "list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1)) - 48)"
+_LUHN = (f"list_sum(list_transform({_CHARS.format('reverse(' + _ONLY + ')')}, lambda x, i: CASE WHEN i % 2 = 1 THEN x "
+         "WHEN x > 4 THEN 2 * x - 9 ELSE 2 * x END)) % 10 = 0")
+_CODE = "replace(v, ' ', '')"
+_TURNED = f"(substr({_CODE}, 5) || substr({_CODE}, 1, 4))"
+_MOD = (f"list_reduce(list_transform({_CHARS.format(_TURNED)}, lambda x: (CASE WHEN x > 9 THEN x - 7 ELSE x END)::BIGINT), "
+        "lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1")
+
+
+def _alone(more: str) -> str:
+    return f"NOT regexp_matches(right(b, 1), '[A-Za-z0-9{more}]') AND NOT regexp_matches(left(a, 1), '[A-Za-z0-9{more}]')"
+
+
+_KINDS = " UNION ALL ".join([
+    _pii(0, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    _pii(1, "ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+         "len(list_filter(string_split(v, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(right(ltrim(x, '0'), 3) AS INT), 0) > 255)) = 0"),
+    _pii(2, "card", r"[0-9](?:[\x20-]?[0-9])+", f"length({_ONLY}) BETWEEN 12 AND 19 AND {_LUHN}"),
+    _pii(3, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_ONLY}) BETWEEN 9 AND 15"),
+    _pii(4, "iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+         f"{_alone('')} AND length({_CODE}) BETWEEN 15 AND 34 AND {_MOD}"),
+    _pii(5, "ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+         f"{_alone('-')} AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$') AND {_has('ssn|social|security|taxpayer')}"),
+    _pii(6, "tel", r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}",
+         f"{_alone('+-')} AND NOT regexp_matches(b, '\\+[0-9]{{1,3}} ?$') AND {_has(_CALL)} AND NOT {_has('isbn|order|serial')}")])
+
+ORACLE["op12_pii"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+k AS ({_KINDS}),
+g AS (SELECT r, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, nth) AS spans,
+             string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, nth) FILTER (WHERE nth < 4) AS base,
+             {", ".join(f"count(*) FILTER (WHERE nth = {i}) AS n_{n}" for i, n in enumerate(("email", "ip", "card", "phone")))}
+      FROM k GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{n}, 0)::BIGINT AS n_{n}" for n in ("email", "ip", "card", "phone"))},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)
+"""
+
+
+def _fed(*columns: str) -> str:
+    return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+                                   for c in columns) + ")"
+
+
+def _levels(name: str, tree: str, depth: int) -> str:
+    """Nodes, runs and steps of a tree's levels: ``name0(tree, i, h)`` given; steps list each node's run and slot."""
+    out = []
+    for k in range(depth):
+        out.append(f"{name}r{k} AS (SELECT {tree}, i // 16 AS u, string_agg(h, '' ORDER BY i) AS run, count(*) AS c FROM {name}{k} GROUP BY 1, 2)")
+        out.append(f"{name}m{k} AS (SELECT {tree}, max(i) AS m FROM {name}{k} GROUP BY 1)")
+        out.append(f"{name}{k + 1} AS (SELECT r.{tree}, u AS i, CASE WHEN m = 0 THEN run ELSE sha256(run) END AS h "
+                   f"FROM {name}r{k} r JOIN {name}m{k} m ON r.{tree} IS NOT DISTINCT FROM m.{tree})")
+    return ",\n".join(out)
+
+
+def _fold(name: str, tree: str, at: str, depth: int, source: str, before: str) -> str:
+    """``doc``, its place, proof and folded digest carried up ``depth`` levels of a tree."""
+    out = []
+    for k in range(depth):
+        n, into = before if k == 0 else f"{name}f{k - 1}", f"{name}f{k}"
+        place = at if k == 0 else "place"
+        out.append(f"""{into} AS (SELECT x.* EXCLUDE (proof, fold{', place' if k else ''}), {place} // 16 AS place,
+  CASE WHEN m = 0 THEN proof ELSE proof || substr(run, 1, 64 * ({place} % 16)) || substr(run, 64 * ({place} % 16) + 65) END AS proof,
+  CASE WHEN m = 0 THEN fold ELSE sha256(substr(run, 1, 64 * ({place} % 16)) || fold || substr(run, 64 * ({place} % 16) + 65)) END AS fold
+  FROM {n} x JOIN {name}r{k} r ON x.{source} IS NOT DISTINCT FROM r.{tree} AND r.u = {place} // 16
+  JOIN {name}m{k} m ON x.{source} IS NOT DISTINCT FROM m.{tree})""")
+    return ",\n".join(out)
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# five levels a tree: up to a million leaves a source and a million sources
+ORACLE["op13_manifest"] = f"""
+WITH crc AS (SELECT *, xor({_CRC.replace('page_id', 'doc_id')}, 4294967295::BIGINT) AS c FROM documents),
+h AS (SELECT doc_id, source, {_fed("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+             CASE WHEN c % 5 = 0 THEN {_fed("doc_id", "source", "lang", "n_chars", _LOWER)} END AS other FROM crc),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM h),
+a0 AS (SELECT source, i, leaf AS h FROM l),
+{_levels("a", "source", 5)},
+b0 AS (SELECT 0 AS one, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, h, source FROM a5),
+{_levels("b", "one", 5)},
+s AS (SELECT l.doc_id, l.leaf, l.source AS src, l.i AS leaf_at, 0 AS one, b0.i AS top, b0.h AS subroot, '' AS proof, coalesce(other, leaf) AS fold
+      FROM l JOIN b0 ON l.source IS NOT DISTINCT FROM b0.source),
+{_fold("a", "source", "leaf_at", 5, "src", "s")},
+t AS (SELECT * EXCLUDE (place) FROM af4),
+{_fold("b", "one", "top", 5, "one", "t")}
+SELECT doc_id, leaf, subroot, b5.h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = b5.h AS verified FROM bf4, b5
+"""

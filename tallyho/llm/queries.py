@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, lang, minhash, mixing, quality_model, quality_rules, url_filter, warc
+from . import bpe, chat, embeddings, lang, manifest, minhash, mixing, pii, quality_model, quality_rules, url_filter, warc, whitening
 from .common import landed, prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,29 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Host, path, rule and verdict of every page."""
     return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+@query("op11_whitening")
+def op11(spark, sf_dir):
+    """Whitened components of all vectors."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_pii")
+def op12(spark, sf_dir):
+    """Counts and spans of personal data in every document."""
+    return pii.digests(read(spark, sf_dir, "documents"))
+
+
+def tampered(docs: DataFrame) -> dict:
+    """A copy in which some documents' texts have lost their capitals."""
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return {"text": F.when(hit, lower).otherwise(F.col("text"))}
+
+
+@query("op13_manifest")
+def op13(spark, sf_dir):
+    """Leaf, roots and proof of every document, and the root a tampered copy folds to."""
+    docs = read(spark, sf_dir, "documents")
+    return manifest.manifest(docs, tampered(docs))
