@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import sheet_date
 from ..functions.text import clean_cell, parse_number, strip
+from ..session import landed
 from . import cells as C
-from .skew import fill_down
+from .skew import GROUP_ROWS, fill_down, global_index
 
 TEXT_COLUMNS = ["voucher_no", "vendor_code", "vendor_name", "term_code", "term_name"]
 DATE_COLUMNS = ["planned_pay_date", "cash_date"]
@@ -68,3 +69,16 @@ def ordered(table: DataFrame, ascending: bool = True) -> DataFrame:
     """O1: by date, folder, file, sheet, then grid row (pandas' stable sort keeps file order)."""
     cols = ["voucher_date", "source_folder", "source_file", "sheet_name", "source_row"]
     return table.orderBy(*[F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last() for c in cols])
+
+
+def indexed(table: DataFrame, ascending: bool = True, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """O1 with the index reset: ``ordered``'s rows with their position ``pos`` from 0, as a column.
+
+    The table is written once, as its position is measured in several passes.  Nulls come last
+    either way: descending is the ascending order (nulls first) counted from its end.
+    """
+    table = landed(table, "consolidated")
+    cols = [F.col(c) for c in ("voucher_date", "source_folder", "source_file", "sheet_name", "source_row")]
+    order = [e for c in cols for e in (c.isNull(), c)] if ascending else cols
+    out = global_index(table, order, "pos", group_rows)
+    return out.withColumn("pos", F.col("pos") - 1 if ascending else F.lit(table.count()) - F.col("pos"))

@@ -107,6 +107,16 @@ def diff_rows_nokey(spark, sf_dir):
             .unionByName(only_r.withColumn("side", F.lit("right"))))
 
 
+@query("diff_columns_differ")
+def diff_columns_differ(spark, sf_dir):
+    """U4 + J4: sides with different columns; a column that one side lacks is blank there."""
+    o = read_table(spark, sf_dir, "lineitem")
+    left = o.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"))
+    right = o.select("l_linenumber", "l_orderkey", "l_partkey", F.when(F.col("l_suppkey") % 10 == 1, F.lit("late")).alias("note"))
+    only_l, only_r = diff.diff_rows(left, right)
+    return only_l.withColumn("side", F.lit("left")).unionByName(only_r.withColumn("side", F.lit("right")))
+
+
 @query("diff_summary")
 def diff_summary(spark, sf_dir):
     return diff.diff_summary(_diff(spark, sf_dir), "diff_left", "diff_right")
@@ -345,6 +355,12 @@ def consolidated_sorted(spark, sf_dir):
     return consolidate.ordered(consolidate.consolidate(_cells(spark, sf_dir)).table.drop("other_columns"))
 
 
+@query("consolidated_indexed")
+def consolidated_indexed(spark, sf_dir):
+    """O1: the consolidated rows with the position the sort gives them."""
+    return consolidate.indexed(consolidate.consolidate(_cells(spark, sf_dir)).table.drop("other_columns"))
+
+
 @query("readings_window")
 def readings_window(spark, sf_dir):
     """P12 + A12: hourly statistics inside a date range; the range goes before the parse, into the scan."""
@@ -403,7 +419,8 @@ QUERY_OPS = {
     "diff_only_right": "J2 J3 W2 D2 F3",
     "diff_cells": "J2 J5 W2 D2 F3",
     "diff_rows_nokey": "J4 U4 D2 F3",
-    "diff_summary": "A7 F12 J1",
+    "diff_columns_differ": "J4 U4",
+    "diff_summary": "A7 F12",
     "diff_key_except_all": "U2 A9",
     "diff_key_intersect_all": "U3 A9",
     "diff_distinct_keys": "A10",
@@ -413,6 +430,7 @@ QUERY_OPS = {
     "cells_table": "H3 H4 J6 H8",
     "consolidated": "H1 H3 H4 H7 H9 H10 W1 D1 P1 F1 F4 U1",
     "consolidated_sorted": "O1",
+    "consolidated_indexed": "O1",
     "audit_consolidated": "H7 D1 D3 D7 W1 P6 P8 P10",
     "consolidated_file_log": "A8",
     "consolidated_errors": "H13",

@@ -217,6 +217,13 @@ ORACLE.update({
 SELECT {_DIFF_SEL}, 'left' AS side FROM dl a WHERE NOT EXISTS (SELECT 1 FROM dr b WHERE {_DIFF_ON})
 UNION ALL
 SELECT {_DIFF_SEL}, 'right' AS side FROM dr a WHERE NOT EXISTS (SELECT 1 FROM dl b WHERE {_DIFF_ON})""",
+    "diff_columns_differ": """
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+ CAST(l_partkey AS VARCHAR) AS l_partkey, CASE WHEN l_returnflag <> 'N' THEN l_returnflag ELSE '' END AS flag, '' AS note FROM lineitem),
+r AS (SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+ CAST(l_partkey AS VARCHAR) AS l_partkey, '' AS flag, CASE WHEN l_suppkey % 10 = 1 THEN 'late' ELSE '' END AS note FROM lineitem)
+SELECT *, 'left' AS side FROM l ANTI JOIN r USING (l_orderkey, l_linenumber, l_partkey, flag, note)
+UNION ALL SELECT *, 'right' FROM r ANTI JOIN l USING (l_orderkey, l_linenumber, l_partkey, flag, note)""",
     "diff_summary": with_ctes(DIFF) + """
 SELECT 'diff_left' AS left_table, 'diff_right' AS right_table, 'l_orderkey, l_linenumber' AS keys_used,
  (SELECT count(*) FROM only_l) = 0 AND (SELECT count(*) FROM only_r) = 0 AND (SELECT count(*) FROM cells) = 0 AS same,
@@ -587,6 +594,8 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE {_SUBTOTAL}) AS subtotal_rows,
   AS missing_category_or_amount
 FROM consolidated""",
     "consolidated_sorted": _CONS + "SELECT * FROM consolidated",
+    "consolidated_indexed": _CONS + """SELECT *, row_number() OVER (ORDER BY voucher_date, source_folder NULLS LAST,
+ source_file, sheet_name, source_row) - 1 AS pos FROM consolidated""",
     "readings_window": with_ctes(READINGS, _parsed_sql("A")) + """
 SELECT date_trunc('hour', ts) AS hour, count(*) AS n,
  CAST(sum(CAST(rh AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS rh_avg, min(rh) AS rh_min, max(rh) AS rh_max,
