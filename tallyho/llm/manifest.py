@@ -76,7 +76,7 @@ def _hexed(column: pd.Series) -> list[str]:
 
 
 def _block_root(p: Params):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
         n = int(pdf["n"].iat[0])
         top = _reduce(_hexed(pdf["leaf"]), _depth(n, p), p)[-1][0]
@@ -85,7 +85,7 @@ def _block_root(p: Params):
 
 
 def _prover(p: Params):
-    def run(key, pdf: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
         levels = _reduce(_hexed(pdf["leaf"]), _depth(int(pdf["n"].iat[0]), p), p)
         above = [(int(step["slot"]), step["run"]) for step in outer["path"].iat[0]]
