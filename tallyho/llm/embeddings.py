@@ -67,7 +67,7 @@ def _hasher(p: Params):
             for i, v in enumerate(vectors):
                 if v and None not in v and labels[i] is not None and ids[i] is not None:
                     by_length.setdefault(len(v), []).append(i)
-            out = []
+            out, fine = [], set()
             for dims, at in by_length.items():
                 x, ok = normalised([vectors[i] for i in at])
                 a, b = _directions(dims, p)
@@ -82,19 +82,22 @@ def _hasher(p: Params):
                 raw = np.array([vectors[i] for i in at], np.float64) + 0.0  # -0.0 and 0.0 are one value
                 out += [(i, xxhash.xxh3_128_digest(raw[n].tobytes()), raw[n], keys[n].view(np.int64))
                         for n, i in enumerate(at) if ok[n]]
-            digest = np.frombuffer(b"".join(o[1] for o in out), np.int64).reshape(-1, 2)
+                fine.update(i for n, i in enumerate(at) if ok[n])
+            # rows that cannot be compared have no code
+            out += [(i, None, None, None) for i in range(len(ids)) if i not in fine]
+            halves = [np.frombuffer(o[1], np.int64).tolist() if o[1] else (None, None) for o in out]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[o[0]] for o in out], pa.int64()), pa.array([labels[o[0]] for o in out], pa.string()),
-                 pa.array(digest[:, 0]), pa.array(digest[:, 1]),
+                 pa.array([h[0] for h in halves], pa.int64()), pa.array([h[1] for h in halves], pa.int64()),
                  pa.array([o[2] for o in out], pa.list_(pa.float64())), pa.array([o[3] for o in out], pa.list_(pa.int64()))],
                 names=["vec_id", "label", "code_a", "code_b", "vector", "keys"])
     return run
 
 
-def _links(ids, copies, own, x, keys, nth: int, within: bool, p: Params):
+def _links(ids, codes, copies, own, x, keys, nth: int, within: bool, p: Params):
     """Links of one group, between its two blocks or within its one block.
 
-    Per vector that has any: id, copies linked, smallest id of its component in the group.
+    Per vector that has any: id, code, copies linked, smallest id of its component in the group.
     """
     left = np.flatnonzero(own)
     right = left if within else np.flatnonzero(~own)
@@ -116,7 +119,7 @@ def _links(ids, copies, own, x, keys, nth: int, within: bool, p: Params):
         if (least == before).all():
             break
     told = (links > 0) | (least != ids)
-    return ids[told], links[told].astype(np.int64), least[told]
+    return ids[told], codes[told], links[told].astype(np.int64), least[told]
 
 
 def _lists(column, dtype) -> np.ndarray:
@@ -128,17 +131,24 @@ def _comparer(p: Params):
     """Links of groups that follow each other; only the last, unfinished group waits for the next batch."""
     def run(rows):
         def told(table):
+            """Links of whole groups; vectors of one length at a time, as groups don't mix lengths."""
+            lengths = np.diff(table.column("vector").combine_chunks().offsets.to_numpy())
+            parts = [alike(table.filter(pa.array(lengths == n))) for n in np.unique(lengths)]
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([q.column(c) for q in parts]) for c in range(4)],
+                                              names=["id", "code_a", "links", "to"])
+
+        def alike(table):
             place = [table.column(c).to_numpy() for c in ("nth", "key", "lo", "hi", "label_hash")]
             cuts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in place], axis=0), True])
-            ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
+            ids, copies, codes = (table.column(c).to_numpy() for c in ("id", "copies", "code_a"))
             own = table.column("own").to_numpy(zero_copy_only=False)
             x, _ = normalised(_lists(table.column("vector").combine_chunks(), np.float64))
             keys = _lists(table.column("keys").combine_chunks(), np.int64)
-            out = [_links(ids[a:b], copies[a:b], own[a:b], x[a:b], keys[a:b], int(place[0][a]),
+            out = [_links(ids[a:b], codes[a:b], copies[a:b], own[a:b], x[a:b], keys[a:b], int(place[0][a]),
                           place[2][a] == place[3][a], p)
                    for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1]
-            columns = [np.concatenate([o[c] for o in out] or [np.empty(0, np.int64)]) for c in range(3)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "links", "to"])
+            columns = [np.concatenate([o[c] for o in out] or [np.empty(0, np.int64)]) for c in range(4)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "code_a", "links", "to"])
 
         waiting = None
         for batch in batches(rows):
@@ -160,36 +170,49 @@ def near_duplicates(vectors: DataFrame, p: Params = Params()) -> DataFrame:
     Null, empty and zero vectors, vectors with null or non-finite components, and rows without
     label or vec_id link with nothing; neither do vectors of different lengths.  Equal
     vectors of a label are one class that is compared once and counted with its copies.
-    Other columns are not read; an empty table gives an empty result.
+    Rows that repeat a vec_id are vectors of their own, each with its own links (a repeated
+    row counts as another vector), but one node of the components: what any of them reaches,
+    all do.  Other columns are not read; an empty table gives an empty result.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("string"))
     hashed = landed(rows.mapInArrow(_hasher(p), "vec_id long, label string, code_a long, code_b long, "
                                     "vector array<double>, keys array<long>"), "hashed")
     code = ["label", "code_a", "code_b"]
-    classes = landed(hashed.groupBy(*code).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
+    usable = hashed.filter("code_a is not null")
+    # the smallest id and half of the code name a class; two classes of one smallest id differ in the code
+    classes = landed(usable.groupBy(*code).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
                                                F.min_by(F.struct("vector", "keys"), "vec_id").alias("of"))
                      .select(*code, "id", "copies", "of.vector", "of.keys"), "classes")
-    banded = classes.select("id", "label", F.posexplode("keys").alias("nth", "key"))
+    banded = classes.select("id", "code_a", "label", F.posexplode("keys").alias("nth", "key"))
     bucket = ["label", "nth", "key"]
     shared = landed(banded.groupBy(*bucket).agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
     blocks = F.ceil(F.col("size") / p.block).cast("int")
     members = (landed(banded.join(shared, bucket), "members")
                .withColumn("_blocks", blocks).withColumn("_block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
                .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-               .select("id", "nth", "key", F.xxhash64("label").alias("label_hash"), F.least("_block", "_other").alias("lo"),
+               .select("id", "code_a", "nth", "key", F.xxhash64("label").alias("label_hash"), F.least("_block", "_other").alias("lo"),
                        F.greatest("_block", "_other").alias("hi"), (F.col("_block") <= F.col("_other")).alias("own")))
     group = ["label_hash", "nth", "key", "lo", "hi"]
-    full = members.join(classes.select("id", "copies", "vector", "keys"), "id")
+    full = members.join(classes.select("id", "code_a", "copies", "vector", "keys"), ["id", "code_a"])
     found = landed(full.repartition(*group).sortWithinPartitions(*group)
-                   .mapInArrow(_comparer(p), "id long, links long, to long"), "found")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    groups = components(found.filter("id <> to").select(F.col("id").alias("a"), F.col("to").alias("b")))
-    done = landed(classes.select(*code, "id", "copies").join(links, "id", "left").join(groups, "id", "left")
+                   .mapInArrow(_comparer(p), "id long, code_a long, links long, to long"), "found")
+    links = found.groupBy("id", "code_a").agg(F.sum("links").alias("links"))
+    # an id in several classes joins them
+    held = usable.select("vec_id", *code).join(classes.select(*code, "id"), code)
+    torn = landed(held.groupBy("vec_id").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo < _hi").select("vec_id", "_lo"), "torn")
+    several = held.join(torn, "vec_id").filter("id <> _lo").select(F.col("id").alias("a"), F.col("_lo").alias("b"))
+    groups = components(found.filter("id <> to").select(F.col("id").alias("a"), F.col("to").alias("b")).union(several))
+    done = landed(classes.select(*code, "id", "copies").join(links, ["id", "code_a"], "left").join(groups, "id", "left")
                   .select(*code, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                          F.coalesce("component", "id").alias("component_id")).filter("n_links > 0"), "classes")
-    linked = landed(hashed.select("vec_id", *code).join(done, code).select(F.col("vec_id").alias("_id"), "n_links", "component_id")
-                    .distinct(), "linked")
-    return (rows.select("vec_id").join(linked, F.col("vec_id") == F.col("_id"), "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "vec_id").alias("component_id"))
+                          F.coalesce("component", "id").alias("component_id"), F.col("component").isNotNull().alias("_joined"))
+                  .filter("n_links > 0 or _joined").drop("_joined"), "classes")
+    own = landed(hashed.select("vec_id", *code).join(done, code, "left")
+                 .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                         F.coalesce("component_id", "vec_id").alias("component_id"), F.col("code_a").isNull().alias("_apart")), "own")
+    # a row that cannot be compared is of the component of the other rows of its id
+    also = (own.join(own.filter("_apart").select(F.col("vec_id").alias("_id")).distinct(), F.col("vec_id") == F.col("_id"), "left_semi")
+            .filter("not _apart").groupBy(F.col("vec_id").alias("_id")).agg(F.min("component_id").alias("_same")))
+    return (own.join(also, F.col("vec_id") == F.col("_id"), "left")
+            .select("vec_id", "n_links", F.when(F.col("_apart"), F.coalesce("_same", "component_id")).otherwise(F.col("component_id"))
+                    .alias("component_id"))
             .withColumn("kept", F.col("vec_id").isNull() | (F.col("vec_id") == F.col("component_id"))))

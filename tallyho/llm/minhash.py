@@ -333,13 +333,8 @@ def _contested_links(members: DataFrame, texts: DataFrame, p: Params) -> DataFra
             .mapInArrow(_block_comparer(p), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
-
-    Null or empty texts have no shingles and link with nothing.  A row without doc_id is in
-    no component (null) and kept.  Rows that repeat a doc_id are one document.  Other
-    columns are not read.  An empty table gives an empty result.
-    """
+def _grouped(docs: DataFrame, p: Params) -> DataFrame:
+    """``doc_id, n_shingles, set_a, set_b, component_id`` of every row: components of texts, named by their smallest id."""
     rows = landed(sketches(docs, p), "sketches")
     classes = landed(
         rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
@@ -373,14 +368,70 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
                     .filter("copies > 1 or component_id <> id")
                     .select("set_a", "set_b", "component_id"), "classes")
     return (rows.select("doc_id", "n_shingles", "set_a", "set_b").join(joined, ["set_a", "set_b"], "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "n_shingles", "set_a", "set_b",
                     F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
                     .alias("component_id"))
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-            .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))))
+            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))))
+
+
+def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
+
+    Null or empty texts have no shingles and link with nothing.  A row without doc_id is in
+    no component (null) and kept.  Rows that repeat a doc_id are one node, whatever their
+    texts: what one of them reaches, all do.  Other columns are not read.  An empty table
+    gives an empty result.
+    """
+    rows = _grouped(docs, p)
+    torn = landed(rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("_lo"), F.max("component_id").alias("_hi"))
+                  .filter("_lo < _hi").select("doc_id", "_lo"), "torn")
+    if not torn.isEmpty():
+        links = rows.join(torn, "doc_id").select(F.col("component_id").alias("a"), F.col("_lo").alias("b"))
+        whole = components(links).select(F.col("id").alias("component_id"), F.col("component").alias("_whole"))
+        rows = rows.join(whole, "component_id", "left").withColumn("component_id", F.coalesce("_whole", "component_id"))
+    return rows.select("doc_id", "n_shingles", "component_id",
+                       (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
+
+
+def _tagger(p: Params):
+    def run(rows):
+        cache = _WordHashes()
+        for batch in batches(rows):
+            sets = [shingle_set(t.as_py(), p.shingle, cache) for t in batch.column("text")]
+            codes = np.array([_set_code(s) for s in sets], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array(codes[:, 0]), pa.array(codes[:, 1])],
+                                             names=["row", "doc_id", "n_shingles", "set_a", "set_b"])
+    return run
 
 
 def dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """The rows of ``docs``, all columns, that are their group's kept document."""
-    gone = landed(near_duplicates(docs, p).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows of ``docs``, all columns: one of each group of near-duplicate texts stays.
+
+    Groups are of texts, not of ids: a text whose id has another, removed text stays.  Of rows
+    that repeat an id and a shingle set one stays, and so of rows without id that repeat a
+    set; rows without id are compared with nothing else.  Rows without words all stay, ties go
+    to the row with the smallest hash.  An empty table gives an empty result.
+    """
+    rows = landed(_grouped(docs, p), "grouped")
+    of = ["doc_id", "set_a", "set_b"]
+    sets = (rows.filter("doc_id is not null and n_shingles > 0").groupBy(*of)
+            .agg((F.min("component_id") == F.col("doc_id")).alias("kept"), F.count(F.lit(1)).alias("rows")))
+    ids = sets.groupBy("doc_id").agg(F.sum("rows").alias("rows"), F.bool_or("kept").alias("kept"))
+    decided = landed(ids.filter("rows > 1 or not kept").select(F.col("doc_id").alias("_id"), (F.col("rows") > 1).alias("_several")), "decided")
+    simple = docs.join(decided.select("_id"), docs["doc_id"] == F.col("_id"), "left_anti")
+    several = landed(decided.filter("_several").select("_id"), "several")
+    if several.isEmpty() and rows.filter("doc_id is null").isEmpty():
+        return simple
+    # rows that repeat an id, or have none, are told apart by their sets
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                      F.col("text").cast("string").alias("text"))
+    odd = row.filter("doc_id is null").unionAll(row.join(several, F.col("doc_id") == F.col("_id"), "left_semi"))
+    schema = T.StructType([row.schema["row"], T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in
+                                                                                     ("n_shingles", "set_a", "set_b")]])
+    tagged = odd.mapInArrow(_tagger(p), schema)
+    gone = landed(sets.filter("not kept").select(*of), "gone")
+    worded = tagged.filter("n_shingles > 0").join(gone, of, "left_anti")
+    one = worded.groupBy(*of).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*")
+    return (simple.filter("doc_id is not null").unionByName(one)
+            .unionByName(tagged.filter("n_shingles = 0").select("row.*")))

@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from ..session import landed
 
-GROUP_ROWS = 1 << 18   # rows of a key that one window may hold before the key is cut into buckets
+GROUP_ROWS = 1 << 14   # rows of a key that one window may hold before the key is cut into buckets
 MAX_BUCKETS = 1 << 12  # buckets of all hot keys together: the bound of the tables that are broadcast
 HITS = 64              # sampled rows that stand for one bucket
 COPY_CHUNK = 1 << 16   # copies of one row that a task writes at once
 
 
 def _hashable(df: DataFrame) -> list[Column]:
-    return [F.to_json(F.col(f"`{c}`")) if t.startswith("map") else F.col(f"`{c}`") for c, t in df.dtypes]
+    return [F.to_json(F.col(f"`{c}`")) if "map<" in t else F.col(f"`{c}`") for c, t in df.dtypes]
 
 
 def _first_not_below(bounds: Column, value: Column, most: int) -> Column:
