@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_words, batches, groups, landed
+from .common import ascii_words, batches, groups, is_word_text, landed
 from .components import components
 
 SLOTS = 1 << 20
@@ -393,45 +393,27 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
                        (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
-def _tagger(p: Params):
-    def run(rows):
-        cache = _WordHashes()
-        for batch in batches(rows):
-            sets = [shingle_set(t.as_py(), p.shingle, cache) for t in batch.column("text")]
-            codes = np.array([_set_code(s) for s in sets], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(codes[:, 0]), pa.array(codes[:, 1])],
-                                             names=["row", "doc_id", "n_shingles", "set_a", "set_b"])
-    return run
-
-
 def dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs``, all columns: one of each group of near-duplicate texts stays.
 
-    Groups are of texts, not of ids: a text whose id has another, removed text stays.  Of rows
-    that repeat an id and a shingle set one stays, and so of rows without id that repeat a
-    set; rows without id are compared with nothing else.  Rows without words all stay, ties go
-    to the row with the smallest hash.  An empty table gives an empty result.
+    Groups are of texts, not of ids: rows whose id is null or repeated stand for themselves,
+    named by a hash of id and text that follows all given ids, so a text whose id has another,
+    removed text stays.  Of such rows with equal id and text the one with the smallest hash
+    stays.  Rows without words all stay.  User columns may have any names; an empty table gives
+    an empty result.
     """
-    rows = landed(_grouped(docs, p), "grouped")
-    of = ["doc_id", "set_a", "set_b"]
-    sets = (rows.filter("doc_id is not null and n_shingles > 0").groupBy(*of)
-            .agg((F.min("component_id") == F.col("doc_id")).alias("kept"), F.count(F.lit(1)).alias("rows")))
-    ids = sets.groupBy("doc_id").agg(F.sum("rows").alias("rows"), F.bool_or("kept").alias("kept"))
-    decided = landed(ids.filter("rows > 1 or not kept").select(F.col("doc_id").alias("_id"), (F.col("rows") > 1).alias("_several")), "decided")
-    simple = docs.join(decided.select("_id"), docs["doc_id"] == F.col("_id"), "left_anti")
-    several = landed(decided.filter("_several").select("_id"), "several")
-    if several.isEmpty() and rows.filter("doc_id is null").isEmpty():
-        return simple
-    # rows that repeat an id, or have none, are told apart by their sets
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                      F.col("text").cast("string").alias("text"))
-    odd = row.filter("doc_id is null").unionAll(row.join(several, F.col("doc_id") == F.col("_id"), "left_semi"))
-    schema = T.StructType([row.schema["row"], T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in
-                                                                                     ("n_shingles", "set_a", "set_b")]])
-    tagged = odd.mapInArrow(_tagger(p), schema)
-    gone = landed(sets.filter("not kept").select(*of), "gone")
-    worded = tagged.filter("n_shingles > 0").join(gone, of, "left_anti")
-    one = worded.groupBy(*of).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*")
-    return (simple.filter("doc_id is not null").unionByName(one)
-            .unionByName(tagged.filter("n_shingles = 0").select("row.*")))
+    ids = docs.select(F.col("doc_id").cast("long").alias("_id"))
+    repeated = landed(ids.groupBy("_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1 or _id is null").select("_id"), "repeated")
+    if repeated.isEmpty():
+        gone = landed(_grouped(docs, p).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+        return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.col("text").cast("string").alias("text"))
+    rows = rows.join(repeated, F.col("id") == F.col("_id"), "left").withColumn("odd", F.col("id").isNull() | F.col("_id").isNotNull())
+    name = F.xxhash64("id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    rows = rows.select("row", "text", "odd", F.when(F.col("odd"), name).otherwise(F.col("id")).alias("name"))
+    gone = landed(_grouped(rows.select(F.col("name").alias("doc_id"), "text"), p).filter("doc_id <> component_id")
+                  .select(F.col("doc_id").alias("name")).distinct(), "gone")
+    left = rows.join(gone, "name", "left_anti").withColumn("odd", F.col("odd") & F.coalesce(is_word_text(F.col("text")), F.lit(False)))
+    one = left.filter("odd").groupBy("name").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return left.filter("not odd").select("row.*").unionByName(one.select("row.*"))
