@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,15 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def neutral(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but ``keep`` named c0, c1, ... by place, and the way back to its columns and names.
+
+    Helper columns added in between then clash with no column a user may have.
+    """
+    names = [c if c in keep else f"c{i}" for i, c in enumerate(df.columns)]
+    return df.toDF(*names), lambda rows: rows.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)])
+
+
 def is_word_text(col):
     """Whether a text has at least one character that is no word end."""
     return F.length(F.translate(col, WORD_ENDS, "")) > 0

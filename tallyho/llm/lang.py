@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches
+from .common import batches, neutral
 
 UNDETERMINED = "und"
 
@@ -236,7 +236,11 @@ def predict(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5, p: Params = Params()) -> DataFrame:
-    """The rows, all columns, whose language is identified with at least ``least_score``."""
-    model = fit(docs.filter(~held_out()), p)
-    return (with_language(docs, model).filter((F.col(PRED) != UNDETERMINED) & (F.col(SCORE) >= least_score))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The rows, all columns, whose language is identified with at least ``least_score``.
+
+    Null texts and texts without a letter go; rows with a null or repeated doc_id are judged
+    each.  Other columns may have any names; an empty table gives an empty result.
+    """
+    rows, back = neutral(docs, "doc_id", "text", "lang")
+    model = fit(rows.filter(~held_out()), p)
+    return back(with_language(rows, model).filter((F.col(PRED) != UNDETERMINED) & (F.col(SCORE) >= least_score)))

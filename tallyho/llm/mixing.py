@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_ENDS, landed
+from ..operators.skew import occurrence_number
+from .common import WORD_ENDS, landed, neutral
 
 
 @dataclass(frozen=True)
@@ -69,15 +70,37 @@ def targets(sizes: DataFrame, p: Params = Params()) -> DataFrame:
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
 
 
-def coin(p: Params, doc_id: str = "doc_id"):
-    """A number from 0 up to 1 from the seed and the id: the same in every run (null id: as text 'null')."""
-    text = F.concat(F.lit(p.seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
+def coin(p: Params, name: Column) -> Column:
+    """A number from 0 up to 1 from the seed and a name: the same in every run."""
+    text = F.concat(F.lit(p.seed + ":"), name)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
+def coined(rows: DataFrame, p: Params = Params()) -> DataFrame:
+    """``rows`` with ``_mix_coin`` and ``_mix_nth``: a coin an id, and a place among the rows that share the coin.
+
+    A row whose id is null or repeated is named by a digest of id, text and source.  Rows that
+    agree in these share a coin and are numbered, a large pile of them in buckets.
+    """
+    key = F.col("doc_id").cast("string")
+    repeated = landed(rows.groupBy(key.alias("_mix_id")).agg(F.count(F.lit(1)).alias("_mix_n"))
+                      .filter("_mix_n > 1 or _mix_id is null").select("_mix_id"), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumns({"_mix_coin": coin(p, key), "_mix_nth": F.lit(1).cast("long")})
+    given, same = rows.filter("doc_id is not null"), key == F.col("_mix_id")
+    single = given.join(repeated, same, "left_anti").withColumns({"_mix_coin": coin(p, key), "_mix_nth": F.lit(1).cast("long")})
+    several = rows.filter("doc_id is null").unionAll(given.join(repeated, same, "left_semi"))
+    named = several.withColumns({"_mix_a": F.xxhash64("doc_id", "text", "source"), "_mix_b": F.xxhash64(F.lit(17), "doc_id", "text", "source")})
+    numbered = occurrence_number(named, ["_mix_a", "_mix_b"], [], "_mix_nth")
+    name = F.concat_ws(":", key, F.col("_mix_a").cast("string"), F.col("_mix_b").cast("string"))
+    return single.unionByName(numbered.withColumn("_mix_coin", coin(p, name)).drop("_mix_a", "_mix_b"))
+
+
 def taken(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` with ``_mix_size``, ``source_size`` and ``target`` as ``_mix_...``, and ``_mix_times``.
 
+    Of n rows that share a coin, the first i take ceil(i * fraction - coin) copies more in all.
+
     The targets table has a row a source and is joined by name; a source that holds most
     rows is split by Spark's skew join, or the table is broadcast when measured small.
     """
@@ -85,16 +108,18 @@ def taken(docs: DataFrame, p: Params = Params()) -> DataFrame:
     plan = landed(targets(rows.select("_mix_source", "_mix_size"), p), "targets").select(
         F.col("_mix_source").alias("_mix_of"), F.col("source_size").alias("_mix_source_size"),
         F.col("target").alias("_mix_target"), F.col("rate").alias("_mix_rate"))
-    joined = rows.join(plan, F.col("_mix_source").eqNullSafe(F.col("_mix_of")))
-    whole = F.floor("_mix_rate")
-    return joined.withColumn("_mix_times", (whole + F.when(coin(p) < F.col("_mix_rate") - whole, 1).otherwise(0)).cast("long"))
+    joined = coined(rows, p).join(plan, F.col("_mix_source").eqNullSafe(F.col("_mix_of")))
+    whole, nth = F.floor("_mix_rate"), F.col("_mix_nth")
+    more = [F.ceil(i * (F.col("_mix_rate") - whole) - F.col("_mix_coin")) for i in (nth, nth - 1)]
+    return joined.withColumn("_mix_times", (whole + more[0] - more[1]).cast("long"))
 
 
 def mix_sizes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of every document.
 
     Null texts have size 0 and so take no words; a null source is a source of its own, the last
-    one; rows that repeat a doc_id are taken alike.  An empty table gives an empty result.
+    one; rows whose doc_id is null or repeated are taken each on its own, also where they are
+    equal.  Other columns are not read.  An empty table gives an empty result.
     """
     return taken(docs.select("doc_id", "text", "source"), p).select(
         "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),
@@ -102,7 +127,10 @@ def mix_sizes(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """The mixture itself: each row of ``docs``, all columns, as often as it is taken."""
-    return (taken(docs, p).filter("_mix_times > 0")
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_times"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The mixture itself: each row of ``docs``, all columns, as often as it is taken.
+
+    Rows are treated as in ``mix_sizes``; other columns may have any names.
+    """
+    rows, back = neutral(docs, "doc_id", "text", "source")
+    return back(taken(rows, p).filter("_mix_times > 0")
+                .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_times")))))

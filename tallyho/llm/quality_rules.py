@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_ENDS, is_word_text
+from .common import WORD_ENDS, is_word_text, neutral
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -139,9 +139,12 @@ def keep_passing(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """The rows of ``docs``, all columns, that pass the base and the policy.
 
     The counters also keep the filter above the measuring: pushed below, its condition would
-    hold every measurement's expression several times over.
+    hold every measurement's expression several times over.  Null and empty texts fail; rows
+    with a null or repeated doc_id are judged each.  Other columns may have any names; an
+    empty table gives an empty result.
     """
+    plain, back = neutral(docs, "text")
     both = Policy(policy.version, tuple(sorted({*BASE.rules, *policy.rules})))
-    rows = measured(docs).withColumn("_q_failed", _bits("_q_"))
+    rows = measured(plain).withColumn("_q_failed", _bits("_q_"))
     rows = rows.observe(f"quality rules {policy.version}", F.count(F.lit(1)).alias("rows"), F.count_if(fails(both, "_q_failed")).alias("rejected"))
-    return rows.filter(~fails(both, "_q_failed")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return back(rows.filter(~fails(both, "_q_failed")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_text_operators import measured_by_hand
 
 import corpus_pipeline
-from tallyho.llm import chat, lang, mixing, url_filter, warc
+from tallyho.llm import chat, lang, minhash, mixing, quality_rules, url_filter, warc
 from tallyho.llm.common import prepare, read
 from tallyho.llm.oracle import ORACLE
 from tallyho.llm.queries import QUERIES, vocabulary
@@ -45,6 +45,37 @@ def test_targets_equal_sharing_by_rounds(spark):
         assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
 
 
+def test_mix_of_rows_without_ids_comes_near_its_target(spark):
+    """1,600 rows without id, half of them equal, and 1,500 of one id: each source near its target."""
+    prepare(spark)
+    rows = [(None, "w " * 50 if i % 2 else f"w{i} " * 50, "en", "a") for i in range(1600)] + [(7, f"x{i % 40} " * 40, "en", "b") for i in range(1500)]
+    docs = documents(spark, rows + [(100 + i, "z " * 50, "en", "c") for i in range(1000)], extra=True)
+    got = mixing.mix_sizes(docs).collect()
+    assert len(got) == docs.count()
+    by = {}
+    for r in got:
+        by.setdefault((r["source_size"], r["target"]), []).append(r["taken"])
+    assert len(by) == 3 and all(abs(sum(t) - target) < 0.06 * target for (_, target), t in by.items())
+    again = documents(spark, rows[::-1] + [(100 + i, "z " * 50, "en", "c") for i in range(1000)], extra=True).repartition(5)
+    assert sorted(map(tuple, mixing.mix_sizes(again).collect()), key=repr) == sorted(map(tuple, got), key=repr)
+    assert mixing.mix(docs).count() == sum(r["taken"] // r["size"] for r in got)
+
+
+def test_stages_take_clashing_columns(spark):
+    """Columns named like helper columns come back as they were."""
+    prepare(spark)
+    texts = [(i, " ".join(f"word{j % 61} and{j}" for j in range(i, i + 60)) + ".", "en", "s") for i in range(40)]
+    names = ("_lang_text", "_lang_pred", "_q_t", "_q_n_words", "_mix_size", "_mix_coin", "_mix_nth", "_url", "c0", "c1", "row", "name", "_id")
+    docs = documents(spark, texts).selectExpr("*", *[f"'K{i}' as `{n}`" for i, n in enumerate(names)])
+    for stage in (quality_rules.keep_passing, lang.keep_identified, mixing.mix, minhash.dedup):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select(*[f"`{n}`" for n in names]).collect()} == {tuple(f"K{i}" for i in range(len(names)))}
+    pages = spark.createDataFrame([(1, "http://a.org/x", "U"), (2, None, "U")], "page_id long, url string, _url string")
+    out = url_filter.keep_allowed(pages)
+    assert out.columns == pages.columns and {r["_url"] for r in out.collect()} == {"U"}
+
+
 def test_mix_takes_what_it_says(spark):
     prepare(spark)
     docs = documents(spark, ODD + [(100 + i, "w " * (i % 40), "en", "abc"[i % 3]) for i in range(600)], extra=True)
