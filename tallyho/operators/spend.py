@@ -43,9 +43,11 @@ def drop_blank_rows(df: DataFrame, cols=("doc_date", "term_name", "planned_pay_d
 
 
 def spend_rows(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT,
-               null_category: str = "drop") -> DataFrame:
+               null_category: str = "drop", keep: tuple[str, ...] = ()) -> DataFrame:
     """P2 + P3 + P4 + F4: the cleaned ``(dimension, amount)`` rows that feed every spend table.
 
+    ``keep`` names further columns to carry as they are.
+
     ``amount`` may be text ('1,500.25') or numeric; it becomes an exact decimal.  Rows without
     an amount are dropped; rows without a category are dropped (``null_category="drop"``)
     or kept as their own group (``"keep"``).
@@ -54,7 +56,7 @@ def spend_rows(df: DataFrame, dimension: str = "term_name", amount: str = AMOUNT
     dtype = dict(cleaned.dtypes)[amount]
     amt = parse_amount(amount) if dtype == "string" else F.col(amount).try_cast(AMOUNT_TYPE)
     # P5: only the two columns the aggregates need are kept (Catalyst prunes the scan)
-    out = cleaned.select(blank_to_null(F.col(dimension).cast("string")).alias(dimension), amt.alias(AMOUNT))
+    out = cleaned.select(*keep, blank_to_null(F.col(dimension).cast("string")).alias(dimension), amt.alias(AMOUNT))
     out = out.where(F.col(AMOUNT).isNotNull())
     if null_category == "drop":
         out = out.where(F.col(dimension).isNotNull())
@@ -126,6 +128,30 @@ def top_k_with_other(df: DataFrame, dimension: str = "term_name", k: int = confi
             .select("rank", dimension, F.col(AMOUNT).cast("double").alias(AMOUNT), "pct"))
 
 
+def top_k_by_group(df: DataFrame, group: str, dimension: str = "term_name", k: int = config.TOP_K,
+                   other_label: str = config.OTHER_LABEL, amount: str = AMOUNT,
+                   null_category: str = "drop") -> DataFrame:
+    """K4 + A2 + A3: ``top_k_with_other`` of every group (a folder) at once; shares are of the group's own total.
+
+    Ranking stops at k in every task before rows are shuffled to their group (a window
+    group limit), so a group of any size sends k rows a task; the rest of a group is its
+    total less its top.  A null group is a group; a group without rows left is not in the result.
+    """
+    agg = spend_rows(df, dimension, amount, null_category, keep=(group,)).groupBy(group, dimension).agg(F.sum(AMOUNT).alias(AMOUNT))
+    order = Window.partitionBy(group).orderBy(F.desc(AMOUNT), F.asc_nulls_last(dimension))
+    top = agg.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    shown = top.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("rank", dimension, AMOUNT))).alias("_tly_top"),
+                                   F.sum(AMOUNT).alias("_tly_shown"))
+    totals = agg.groupBy(F.col(group).alias("_tly_group")).agg(F.sum(AMOUNT).alias("_tly_total"), F.count(F.lit(1)).alias("_tly_n"))
+    rest = F.struct(F.lit(k + 1).alias("rank"), F.lit(other_label).alias(dimension),
+                    (F.col("_tly_total") - F.col("_tly_shown")).cast(agg.schema[AMOUNT].dataType).alias(AMOUNT))
+    rows = F.when(F.col("_tly_n") > k, F.concat("_tly_top", F.array(rest))).otherwise(F.col("_tly_top"))
+    return (shown.join(totals, F.col(group).eqNullSafe(F.col("_tly_group")))
+            .select(group, "_tly_total", F.explode(rows).alias("_tly_row"))
+            .select(group, "_tly_row.rank", f"_tly_row.{dimension}", F.col(f"_tly_row.{AMOUNT}").cast("double").alias(AMOUNT),
+                    F.try_divide(F.col(f"_tly_row.{AMOUNT}").cast("double") * 100.0, F.col("_tly_total").cast("double")).alias("pct")))
+
+
 def top_terms(df: DataFrame, n: int = config.TOP_TERMS, dimension: str = "term_name",
               amount: str = AMOUNT) -> DataFrame:
     """A4 + W3 + M1: rank, term, amount and share rounded half-even to one decimal."""

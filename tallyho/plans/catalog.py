@@ -69,6 +69,12 @@ def spend_topk_vendor(spark, sf_dir):
     return spend.top_k_with_other(fixtures.vouchers(spark, sf_dir), "vendor_name")
 
 
+@query("spend_topk_by_folder")
+def spend_topk_by_folder(spark, sf_dir):
+    """K4: the largest vendors of every folder (region) with the folder's rest."""
+    return spend.top_k_by_group(fixtures.folder_vouchers(spark, sf_dir), "folder", "vendor_name")
+
+
 @query("spend_top3")
 def spend_top3(spark, sf_dir):
     return spend.top_terms(fixtures.vouchers(spark, sf_dir))
@@ -411,6 +417,7 @@ QUERY_OPS = {
     "spend_by_term": "P2 P3 P4 A1 A3 P9 F4 F5 F6 P5",
     "spend_topk_other": "A1 A2 A3 O3 O4 W3",
     "spend_topk_vendor": "A2 A3 A13 O4",
+    "spend_topk_by_folder": "K4 A2 A3 A13 O4",
     "spend_top3": "A4 W3 M1 O4",
     "spend_vendor_share": "A5 P7 W4 P9",
     "spend_consolidated_vendor": "P2 A1 A3 A13",

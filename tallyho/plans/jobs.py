@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators import audit, cells as C, consolidate, diff, extract, spend
 from ..operators.columns import align_to, drop_unnamed
+from ..session import landed
 from ..sinks import writers
 from ..sources import files, jdbc, xlsx
 
 
 def workbook_cells(spark: SparkSession, base_dir: str, recursive: bool = False,
                    wide: bool = False) -> tuple[DataFrame, DataFrame]:
-    """S1 + S2 + S5: cells and read errors of every workbook in the sub-folders."""
+    """S1 + S2 + S5: cells and read errors of every workbook in the sub-folders, parsed once and written."""
     exts = config.WORKBOOK_EXTENSIONS_WIDE if wide else config.WORKBOOK_EXTENSIONS
     loaded = files.keep_folders(files.list_files(spark, base_dir, exts, recursive=recursive, with_content=True),
                                 drop_hidden=wide)
-    raw = xlsx.read_workbooks(loaded)
+    raw = landed(xlsx.read_workbooks(loaded), "workbooks")
     return xlsx.cells_of(raw), xlsx.errors_of(raw)
 
 
@@ -95,20 +96,23 @@ def spend_table(cells: DataFrame) -> DataFrame:
 
 
 def spend_job(spark: SparkSession, base_dir: str, out_root: str, run_ts: str | None = None) -> dict[str, str]:
-    """Entry 3: the newest workbook of every folder -> summary, top-3, vendor shares and read errors.
-
-    The newest file per folder is chosen from the listing (S3: file metadata, one path per
-    folder), and only those workbooks are loaded."""
-    listing = files.keep_folders(files.list_files(spark, base_dir, config.WORKBOOK_EXTENSIONS_WIDE),
-                                 drop_hidden=True)
-    newest = [r.latest_file for r in extract.latest_per_folder(listing, use_name_time=False).collect()]
-    if not newest:
+    """Entry 3: the newest workbook of every folder -> summary, top-3, vendor shares, a summary a folder and read errors.
+
+    The newest file per folder is chosen from the listing (S3: file metadata); the files are
+    semi-joined with it, so only those workbooks are read and no path passes the driver."""
+    loaded = files.keep_folders(files.list_files(spark, base_dir, config.WORKBOOK_EXTENSIONS_WIDE, with_content=True),
+                                drop_hidden=True)
+    newest = extract.latest_per_folder(loaded.drop("content"), use_name_time=False).select(F.col("latest_file").alias("path"))
+    if newest.isEmpty():
         raise ValueError(f"no workbook under {base_dir}")
-    raw = xlsx.read_workbooks(spark.read.format("binaryFile").load(newest))
+    raw = landed(xlsx.read_workbooks(loaded.join(newest, "path", "left_semi")), "workbooks")
     table = spend_table(xlsx.cells_of(raw))
+    if spend.spend_rows(table).isEmpty():
+        raise ValueError(f"no row with a payment term and an amount in the newest workbooks under {base_dir}")
     tables = {"summary": spend.top_k_with_other(table), "top3": spend.top_terms(table),
-              "vendor_share": spend.vendor_share(table), "ERRORS": xlsx.errors_of(raw)}
-    return writers.write_report(tables, out_root, run_ts, skip_empty=("ERRORS",), partition_by={"vendor_share": ["term_name"]})
+              "vendor_share": spend.vendor_share(table), "folder_summary": spend.top_k_by_group(table, "folder"),
+              "ERRORS": xlsx.errors_of(raw)}
+    return writers.write_report(tables, out_root, run_ts, skip_empty=("ERRORS",), partition_by={"vendor_share": ["term_name"], "folder_summary": ["folder"]})
 
 
 def extract_job(spark: SparkSession, url: str, view: str, out_path: str, log_path: str, **jdbc_options) -> int:

@@ -151,6 +151,21 @@ ORACLE.update({
 SELECT term_name, amount, pct, CASE WHEN pct >= 2.0 THEN printf('%.1f%%', pct) ELSE '' END AS label FROM s""",
     "spend_topk_other": _topk_other("term_name"),
     "spend_topk_vendor": _topk_other("vendor_name"),
+    "spend_topk_by_folder": with_ctes(VOUCHERS) + f"""
+, r AS (
+ SELECT r_name AS folder, NULLIF({strip_sql('vendor_name')}, '') AS vendor_name, amount
+ FROM vouchers JOIN customer ON CAST(c_custkey AS VARCHAR) = vendor_code
+ JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+ WHERE amount IS NOT NULL AND NULLIF({strip_sql('vendor_name')}, '') IS NOT NULL
+), agg AS (SELECT folder, vendor_name, sum(amount) AS amount FROM r GROUP BY folder, vendor_name)
+, tot AS (SELECT folder, sum(amount) AS total FROM r GROUP BY folder)
+, ranked AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY amount DESC, vendor_name ASC NULLS LAST) AS rk FROM agg)
+SELECT x.folder, rank, vendor_name, CAST(amount AS DOUBLE) AS amount, CAST(amount AS DOUBLE) * 100.0 / CAST(total AS DOUBLE) AS pct
+FROM (
+ SELECT folder, CAST(rk AS INTEGER) AS rank, vendor_name, amount FROM ranked WHERE rk <= 10
+ UNION ALL
+ SELECT folder, 11, '其他', sum(amount) FROM ranked WHERE rk > 10 GROUP BY folder
+) x JOIN tot ON tot.folder = x.folder""",
     "spend_top3": with_ctes(VOUCHERS, _spend_rows("term_name")) + """
 , ranked AS (SELECT *, row_number() OVER (ORDER BY amount DESC, term_name ASC NULLS LAST) AS rk FROM agg)
 SELECT CAST(rk AS INTEGER) AS rank, term_name, CAST(amount AS DOUBLE) AS amount,

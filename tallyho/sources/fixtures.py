@@ -24,6 +24,16 @@ VOUCHER_TERMS = [
 OVERRIDE_VENDOR_EVERY = 50
 
 
+def folder_vouchers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vouchers with a folder: the region of the vendor's customer."""
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("_code"), "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("folder"))
+    v = vouchers(spark, sf_dir)
+    return (v.join(c, v.vendor_code == F.col("_code")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(*v.columns, "folder"))
+
+
 def vouchers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Voucher table: one row per order, vendor from the customer, a cycled payment term
     (every 12th order has none) and a recorded payment date (every 5th order has none)."""

@@ -4,7 +4,10 @@ import tempfile
 import zipfile
 from xml.sax.saxutils import escape
 
+import pytest
+from pyspark.sql import functions as F
 
+from tallyho.operators import spend
 from tallyho.plans import jobs
 
 HEADER = ["憑單日期", "憑單單號", "廠商簡稱", "付款條件名稱", "預計付款日", "本幣貨款金額", "備註"]
@@ -115,6 +118,32 @@ def test_spend_job(spark):
     assert summary == {"當月15號": 1000.0, "次月15號付款": 349.5, "月結30天": 10.0}
     top3 = spark.read.parquet(paths["top3"]).orderBy("rank").collect()
     assert [r.term_name for r in top3] == ["當月15號", "次月15號付款", "月結30天"]
+    folders = spark.read.parquet(paths["folder_summary"])
+    assert "folder" in folders.columns and folders.agg(F.sum("amount")).first()[0] == sum(summary.values())
+    empty = tempfile.mkdtemp(prefix="tallyho-empty-")
+    os.makedirs(os.path.join(empty, "z"))
+    open(os.path.join(empty, "z", "notes.txt"), "w").close()
+    with pytest.raises(ValueError, match="no workbook"):
+        jobs.spend_job(spark, empty, os.path.join(empty, "_out"))
+    bare = tempfile.mkdtemp(prefix="tallyho-spend-")
+    write_xlsx(os.path.join(bare, "z", "bare.xlsx"), {"s": [HEADER]})
+    with pytest.raises(ValueError, match="no row"):
+        jobs.spend_job(spark, bare, os.path.join(bare, "_out"))
+
+
+def test_top_k_of_every_group(spark):
+    """Each group's ranking equals the one-group report over that group alone; ties go by name, null is a group."""
+    rows = [(g, f"v{(i * 7 + n) % 23:02d}" if i % 9 else None, float((i * 13) % 40 - 4)) for n, g in enumerate(["a", "b", None]) for i in range(60 - 20 * n)]
+    rows += [("one", "v", 5.0), ("none", None, 1.0), ("zero", "p", 1.0), ("zero", "q", -1.0)]
+    df = spark.createDataFrame(rows, "folder string, vendor string, amount double")
+    got = {}
+    for r in spend.top_k_by_group(df, "folder", "vendor", k=4).collect():
+        got.setdefault(r.folder, []).append((r["rank"], r.vendor, r.amount, r.pct))
+    assert got.keys() == {"a", "b", None, "one", "zero"}
+    for g, ranked in got.items():
+        alone = spend.top_k_with_other(df.where(F.col("folder").eqNullSafe(F.lit(g))).drop("folder"), "vendor", k=4)
+        assert sorted(ranked) == sorted(map(tuple, alone.collect()))
+    assert spend.top_k_by_group(df.limit(0), "folder", "vendor").count() == 0
 
 
 def test_spend_job_reports_what_it_cannot_read(spark):
