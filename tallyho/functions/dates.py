@@ -22,6 +22,27 @@ EXCEL_SERIAL_MAX = 2958465
 SHEET_DATE_FORMATS = ["yyyy/M/d", "yyyy-M-d", "yyyy/M/d H:m:s", "yyyy-M-d H:m:s"]
 # D3: separators '.' and '/' become '-', then these are tried (month-first before day-first)
 LENIENT_DATE_FORMATS = ["yyyy-M-d", "yyyy-M-d H:m:s", "yyyyMMdd", "M-d-yyyy", "d-M-yyyy"]
+# D3, free forms: rewritten in this order to '=year month day', the mark keeping later ones off
+MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+NUMBER = "([0-9]{1,2})"
+YEAR = "([0-9]{4}|[0-9]{2})"
+FREE_FORMS = [
+    ("=", "?"),
+    ("^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?[., ]+", ""),
+    ("[t ]+[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]+)?)?(?: ?[ap]m)?(?: ?(?:z|utc|gmt|[-+][0-9]{2}:?[0-9]{2}))?$", ""),
+    (r"\b(?:(jan)uary|(feb)ruary|(mar)ch|(apr)il|(jun)e|(jul)y|(aug)ust|(sep)t(?:ember)?|(oct)ober|(nov)ember|(dec)ember)\b",
+     "$1$2$3$4$5$6$7$8$9$10$11"),
+    ("([0-9])(?:st|nd|rd|th)(?![a-z])", "$1"),
+    ("[-./, ]+", " "),
+    (f"^{NUMBER} {MONTH} {YEAR}$", "=$3 $2 $1"),
+    (f"^{MONTH} {NUMBER} {YEAR}$", "=$3 $1 $2"),
+    (f"^(1[3-9]|2[0-9]|3[01]) {NUMBER} {YEAR}$", "=$3 $2 $1"),
+    (f"^{NUMBER} {NUMBER} {YEAR}$", "=$3 $1 $2"),
+    (f"^([0-9]{{4}}) (?:{MONTH}|{NUMBER}) {NUMBER}$", "=$1 $2$3 $4"),
+    ("^([0-9]{4})([0-9]{2})([0-9]{2})(?:[0-9]{4}|[0-9]{6})?$", "=$1 $2 $3"),
+    ("^=([0-5][0-9]|6[0-8]) ", "=20$1 "),
+    ("^=([0-9]{2}) ", "=19$1 "),
+]
 # The two sensor-log timestamp formats
 LOG_TS_FORMATS = ["yyyy/MM/dd HH:mm", "yyyy-MM-dd HH:mm:ss"]
 
@@ -50,9 +71,23 @@ def sheet_date(c) -> Column:
 
 
 def lenient_date(c) -> Column:
-    """D3: '.' and '/' read as '-', then a list of common layouts."""
-    s = F.translate(strip(_col(c).cast("string")), "./", "--")
-    return _try_formats(s, LENIENT_DATE_FORMATS).cast("date")
+    """D3: '.' and '/' read as '-', then a list of common layouts, then the free forms."""
+    s = strip(_col(c).cast("string"))
+    return F.coalesce(_try_formats(F.translate(s, "./", "--"), LENIENT_DATE_FORMATS).cast("date"), free_date(s))
+
+
+def free_date(c) -> Column:
+    """D3, free forms: a weekday before and a time of day behind are cut off, separators become
+    blanks, and the remaining two or three words are read by their kind.
+
+    A month may be a name, a four-digit number is the year, and a year of two digits is the one
+    in 1969-2068.  Without a name the month goes first unless its number exceeds 12.  Text of any
+    other shape, and days that do not exist, give null.
+    """
+    s = F.lower(strip(_col(c).cast("string")))
+    for pattern, into in FREE_FORMS:
+        s = F.regexp_replace(s, pattern, into)
+    return _try_formats(s, ["'='yyyy M d", "'='yyyy MMM d"]).cast("date")
 
 
 def as_date(c, dtype: str) -> Column:

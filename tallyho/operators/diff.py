@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.dates import sheet_date
-from ..functions.text import norm_text
+from ..functions.dates import SHEET_DATE_FORMATS, excel_serial_to_date, sheet_date
+from ..functions.text import norm_text, strip
 from ..session import landed
 from .columns import shared_column
 from .skew import expand_copies, occurrence_number
@@ -32,6 +32,7 @@ KEY_BLOCK = 1 << 16   # occurrences of a key that meet its counts in one task
 OCC = "_tly_occ"
 BLOCK = "_tly_key_block"
 SUMS = [f"_tly_s{i}" for i in range(5)]
+SHARES = "column string, filled long, layouts array<long>, serials long"
 TEMPORAL = ("date", "timestamp", "timestamp_ntz")
 
 
@@ -60,6 +61,41 @@ def normalise_for_diff(df: DataFrame, date_cols=(), case_insensitive: bool = Fal
     return df.select(*_normalised(df, date_cols, case_insensitive))
 
 
+def date_shares(df: DataFrame) -> DataFrame:
+    """For every text column its filled values, those written as a date (a column for each
+    layout of D1) and those that are a serial day number; all columns in one aggregate.  A row a column."""
+    texts = [c for c, t in df.dtypes if t == "string"]
+    if not texts:
+        return df.sparkSession.createDataFrame([], SHARES)
+    counts = []
+    for i, c in enumerate(texts):
+        s = strip(F.col(f"`{c}`"))
+        counts.append(F.count_if(s != "").alias(f"_tly_f{i}"))
+        counts += [F.count_if(F.try_to_timestamp(s, F.lit(layout)).isNotNull()).alias(f"_tly_l{i}_{j}")
+                   for j, layout in enumerate(SHEET_DATE_FORMATS)]
+        counts.append(F.count_if(excel_serial_to_date(s).isNotNull()).alias(f"_tly_n{i}"))
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"_tly_f{i}").alias("filled"),
+                     F.array(*[F.col(f"_tly_l{i}_{j}") for j in range(len(SHEET_DATE_FORMATS))]).alias("layouts"),
+                     F.col(f"_tly_n{i}").alias("serials")) for i, c in enumerate(texts)]
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def date_columns(*sides: DataFrame, share: float = 1.0, written: float = 0.5) -> list[str]:
+    """The text columns that hold dates, judged by all values of all sides together.
+
+    At least ``share`` of a column's filled values must be dates or serial day numbers and at
+    least ``written`` of them written dates, so a column of numbers is never one (T9).  Blank
+    columns are none.  Only counts, a row a column, come to the driver.
+    """
+    tables = [date_shares(df) for df in sides]
+    total = reduce(DataFrame.unionByName, tables).groupBy("column").agg(
+        F.sum("filled").alias("filled"), F.sum("serials").alias("serials"),
+        F.sum(F.aggregate("layouts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("dates"))
+    n, d = F.col("filled"), F.col("dates")
+    return sorted(r.column for r in total.where((n > 0) & (d + F.col("serials") >= n * share) & (d >= n * written) & (d > 0))
+                  .select("column").collect())
+
+
 def pick_keys(left_cols: list[str], right_cols: list[str],
               groups=None) -> tuple[list[str], list[str]]:
     """From each candidate group, the first name present on both sides (case-insensitive)."""

@@ -6,12 +6,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.dates import name_timestamp
 from ..functions.text import delimited_row
+from ..session import landed
+
+FILTER_WORDS = 1 << 14   # 64-bit words of the bitmap of keyword grams
 
 
 def extract_top(df: DataFrame, order: list[str], n: int = config.EXTRACT_ROWS) -> DataFrame:
@@ -35,23 +38,63 @@ def exclude_keywords(df: DataFrame, columns: list[str], keywords=config.EXCLUDE_
     return df.where(~hit)
 
 
+def _grams(text, sizes) -> Column:
+    """The distinct character runs of the given lengths; each length is one scan of the text."""
+    found = [F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1)) for n in sizes]
+    return F.array_distinct(F.concat(*found))
+
+
+def _bitmap(grams: DataFrame) -> DataFrame:
+    """One row, an array of ``FILTER_WORDS`` numbers in which every gram sets one bit: its size does not depend on the table."""
+    at = F.pmod(F.xxhash64("_tly_gram"), F.lit(FILTER_WORDS * 64))
+    words = (grams.select(F.floor(at / 64).alias("_tly_word"), F.lit(1).cast("long").alias("_tly_one"),
+                          (at % 64).cast("int").alias("_tly_at"))
+             .groupBy("_tly_word").agg(F.expr("bit_or(shiftleft(_tly_one, _tly_at))").alias("_tly_set")))
+    every = grams.sparkSession.range(FILTER_WORDS).withColumnRenamed("id", "_tly_word").join(words, "_tly_word", "left")
+    filled = F.struct("_tly_word", F.coalesce("_tly_set", F.lit(0).cast("long")).alias("_tly_set"))
+    return every.agg(F.array_sort(F.collect_list(filled))["_tly_set"].alias("_tly_bits"))
+
+
+def rarest_grams(texts: DataFrame, keywords: DataFrame, sizes: list[int]) -> DataFrame:
+    """Every keyword (``_tly_kw``) with the gram of it (``_tly_gram``) that the fewest texts (``_tly_text``) hold, ties
+    by the gram.  A keyword with a gram that no text holds is in no text and is left out."""
+    longest = max(sizes)
+    own = F.when(F.length("_tly_kw") >= longest, _grams(F.col("_tly_kw"), [longest])).otherwise(F.array("_tly_kw"))
+    parts = keywords.select("_tly_kw", F.explode(own).alias("_tly_gram"))
+    held = (texts.select(F.explode(_grams(F.col("_tly_text"), sizes)).alias("_tly_gram"))
+            .groupBy("_tly_gram").agg(F.count(F.lit(1)).alias("_tly_n")))
+    best = F.min(F.struct(F.coalesce("_tly_n", F.lit(0)).alias("n"), F.col("_tly_gram").alias("gram")))
+    return (parts.join(held, "_tly_gram", "left").groupBy("_tly_kw").agg(best.alias("_tly_best"))
+            .where("_tly_best.n > 0").select("_tly_kw", F.col("_tly_best.gram").alias("_tly_gram")))
+
+
 def exclude_keyword_table(df: DataFrame, column: str, keywords: DataFrame, gram: int = 3) -> DataFrame:
     """P11 with keywords in a table of any size: rows whose text contains one are dropped.
 
-    A text that contains a keyword contains the keyword's first ``gram`` characters (all of a
-    shorter one).  Distinct texts are joined with the keywords on those beginnings, an
-    equi-join, and the pairs checked exactly; nothing is broadcast by force or capped.
-    Empty and null keywords match nothing.
+    A text that contains a keyword holds all its runs of ``gram`` characters (a shorter keyword
+    as a whole).  Each keyword is looked up by the run that the fewest texts hold, so keywords
+    that begin alike do not meet in one hot key.  A bitmap of the chosen runs (128 KB, whatever
+    the table) drops the others before the shuffle; pairs are then checked exactly on whole
+    texts.  Texts travel once, by their digest; nothing is capped.  Empty and null keywords
+    match nothing, null texts contain nothing and stay, repeated rows are each kept or dropped.
     """
-    kw = (keywords.select(F.col(keywords.columns[0]).cast("string").alias("_tly_kw")).where("_tly_kw <> ''").distinct()
-          .withColumn("_tly_gram", F.substring("_tly_kw", 1, gram)))
-    texts = df.select(F.col(column).alias("_tly_text")).where("_tly_text is not null").distinct()
-    places = F.sequence(F.lit(1), F.greatest(F.length("_tly_text"), F.lit(1)))
-    grams = F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(
-        *[F.substring(F.col("_tly_text"), i, F.lit(n)) for n in range(1, gram + 1)]))))
-    hits = (texts.withColumn("_tly_gram", F.explode(grams)).join(kw, "_tly_gram")
-            .where(F.contains("_tly_text", "_tly_kw")).select("_tly_text").distinct())
-    return df.join(hits, F.col(column) == F.col("_tly_text"), "left_anti")
+    kw = keywords.select(F.col(keywords.columns[0]).cast("string").alias("_tly_kw")).where("_tly_kw <> ''").distinct()
+    # at most ``gram`` numbers: the run lengths to look for
+    sizes = sorted(r[0] for r in kw.select(F.least(F.length("_tly_kw"), F.lit(gram))).distinct().collect())
+    if not sizes:
+        return df
+    keyed = df.withColumn("_tly_digest", F.unhex(F.sha2(F.col(f"`{column}`"), 256)))
+    texts = (keyed.select("_tly_digest", F.col(f"`{column}`").alias("_tly_text")).where("_tly_text is not null")
+             .dropDuplicates(["_tly_digest"]))
+    # the longest length goes first in ``rarest_grams``; keywords shorter than ``gram`` need their own length only
+    chosen = landed(rarest_grams(texts, kw, sizes if gram in sizes else [*sizes, gram]), "keyword-grams")
+    at = F.pmod(F.xxhash64("_tly_gram"), F.lit(FILTER_WORDS * 64))
+    words = _bitmap(chosen).scalar()
+    known = F.getbit(F.get(words, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
+    pairs = (texts.select("_tly_digest", F.explode(_grams(F.col("_tly_text"), sizes)).alias("_tly_gram")).where(known)
+             .join(chosen, "_tly_gram").select("_tly_digest", "_tly_kw"))
+    hits = (pairs.join(texts, "_tly_digest").where(F.contains("_tly_text", "_tly_kw")).select("_tly_digest").distinct())
+    return keyed.join(hits, "_tly_digest", "left_anti").drop("_tly_digest")
 
 
 def incremental_pick(source: DataFrame, manifest: DataFrame, name: str = "name", mtime: str = "mtime") -> DataFrame:

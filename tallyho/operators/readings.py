@@ -74,6 +74,30 @@ def stats(readings: DataFrame, unit: str = "day", ts: str = "ts") -> DataFrame:
                  mean("temp_c"), F.min("temp_c").alias("temp_c_min"), F.max("temp_c").alias("temp_c_max")))
 
 
+def partial_stats(readings: DataFrame, unit: str = "hour", ts: str = "ts") -> DataFrame:
+    """A12 in parts: what ``merge_stats`` needs of some of the readings, a row a bucket."""
+    bucket = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz").alias("bucket")
+    parts = [f(c, k) for c in ("rh", "temp_c") for k, f in _PARTS.items()]
+    return readings.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), *parts)
+
+
+_PARTS = {
+    "sum": lambda c, k: F.try_sum(F.col(c).try_cast("decimal(38,3)")).alias(f"{c}_{k}"),
+    "min": lambda c, k: F.min(c).alias(f"{c}_{k}"),
+    "max": lambda c, k: F.max(c).alias(f"{c}_{k}"),
+}
+
+
+def merge_stats(parts: DataFrame, *by: str) -> DataFrame:
+    """A12 from parts: sums are exact decimals, so any split of the readings gives the same means."""
+    n = F.sum("n")
+    out = [n.alias("n")]
+    for c in ("rh", "temp_c"):
+        out += [(F.try_sum(f"{c}_sum").cast("double") / n).alias(f"{c}_avg"),
+                F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max")]
+    return parts.groupBy(*by).agg(*out)
+
+
 def with_dew_point(readings: DataFrame) -> DataFrame:
     """Dew point rounded to 4 decimals."""
     return readings.withColumn("dew_point_c", F.round(dew_point("rh", "temp_c"), 4))

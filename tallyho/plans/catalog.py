@@ -401,9 +401,59 @@ def sensor_log(spark, sf_dir):
 
 @query("readings_rollup_stream")
 def readings_rollup_stream(spark, sf_dir):
-    """A12 on streamed readings: hourly statistics of every hour, over the log that the stream wrote."""
-    good = readings_stream(spark, sf_dir)
-    return readings.stats(good, "hour").withColumnRenamed("hour", "bucket")
+    """R1 + A12: hourly statistics merged from the partial sums of every micro-batch.
+
+    A table of one file is written again in several, each with rows of all hours, so that
+    buckets meet parts of several batches."""
+    import os
+
+    from ..sources.tables import table_path
+    from ..streaming import readings as stream
+
+    events = read_table(spark, sf_dir, "events")
+    source, per_batch = table_path(sf_dir, "events"), None
+    if os.path.isfile(source):
+        source, per_batch = stream.scratch_path(spark, "rollup-source"), 2
+        events.repartition(6, "event_id").write.parquet(source)
+    replies = fixtures.replies_from_events(stream.reply_stream(spark, source, events.schema, max_files_per_trigger=per_batch))
+    out = stream.scratch_path(spark, "rollup-parts")
+    stream.run_merged_rollup(stream.parsed_stream(replies), out, stream.scratch_path(spark, "rollup-ckpt")).awaitTermination()
+    return stream.merged_rollup(spark, out)
+
+
+@query("daily_catch_up")
+def daily_catch_up(spark, sf_dir):
+    """R5 + A12: daily statistics by two runs; the first sees the days up to the 14th of a month,
+    the second all days and catches up on those that the run table does not list."""
+    from ..streaming import readings as stream
+
+    good = readings.good(_parsed(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    out, log = stream.scratch_path(spark, "daily"), stream.scratch_path(spark, "daily-runs")
+    stream.run_days(good.where(F.dayofmonth("day") <= 14), out, log, readings.stats, "first")
+    stream.run_days(good, out, log, readings.stats, "second")
+    return stream.committed_days(spark, out, log)
+
+
+@query("keyword_table_excluded")
+def keyword_table_excluded(spark, sf_dir):
+    """P11 with a keyword table: documents that contain no sentence of ``benchmark``."""
+    sentences = read_table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "[.] ")).alias("keyword"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return extract.exclude_keyword_table(docs, "text", sentences).drop("text")
+
+
+@query("diff_text_dates")
+def diff_text_dates(spark, sf_dir):
+    """D2 + T9: dates written as text in two layouts; the column is recognised by its values, numbers stay numbers."""
+    left, right = fixtures.text_dates(spark, sf_dir)
+    dates_ = diff.date_columns(left, right)
+    return diff.diff_by_keys(left, right, ["o_orderkey"], order=["o_orderkey"], date_cols=dates_).cells
+
+
+@query("parse_dates_free")
+def parse_dates_free(spark, sf_dir):
+    """D3: order dates written in free forms."""
+    return fixtures.written_dates(spark, sf_dir).withColumn("lenient_date", dates.lenient_date(F.col("value")))
 
 
 # SURVEY section 2 ids exercised by each query (read by tools/coverage.py)
@@ -456,6 +506,10 @@ QUERY_OPS = {
     "sensor_log": "D10 S8",
     "readings_stream": "R1 R3 R4 S10 K7",
     "readings_rollup_stream": "R1 A12",
+    "daily_catch_up": "R5 A12",
+    "keyword_table_excluded": "P11",
+    "diff_text_dates": "D2 J2 J3 J5",
+    "parse_dates_free": "D3",
     "extract_top": "S9 O5 F11",
     "extract_range": "P13 F11",
     "keyword_excluded": "P11",

@@ -6,7 +6,7 @@ tables go under ``out_root/<table>/run_ts=<run>/`` (K1-K5).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
@@ -55,9 +55,11 @@ def audit_job(spark: SparkSession, total_root: str, out_root: str, run_ts: str |
 
 def diff_job(left: DataFrame, right: DataFrame, out_root: str, keys: list[str] | None = None,
              case_insensitive: bool = False, run_ts: str | None = None,
-             left_name: str = "left", right_name: str = "right") -> dict[str, str]:
+             left_name: str = "left", right_name: str = "right", date_cols: list[str] | None = None,
+             order: list[str] | None = None, surplus: str = "unpaired") -> dict[str, str]:
     """Diff entry: given keys (must exist on both sides, H12), else automatic keys (J1),
-    else the keyless row diff (J4)."""
+    else the keyless row diff (J4).  Date columns are the given ones, else those that the
+    values show to be dates (D2); ``order`` and ``surplus`` go to the keyed diff."""
     left, right = drop_unnamed(left), drop_unnamed(right)
     if keys:
         for side, df in (("left", left), ("right", right)):
@@ -68,11 +70,14 @@ def diff_job(left: DataFrame, right: DataFrame, out_root: str, keys: list[str] |
     else:
         lk, rk = diff.pick_keys(left.columns, right.columns)
         right = right.toDF(*[lk[rk.index(c)] if c in rk else c for c in right.columns])
+    if date_cols is None:
+        date_cols = diff.date_columns(left, right)
     if lk:
-        tables = diff.diff_report(diff.diff_by_keys(left, right, lk, case_insensitive=case_insensitive),
-                                  left_name, right_name)
+        result = diff.diff_by_keys(left, right, lk, order, date_cols=date_cols, case_insensitive=case_insensitive,
+                                   surplus=surplus)
+        tables = diff.diff_report(result, left_name, right_name)
     else:
-        only_l, only_r = diff.diff_rows(left, right, case_insensitive)
+        only_l, only_r = diff.diff_rows(left, right, case_insensitive, date_cols=date_cols)
         empty = only_l.sparkSession.createDataFrame([], "key string, column string, left_value string, "
                                                         "right_value string")
         result = diff.DiffResult([], only_l, only_r, empty, empty)
@@ -119,9 +124,11 @@ def extract_job(spark: SparkSession, url: str, view: str, out_path: str, log_pat
     """Database extract: TOP 100 of a view -> headerless TSV (K6), run log lines (K8)."""
     writers.append_run_log(spark, log_path, f"extract {view}: start")
     try:
-        rows = jdbc.extract(jdbc.read_view(spark, url, view, **jdbc_options))
+        # K8: the rows are counted by the pass that writes them
+        seen = Observation()
+        rows = jdbc.extract(jdbc.read_view(spark, url, view, **jdbc_options)).observe(seen, F.count(F.lit(1)).alias("rows"))
         writers.write_tsv(rows, out_path)
-        n = spark.read.csv(out_path, sep="\t").count()
+        n = seen.get["rows"]
         writers.append_run_log(spark, log_path, f"extract {view}: done", rows=n)
         return n
     except Exception as exc:

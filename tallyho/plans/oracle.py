@@ -643,3 +643,31 @@ FROM good GROUP BY date_trunc('hour', ts)"""
 ORACLE["extract_range"] = f"""
 SELECT *, concat_ws(chr(9), {", ".join(f"coalesce(CAST({c} AS VARCHAR), 'None')" for c in _ORDER_COLS)}) AS line
 FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'"""
+
+ORACLE["daily_catch_up"] = with_ctes(READINGS, _parsed_sql("A")) + """
+SELECT CAST(ts AS DATE) AS day, CASE WHEN day(ts) <= 14 THEN 'first' ELSE 'second' END AS run, count(*) AS n,
+ CAST(sum(CAST(rh AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS rh_avg, min(rh) AS rh_min, max(rh) AS rh_max,
+ CAST(sum(CAST(temp_c AS DECIMAL(12,3))) AS DOUBLE) / count(*) AS temp_c_avg, min(temp_c) AS temp_c_min,
+ max(temp_c) AS temp_c_max
+FROM good GROUP BY 1, 2"""
+
+ORACLE["keyword_table_excluded"] = """
+WITH kw AS (SELECT DISTINCT unnest(string_split(text, '. ')) AS keyword FROM benchmark)
+SELECT doc_id, source, lang, n_chars FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM kw WHERE keyword <> '' AND contains(d.text, kw.keyword))"""
+
+ORACLE["diff_text_dates"] = """
+WITH r AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS t, CAST(o_orderdate AS DATE) AS d, CAST(o_custkey + 40000 AS VARCHAR) AS code FROM orders)
+SELECT t AS key_1, 'written' AS "column", strftime(d, '%Y-%m-%d') AS left_value,
+ strftime(d + INTERVAL 1 DAY, '%Y-%m-%d') AS right_value, CAST(1 AS BIGINT) AS multiplicity FROM r WHERE k % 13 = 0
+UNION ALL SELECT t, 'code', code, code || '.0', 1 FROM r WHERE k % 11 = 0"""
+
+_WRITTEN = ["%-d %B %Y", "%b %-d, %Y", "%d-%b-%y", "%A, %-d %B %Y", "%-m/%-d/%y", "%d.%m.%Y", "%Y-%m-%dT%H:%M:%S",
+            "%Y%m%d%H%M%S", "%m/%d/%Y %I:%M %p", "%Y %b %d", "30 Feb %Y", "week %-d %Y"]
+_READ = ["%d %B %Y", "%b %d, %Y", "%d-%b-%y", "%A, %d %B %Y", "%m/%d/%y", "%m.%d.%Y", "%d.%m.%Y", "%Y-%m-%dT%H:%M:%S",
+         "%Y%m%d%H%M%S", "%m/%d/%Y %I:%M %p", "%Y %b %d"]
+ORACLE["parse_dates_free"] = f"""
+WITH w AS (SELECT o_orderkey, CASE o_orderkey % {len(_WRITTEN)}
+ {" ".join(f"WHEN {i} THEN strftime(o_orderdate, '{f}')" for i, f in enumerate(_WRITTEN))} END AS value FROM orders)
+SELECT o_orderkey, value, coalesce({", ".join(f"CAST(try_strptime(value, '{f}') AS DATE)" for f in _READ)}) AS lenient_date
+FROM w"""

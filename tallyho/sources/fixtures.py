@@ -249,3 +249,32 @@ def sync_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when(F.col("o_orderkey") % 3 == 1, F.expr("INTERVAL -1 DAY")).otherwise(F.expr("INTERVAL 1 DAY"))
     return o.select(F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("name"),
                     (F.col("o_orderdate") + shift).alias("mtime"))
+
+
+def text_dates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of the orders with dates as text: 2024/1/5 on the left, 2024-01-05 on the
+    right (a day later in every 13th order); ``code`` is a number of the size of a day number,
+    written with a decimal part on the right in every 11th order."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    k, code = F.col("o_orderkey"), (F.col("o_custkey") + 40000).cast("string")
+    later = F.date_add(F.col("o_orderdate").cast("date"), F.when(k % 13 == 0, 1).otherwise(0))
+    return (o.select("o_orderkey", F.date_format("o_orderdate", "yyyy/M/d").alias("written"), code.alias("code")),
+            o.select("o_orderkey", F.date_format(later, "yyyy-MM-dd").alias("written"),
+                     F.when(k % 11 == 0, F.concat(code, F.lit(".0"))).otherwise(code).alias("code")))
+
+
+# ---- fixed values: layouts in which the order dates are written, cycled over the orders ----
+WRITTEN_LAYOUTS = ["d MMMM yyyy", "MMM d, yyyy", "dd-MMM-yy", "EEEE, d MMMM yyyy", "M/d/yy", "dd.MM.yyyy",
+                   "yyyy-MM-dd'T'HH:mm:ss", "yyyyMMddHHmmss", "MM/dd/yyyy hh:mm a", "yyyy MMM dd", "'30 Feb 'yyyy",
+                   "'week 'd yyyy"]
+
+
+def written_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as people write them; the last two layouts are no dates."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    n = len(WRITTEN_LAYOUTS)
+    value = None
+    for i, layout in enumerate(WRITTEN_LAYOUTS):
+        cond, text = F.col("o_orderkey") % n == i, F.date_format("o_orderdate", layout)
+        value = F.when(cond, text) if value is None else value.when(cond, text)
+    return o.select("o_orderkey", value.alias("value"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import readings as ops
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, landed
 from ..sources.files import NO_TABLE
 
 DEFAULT_INTERVAL = "10 seconds"   # the original poll interval
@@ -97,9 +97,9 @@ def pending_days(days: DataFrame, run_log: DataFrame, day: str = "day") -> DataF
     return days.select(day).distinct().join(run_log.select(day).distinct(), day, "left_anti")
 
 
-def record_runs(done: DataFrame, run_log_path: str, day: str = "day") -> None:
+def record_runs(done: DataFrame, run_log_path: str, day: str = "day", run: str | None = None) -> None:
     """R5 + K8: append the processed days to the run table."""
-    (done.select(day).distinct().withColumn("run_ts", F.current_timestamp())
+    (done.select(day).distinct().withColumn("run_ts", F.current_timestamp()).withColumn("run", F.lit(run).cast("string"))
      .write.mode("append").parquet(run_log_path))
 
 
@@ -113,13 +113,7 @@ def catch_up(data: DataFrame, run_log_path: str, job, day: str = "day") -> DataF
     failed job leaves its days pending.
     """
     spark = data.sparkSession
-    try:
-        done = spark.read.parquet(run_log_path).select(day)
-    except AnalysisException as e:
-        if e.getCondition() not in NO_TABLE:
-            raise
-        # no run table yet: nothing has run
-        done = spark.createDataFrame([], data.select(day).schema)
+    done = _run_table(spark, run_log_path, data, day)
     checkpoint_dir(spark)
     pending = pending_days(data.select(day), done, day).checkpoint()
     result = job(data.join(pending, day, "left_semi")).checkpoint()
@@ -153,3 +147,60 @@ def run_rollup(rollup: DataFrame, out_dir: str, checkpoint: str, trigger: str =
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if trigger == "once" else writer.trigger(processingTime=trigger)
     return writer.start()
+
+
+def run_merged_rollup(parsed: DataFrame, out_dir: str, checkpoint: str, unit: str = "hour", trigger: str = "once"):
+    """R1 + A12 without a watermark: each micro-batch writes its partial sums per bucket.
+
+    A batch replaces only its own ``batch_id`` partition, so a replayed one changes nothing, and
+    no state is kept, so no reply is too late.  ``merged_rollup`` adds the parts up.
+    """
+    writer = parsed.writeStream.foreachBatch(partial_writer(out_dir, unit)).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if trigger == "once" else writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+def partial_writer(out_dir: str, unit: str = "hour"):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (ops.partial_stats(batch.where(F.col("reject_reason").isNull()), unit).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir))
+    return write
+
+
+def merged_rollup(spark: SparkSession, out_dir: str) -> DataFrame:
+    """R1 + A12: the buckets of all batches written so far (``run_merged_rollup``)."""
+    return ops.merge_stats(spark.read.parquet(out_dir), "bucket")
+
+
+def run_days(data: DataFrame, out_dir: str, run_log_path: str, job, run: str, day: str = "day") -> None:
+    """``job`` over every day that the run table does not list; the result is kept by day.
+
+    The days' results replace their own partitions first, marked with the name of the run; the
+    run table is appended after.  A result counts only if the table lists its day with the same
+    run (``committed_days``): a job killed between the two writes leaves its days pending and
+    its results unseen, and the next run replaces them, so no day is lost or doubled.  ``job``
+    gets the rows of the pending days and returns rows with the ``day`` column.  ``run`` must
+    differ from run to run.
+    """
+    spark = data.sparkSession
+    done = _run_table(spark, run_log_path, data, day)
+    pending = landed(pending_days(data.select(day), done, day), "pending-days")
+    (job(data.join(pending, day, "left_semi")).withColumn("run", F.lit(run))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(out_dir))
+    record_runs(pending, run_log_path, day, run)
+
+
+def committed_days(spark: SparkSession, out_dir: str, run_log_path: str, day: str = "day") -> DataFrame:
+    """The results of ``run_days`` whose day and run are in the run table."""
+    log = spark.read.parquet(run_log_path)
+    kept = spark.read.parquet(out_dir).withColumn(day, F.col(day).cast(log.schema[day].dataType))
+    return kept.join(log.select(day, "run").distinct(), [day, "run"], "left_semi")
+
+
+def _run_table(spark: SparkSession, path: str, data: DataFrame, day: str) -> DataFrame:
+    try:
+        return spark.read.parquet(path).select(day)
+    except AnalysisException as e:
+        if e.getCondition() not in NO_TABLE:
+            raise
+        return spark.createDataFrame([], data.select(day).schema)   # nothing has run
