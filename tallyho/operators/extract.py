@@ -39,9 +39,8 @@ def exclude_keywords(df: DataFrame, columns: list[str], keywords=config.EXCLUDE_
 
 
 def _grams(text, sizes) -> Column:
-    """The distinct character runs of the given lengths; each length is one scan of the text."""
-    found = [F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1)) for n in sizes]
-    return F.array_distinct(F.concat(*found))
+    """The character runs of the given lengths, repeats included; each length is one scan of the text."""
+    return F.concat(*[F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1)) for n in sizes])
 
 
 def _bitmap(grams: DataFrame) -> DataFrame:
@@ -55,13 +54,20 @@ def _bitmap(grams: DataFrame) -> DataFrame:
     return every.agg(F.array_sort(F.collect_list(filled))["_tly_set"].alias("_tly_bits"))
 
 
-def rarest_grams(texts: DataFrame, keywords: DataFrame, sizes: list[int]) -> DataFrame:
-    """Every keyword (``_tly_kw``) with the gram of it (``_tly_gram``) that the fewest texts (``_tly_text``) hold, ties
-    by the gram.  A keyword with a gram that no text holds is in no text and is left out."""
-    longest = max(sizes)
-    own = F.when(F.length("_tly_kw") >= longest, _grams(F.col("_tly_kw"), [longest])).otherwise(F.array("_tly_kw"))
+def _found(texts: DataFrame, sizes: list[int], known: DataFrame, *keep: str) -> DataFrame:
+    """The grams of the texts (``_tly_text``), less nearly all that are not in ``known``."""
+    at = F.pmod(F.xxhash64("_tly_gram"), F.lit(FILTER_WORDS * 64))
+    word = F.get(_bitmap(known).scalar(), F.floor(at / 64).cast("int"))
+    return (texts.select(*keep, F.explode(_grams(F.col("_tly_text"), sizes)).alias("_tly_gram"))
+            .where(F.getbit(word, (at % 64).cast("int")) == 1))
+
+
+def rarest_grams(texts: DataFrame, keywords: DataFrame, sizes: list[int], gram: int = 3) -> DataFrame:
+    """Every keyword (``_tly_kw``) with the gram of it (``_tly_gram``) that occurs least in the texts (``_tly_text``),
+    ties by the gram.  A keyword with a gram that does not occur is in no text and is left out."""
+    own = F.when(F.length("_tly_kw") >= gram, _grams(F.col("_tly_kw"), [gram])).otherwise(F.array("_tly_kw"))
     parts = keywords.select("_tly_kw", F.explode(own).alias("_tly_gram"))
-    held = (texts.select(F.explode(_grams(F.col("_tly_text"), sizes)).alias("_tly_gram"))
+    held = (_found(texts, sizes, parts.select("_tly_gram").distinct())
             .groupBy("_tly_gram").agg(F.count(F.lit(1)).alias("_tly_n")))
     best = F.min(F.struct(F.coalesce("_tly_n", F.lit(0)).alias("n"), F.col("_tly_gram").alias("gram")))
     return (parts.join(held, "_tly_gram", "left").groupBy("_tly_kw").agg(best.alias("_tly_best"))
@@ -72,10 +78,10 @@ def exclude_keyword_table(df: DataFrame, column: str, keywords: DataFrame, gram:
     """P11 with keywords in a table of any size: rows whose text contains one are dropped.
 
     A text that contains a keyword holds all its runs of ``gram`` characters (a shorter keyword
-    as a whole).  Each keyword is looked up by the run that the fewest texts hold, so keywords
-    that begin alike do not meet in one hot key.  A bitmap of the chosen runs (128 KB, whatever
-    the table) drops the others before the shuffle; pairs are then checked exactly on whole
-    texts.  Texts travel once, by their digest; nothing is capped.  Empty and null keywords
+    as a whole).  Each keyword is looked up by its run that occurs least, so keywords that begin
+    alike do not meet in one hot key.  A bitmap of the wanted runs (128 KB, whatever the table)
+    drops the others before the shuffle; pairs are then checked exactly on whole texts.  Only
+    texts with a wanted run are compared, once for all copies; nothing is capped.  Empty and null keywords
     match nothing, null texts contain nothing and stay, repeated rows are each kept or dropped.
     """
     kw = keywords.select(F.col(keywords.columns[0]).cast("string").alias("_tly_kw")).where("_tly_kw <> ''").distinct()
@@ -84,16 +90,12 @@ def exclude_keyword_table(df: DataFrame, column: str, keywords: DataFrame, gram:
     if not sizes:
         return df
     keyed = df.withColumn("_tly_digest", F.unhex(F.sha2(F.col(f"`{column}`"), 256)))
-    texts = (keyed.select("_tly_digest", F.col(f"`{column}`").alias("_tly_text")).where("_tly_text is not null")
-             .dropDuplicates(["_tly_digest"]))
-    # the longest length goes first in ``rarest_grams``; keywords shorter than ``gram`` need their own length only
-    chosen = landed(rarest_grams(texts, kw, sizes if gram in sizes else [*sizes, gram]), "keyword-grams")
-    at = F.pmod(F.xxhash64("_tly_gram"), F.lit(FILTER_WORDS * 64))
-    words = _bitmap(chosen).scalar()
-    known = F.getbit(F.get(words, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
-    pairs = (texts.select("_tly_digest", F.explode(_grams(F.col("_tly_text"), sizes)).alias("_tly_gram")).where(known)
-             .join(chosen, "_tly_gram").select("_tly_digest", "_tly_kw"))
-    hits = (pairs.join(texts, "_tly_digest").where(F.contains("_tly_text", "_tly_kw")).select("_tly_digest").distinct())
+    texts = keyed.select("_tly_digest", F.col(f"`{column}`").alias("_tly_text")).where("_tly_text is not null")
+    chosen = landed(rarest_grams(texts, kw, sizes, gram), "keyword-grams")
+    pairs = landed(_found(texts, sizes, chosen.select("_tly_gram").distinct(), "_tly_digest").distinct()
+                   .join(chosen, "_tly_gram").select("_tly_digest", "_tly_kw"), "keyword-pairs")
+    hits = (texts.join(pairs, "_tly_digest", "left_semi").dropDuplicates(["_tly_digest"]).join(pairs, "_tly_digest")
+            .where(F.contains("_tly_text", "_tly_kw")).select("_tly_digest").distinct())
     return keyed.join(hits, "_tly_digest", "left_anti").drop("_tly_digest")
 
 
