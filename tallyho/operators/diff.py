@@ -7,9 +7,11 @@ keys, whole rows are anti-joined in both directions.
 
 Scale: the occurrence number comes from ``skew.occurrence_number`` (no per-key task), and
 rows are paired on ``(keys, occurrence)``, which is unique per row.  What belongs to a key as
-a whole (its counts, its multiplicity) meets the key's rows by blocks of ``KEY_BLOCK``
-occurrences, so a hot key is split there too.  The keyless diff compares digests of
-buckets of rows first; only rows of buckets that differ are shuffled.
+a whole (its counts) meets the key's rows by blocks of ``KEY_BLOCK`` occurrences, so a hot
+key is split there too; the sizes behind a pair's multiplicity come with the numbering.
+Values go through shuffles in their own type where that is as good as their text.  The
+keyless diff compares digests of buckets of rows first; only rows of buckets that differ
+are shuffled, once, for both directions.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -29,6 +31,8 @@ from .skew import expand_copies, occurrence_number
 
 KEY_BLOCK = 1 << 16   # occurrences of a key that meet its counts in one task
 
+FEW = 1 << 10         # copies of one row that are written out where the row lies
+
 OCC = "_tly_occ"
 BLOCK = "_tly_key_block"
 SUMS = [f"_tly_s{i}" for i in range(5)]
@@ -61,6 +65,30 @@ def normalise_for_diff(df: DataFrame, date_cols=(), case_insensitive: bool = Fal
     return df.select(*_normalised(df, date_cols, case_insensitive))
 
 
+# types whose values differ exactly when their text forms do (strings are stripped and
+# lower-cased, doubles have -0.0); null, which prints as '', is told apart too
+_EXACT_TYPES = ("tinyint", "smallint", "int", "bigint", "boolean", "date")
+
+
+def _typed(left: DataFrame, right: DataFrame, date_cols=()) -> set[str]:
+    """Columns whose values can be compared before they are printed: of one type on both sides."""
+    lt, rt = dict(left.dtypes), dict(right.dtypes)
+    return {c for c, t in lt.items() if rt.get(c) == t and (t == "timestamp" or c not in date_cols and (
+        t in _EXACT_TYPES or t.startswith("decimal")))}
+
+
+def _comparable(df: DataFrame, typed: set[str], date_cols, case_insensitive) -> dict:
+    """Every column as it is compared: ``typed`` ones as values, a timestamp as its day, others printed."""
+    texts = dict(zip(df.columns, _normalised(df, date_cols, case_insensitive)))
+    return {c: (F.to_date(F.col(f"`{c}`")) if t == "timestamp" else F.col(f"`{c}`")) if c in typed else texts[c]
+            for c, t in df.dtypes}
+
+
+def _printed(col: Column, dtype: str, case_insensitive: bool) -> Column:
+    """A ``typed`` column's text form; ``dtype`` is what it was read as."""
+    return F.coalesce(F.date_format(col, "yyyy-MM-dd"), F.lit("")) if dtype in TEMPORAL else norm_text(col, case_insensitive)
+
+
 def date_shares(df: DataFrame) -> DataFrame:
     """For every text column its filled values, those written as a date (a column for each
     layout of D1) and those that are a serial day number; all columns in one aggregate.  A row a column."""
@@ -216,6 +244,7 @@ def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False,
     """J4 + U4: keyless diff -- rows of one side whose whole normalised row is absent on
     the other side, duplicates kept; columns aligned by name, missing ones as ''.
 
+    Columns of one exact type on both sides are compared as values and printed at the end.
     Rows fall into buckets by a hash.  Per bucket and side one aggregate holds the row count
     and the sums of the four 32-bit parts of the rows' 128-bit digests; sums do not depend on
     an order and, unlike xor, do not cancel copies.  A bucket whose aggregates agree holds the
@@ -225,10 +254,14 @@ def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False,
     cols = sorted(set(left.columns) | set(right.columns))
     names = [F.col(f"`{c}`") for c in cols]
 
+    typed = _typed(left, right, date_cols)
+    # a hash passes over nulls, so where they are is hashed too
+    hashed = [*names, *[F.col(f"`{c}`").isNull() for c in cols if c in typed]]
+
     def aligned(df):
-        n = normalise_for_diff(df, date_cols, case_insensitive)
-        rows = n.select(*[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in cols])
-        digest = rows.select("*", F.xxhash64(*names).alias("_tly_d1"), F.xxhash64(F.lit("#"), *names).alias("_tly_d2"))
+        form = _comparable(df, typed, date_cols, case_insensitive)
+        rows = df.select(*[(form[c] if c in form else F.lit("")).alias(c) for c in cols])
+        digest = rows.select("*", F.xxhash64(*hashed).alias("_tly_d1"), F.xxhash64(F.lit("#"), *hashed).alias("_tly_d2"))
         return digest.withColumn("_tly_bucket", F.pmod(F.col("_tly_d1"), F.lit(buckets)).cast("int"))
 
     def digests(rows, sign):
@@ -241,18 +274,24 @@ def diff_rows(left: DataFrame, right: DataFrame, case_insensitive: bool = False,
     # landed: both directions and both sides read it; its size is bounded by ``buckets``
     differing = landed(both.filter(" or ".join(f"{c} <> 0" for c in SUMS)).select("_tly_bucket"), "differing")
 
-    def suspects(rows):
-        return rows.join(F.broadcast(differing), "_tly_bucket", "left_semi").select(*names)
+    def suspects(rows, l, r):
+        return (rows.join(F.broadcast(differing), "_tly_bucket", "left_semi")
+                .select(*names, F.lit(l).cast("long").alias("_tly_l"), F.lit(r).cast("long").alias("_tly_r")))
 
-    sl, sr = suspects(L), suspects(R)
+    # one shuffle of both sides; a pile of identical copies collapses in the map-side partial
+    # aggregate.  Landed: both directions read it, and it has only rows that one side lacks
+    counted = suspects(L, 1, 0).union(suspects(R, 0, 1)).groupBy(*names).agg(F.sum("_tly_l").alias("_tly_l"), F.sum("_tly_r").alias("_tly_r"))
+    alone = landed(counted.filter("_tly_l = 0 or _tly_r = 0"), "alone")
+    dtypes = dict(left.dtypes)
+    printed = [_printed(F.col(f"`{c}`"), dtypes[c], case_insensitive).alias(c) if c in typed else F.col(f"`{c}`") for c in cols]
 
-    def absent(kept, other):
-        # a pile of identical copies collapses in the map-side partial aggregate of either side
-        # and is written out again, in chunks that spread over tasks, if the other has none
-        counted = kept.groupBy(*names).agg(F.count(F.lit(1)).alias("_tly_n")).join(other.distinct(), cols, "left_anti")
-        return expand_copies(counted, "_tly_n", "_tly_copy").select(*names)
+    def absent(n):
+        # few copies are written out where they lie, many in chunks that spread over tasks
+        few = alone.filter(F.col(n).between(1, FEW)).withColumn("_tly_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))))
+        many = expand_copies(alone.filter(F.col(n) > FEW), n, "_tly_copy")
+        return few.union(many).select(*printed)
 
-    return absent(sl, sr), absent(sr, sl)
+    return absent("_tly_l"), absent("_tly_r")
 
 
 def diff_summary(result: DiffResult, left_name: str = "left", right_name: str = "right") -> DataFrame:

@@ -1,4 +1,7 @@
 """Diff semantics (J2-J5, U2-U3) and the skew-safe positional operators."""
+import datetime
+from decimal import Decimal
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -183,3 +186,25 @@ def test_occurrence_number_unique_blocks(spark):
     got = occurrence_number_unique(df, ["k"], "o", block_width=64)
     want = df.withColumn("occ2", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert got.join(want, ["k", "o"]).where("occ != occ2").count() == 0 and got.count() == 5000
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_diff_shuffles_a_row_once(spark, monkeypatch):
+    """Both directions come from one count of both sides; typed values, nulls and many copies are told apart as texts are."""
+    monkeypatch.setattr(diff, "FEW", 4)
+    schema = "a int, b int, t timestamp, d decimal(9,2), f boolean, q double, s string"
+    shape = lambda a, b, hour, s="x", q=1.0: (a, b, datetime.datetime(2024, 1, 2, hour), Decimal("1.50"), True, q, s)
+    left = [shape(None, 5, 1)] * 9 + [shape(1, 1, 1)] * 3 + [shape(2, 2, 3, " x ")] + [shape(3, 3, 3, "", -0.0)] + [(None,) * 7]
+    right = [shape(5, None, 1)] * 2 + [shape(1, 1, 8)] + [shape(2, 2, 3)] + [shape(3, 3, 3, None, 0.0)] + [(None,) * 7]
+    day = ("2024-01-02", "1.50", "true")
+    for buckets in (1, 1 << 20):
+        ol, or_ = diff.diff_rows(spark.createDataFrame(left, schema).select(*"abtdfqs"),
+                                 spark.createDataFrame(right, schema).select(*"abtdfqs"), buckets=buckets)
+        assert ol.columns == or_.columns == sorted("abtdfqs") and {t for _, t in ol.dtypes + or_.dtypes} == {"string"}
+        at = lambda df: sorted(tuple(r[c] for c in "abtdfqs") for r in df.collect())
+        assert at(ol) == [("", "5", *day, "1.0", "x")] * 9 + [("3", "3", *day, "-0.0", "")]
+        assert at(or_) == [("3", "3", *day, "0.0", "")] + [("5", "", *day, "1.0", "x")] * 2
+        assert "Join" not in _optimized(ol) + _optimized(or_)
