@@ -34,6 +34,7 @@ KEY_BLOCK = 1 << 16   # occurrences of a key that meet its counts in one task
 FEW = 1 << 10         # copies of one row that are written out where the row lies
 
 OCC = "_tly_occ"
+SIZE = "_tly_size"
 BLOCK = "_tly_key_block"
 SUMS = [f"_tly_s{i}" for i in range(5)]
 SHARES = "column string, filled long, layouts array<long>, serials long"
@@ -148,8 +149,8 @@ _RAW_KEY_TYPES = ("tinyint", "smallint", "int", "bigint", "boolean", "date", "ti
 
 
 def _numbered(df: DataFrame, keys: list[str], order: list[str], date_cols, case_insensitive) -> DataFrame:
-    """Normalised rows plus their occurrence number within the key; the position inside
-    a key follows the raw (typed) values of ``order``.
+    """Raw rows plus their occurrence number within the key and the key's size; the position
+    inside a key follows the raw (typed) values of ``order``.
 
     The numbering shuffles the raw typed rows (narrower than their text form, and the
     range sampler does not have to compute the normalisation); the text form is
@@ -159,14 +160,12 @@ def _numbered(df: DataFrame, keys: list[str], order: list[str], date_cols, case_
     by = [F.col(f"`{c}`") for c in order]
     raw_keys = all(dtypes[k] in _RAW_KEY_TYPES or dtypes[k].startswith("decimal") for k in keys) \
         and not set(keys) & set(date_cols)
-    normalised = dict(zip(df.columns, _normalised(df, date_cols, case_insensitive)))
     if raw_keys:
-        numbered = occurrence_number(df, keys, by, out_col=OCC)
-    else:
-        norm_keys = [f"_tly_k{i}" for i in range(len(keys))]
-        staged = df.select("*", *[normalised[k].alias(nk) for k, nk in zip(keys, norm_keys)])
-        numbered = occurrence_number(staged, norm_keys, by, out_col=OCC)
-    return numbered.select(*normalised.values(), OCC)
+        return occurrence_number(df, keys, by, out_col=OCC, size_col=SIZE)
+    normalised = dict(zip(df.columns, _normalised(df, date_cols, case_insensitive)))
+    norm_keys = [f"_tly_k{i}" for i in range(len(keys))]
+    staged = df.select("*", *[normalised[k].alias(nk) for k, nk in zip(keys, norm_keys)])
+    return occurrence_number(staged, norm_keys, by, out_col=OCC, size_col=SIZE)
 
 
 def _per_block(counts: DataFrame, up_to) -> DataFrame:
@@ -193,8 +192,10 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
             raise ValueError(f"{side}: key columns {missing} not found")
     order = order or left.columns
     right_order = right_order or [c for c in order if c in right.columns] or right.columns
-    L = _numbered(left, keys, order, date_cols, case_insensitive)
-    R = _numbered(right, keys, right_order, date_cols, case_insensitive)
+    nl = _numbered(left, keys, order, date_cols, case_insensitive)
+    nr = _numbered(right, keys, right_order, date_cols, case_insensitive)
+    L = nl.select(*_normalised(left, date_cols, case_insensitive), OCC)
+    R = nr.select(*_normalised(right, date_cols, case_insensitive), OCC)
     on = [*keys, OCC]
     if surplus == "unpaired":
         only_left = L.join(R.select(*on), on, "left_anti")
@@ -214,22 +215,31 @@ def diff_by_keys(left: DataFrame, right: DataFrame, keys: list[str], order: list
     else:
         raise ValueError("surplus must be 'unpaired' or 'first'")
     common = [c for c in sorted(set(left.columns) & set(right.columns)) if c not in keys]
-    lsel = L.select(*on, *[F.col(f"`{c}`").alias(f"_tly_l{i}") for i, c in enumerate(common)])
-    rsel = R.select(*on, *[F.col(f"`{c}`").alias(f"_tly_r{i}") for i, c in enumerate(common)])
-    pairs = lsel.join(rsel, on)
+    typed = _typed(left, right, date_cols) - set(keys)
+
+    def side(numbered, df, mark):
+        form = _comparable(df, typed, date_cols, case_insensitive)
+        return numbered.select(*[form[k] for k in keys], OCC, F.col(SIZE).alias(f"_tly_size_{mark}"),
+                               *[form[c].alias(f"_tly_{mark}{i}") for i, c in enumerate(common)])
+
+    pairs = side(nl, left, "l").join(side(nr, right, "r"), on)
     if common:
-        differs = reduce(lambda a, b: a | b,
-                         [F.col(f"_tly_l{i}") != F.col(f"_tly_r{i}") for i in range(len(common))])
-        cells_arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_tly_l{i}").alias("left_value"),
-                                       F.col(f"_tly_r{i}").alias("right_value"))
+        dtypes = dict(left.dtypes)
+
+        def value(mark, i, c):
+            col = F.col(f"_tly_{mark}{i}")
+            return _printed(col, dtypes[c], case_insensitive) if c in typed else col
+
+        differ = [~F.col(f"_tly_l{i}").eqNullSafe(F.col(f"_tly_r{i}")) for i in range(len(common))]
+        cells_arr = F.array(*[F.when(differ[i], F.struct(F.lit(c).alias("column"), value("l", i, c).alias("left_value"),
+                                                         value("r", i, c).alias("right_value")))
                               for i, c in enumerate(common)])
-        # Each difference once per paired row; ``multiplicity`` = paired rows of the key
-        # (a partial aggregate of the pairs, joined back on the key and the block)
-        mult = _per_block(pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("multiplicity")), F.col("multiplicity"))
-        cells = (_blocked(pairs.where(differs)).join(mult, [*keys, BLOCK])
+        # Each difference once per paired row; ``multiplicity`` = paired rows of the key,
+        # whose occurrences are 1, 2, ... on both sides: the smaller of its sizes
+        cells = (pairs.where(reduce(lambda a, b: a | b, differ))
                  .select(*[F.col(k).alias(f"key_{j + 1}") for j, k in enumerate(keys)],
-                         F.inline(cells_arr), "multiplicity")
-                 .where(F.col("left_value") != F.col("right_value")))
+                         F.inline(F.filter(cells_arr, lambda x: x.isNotNull())),
+                         F.least("_tly_size_l", "_tly_size_r").alias("multiplicity")))
     else:
         cells = pairs.select(*[F.col(k).alias(f"key_{j + 1}") for j, k in enumerate(keys)],
                              F.lit(None).cast("string").alias("column"),

@@ -54,8 +54,9 @@ def expand_copies(df: DataFrame, count_col: str, number_col: str, chunk: int = C
 
 
 def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str = "occ",
-                      group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Add ``out_col`` = ``row_number() over (partition by keys order by order)``.
+                      group_rows: int = GROUP_ROWS, size_col: str | None = None) -> DataFrame:
+    """Add ``out_col`` = ``row_number() over (partition by keys order by order)``, and the
+    number of the key's rows as ``size_col`` if one is named.
 
     ``order`` (names or expressions, ascending, nulls first) decides the position inside a
     key, a hash of the row breaks ties; rows that tie on that too are equal, and which of
@@ -78,9 +79,13 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
                      F.xxhash64(F.lit(17), *hashed).alias("h2"))
     key = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], F.lit(0).alias("all"))
     parts = [F.col(f"`{k}`") for k in keys] or [F.lit(0)]
+    def size(count, name="_tly_size"):
+        return [count.cast("long").alias(name)] if size_col else []
 
     def plain(rows):
-        return rows.select(*cols, F.row_number().over(Window.partitionBy(*parts).orderBy(place)).cast("long").alias(out_col))
+        w = Window.partitionBy(*parts)
+        return rows.select(*cols, F.row_number().over(w.orderBy(place)).cast("long").alias(out_col),
+                                             *size(F.count(F.lit(1)).over(w), size_col))
 
     n = df.count()
     if n <= group_rows:
@@ -104,17 +109,22 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
     sizes = cut.filter("_tly_bounds is not null").groupBy("_tly_hot", "_tly_bucket").agg(F.count(F.lit(1)).alias("_tly_n"))
     before = Window.partitionBy("_tly_hot").orderBy("_tly_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = landed(sizes.select(F.col("_tly_hot").alias("_tly_of"), F.col("_tly_bucket").alias("_tly_in"),
-                                 F.coalesce(F.sum("_tly_n").over(before), F.lit(0)).alias("_tly_shift")), "shifts")
+                                 F.coalesce(F.sum("_tly_n").over(before), F.lit(0)).alias("_tly_shift"),
+                                 F.sum("_tly_n").over(Window.partitionBy("_tly_hot")).alias("_tly_all")), "shifts")
 
     def shifted(rows):
         return rows.join(F.broadcast(shifts), (key == F.col("_tly_of")) & (F.col("_tly_bucket") == F.col("_tly_in")), "left")
 
-    local = F.row_number().over(Window.partitionBy(*parts, "_tly_bucket").orderBy(place))
-    single = (shifted(cut.filter("not _tly_pile").select(*cols, "_tly_bucket").withColumn("_tly_local", local))
-              .select(*cols, (F.coalesce("_tly_shift", F.lit(0)) + F.col("_tly_local")).cast("long").alias(out_col)))
+    w = Window.partitionBy(*parts, "_tly_bucket")
+    single = (shifted(cut.filter("not _tly_pile").select(*cols, "_tly_bucket")
+                      .select(*cols, "_tly_bucket", F.row_number().over(w.orderBy(place)).alias("_tly_local"),
+                              *size(F.count(F.lit(1)).over(w))))
+              .select(*cols, (F.coalesce("_tly_shift", F.lit(0)) + F.col("_tly_local")).cast("long").alias(out_col),
+                      *size(F.coalesce("_tly_all", "_tly_size") if size_col else None, size_col)))
     piles = cut.filter("_tly_pile").groupBy(*cols, "_tly_bucket").agg(F.count(F.lit(1)).alias("_tly_n"))
-    copies = (expand_copies(shifted(piles).select(*cols, "_tly_n", "_tly_shift"), "_tly_n", "_tly_local")
-              .select(*cols, (F.col("_tly_shift") + F.col("_tly_local")).cast("long").alias(out_col)))
+    copies = (expand_copies(shifted(piles).select(*cols, "_tly_n", "_tly_shift", "_tly_all"), "_tly_n", "_tly_local")
+              .select(*cols, (F.col("_tly_shift") + F.col("_tly_local")).cast("long").alias(out_col),
+                      *size(F.col("_tly_all"), size_col)))
     return single.union(copies)
 
 

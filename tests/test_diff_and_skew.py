@@ -208,3 +208,18 @@ def test_rows_diff_shuffles_a_row_once(spark, monkeypatch):
         assert at(ol) == [("", "5", *day, "1.0", "x")] * 9 + [("3", "3", *day, "-0.0", "")]
         assert at(or_) == [("3", "3", *day, "0.0", "")] + [("5", "", *day, "1.0", "x")] * 2
         assert "Join" not in _optimized(ol) + _optimized(or_)
+
+
+def test_cells_pair_rows_once(spark):
+    """Multiplicity comes with the numbering: the sides are joined once; typed values compare as their texts do."""
+    schema = "k int, o int, n bigint, t timestamp, d date, f boolean, s string"
+    noon, day = datetime.datetime(2024, 5, 6, 12), datetime.date(2024, 5, 6)
+    left = [(1, 1, None, noon, day, True, " a"), (1, 2, 7, noon, None, True, "b"), (1, 3, 7, None, day, None, None), (None, 1, 4, noon, day, True, "c")]
+    right = [(1, 1, 3, noon.replace(hour=1), day, True, "a "), (1, 2, 7, noon.replace(day=7), day, False, "b"), (None, 1, 5, noon, day, True, "c"), (9, 1, 1, noon, day, True, "")]
+    res = diff.diff_by_keys(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["k"], order=["o"])
+    assert sorted(tuple(r) for r in res.cells.collect()) == [
+        ("", "n", "4", "5", 1), ("1", "d", "", "2024-05-06", 2), ("1", "f", "true", "false", 2), ("1", "n", "", "3", 2),
+        ("1", "t", "2024-05-06", "2024-05-07", 2)]
+    assert [r.o for r in res.only_left.collect()] == ["3"] and [r.k for r in res.only_right.collect()] == ["9"]
+    assert res.cells.dtypes[-1] == ("multiplicity", "bigint")
+    assert _optimized(res.cells).count("Join") == 1
