@@ -79,12 +79,20 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
                      F.xxhash64(F.lit(17), *hashed).alias("h2"))
     key = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], F.lit(0).alias("all"))
     parts = [F.col(f"`{k}`") for k in keys] or [F.lit(0)]
+    # the order of ``place``, column by column
+    sorting = [*by, F.xxhash64(*hashed), F.xxhash64(F.lit(17), *hashed)]
+
+    def together(rows, *group):
+        # dealt out before the window, so that what the window sorts by is computed behind the
+        # shuffle and not carried through it
+        return rows.repartition(*group) if keys or len(group) > 1 else rows
+
     def size(count, name="_tly_size"):
         return [count.cast("long").alias(name)] if size_col else []
 
     def plain(rows):
         w = Window.partitionBy(*parts)
-        return rows.select(*cols, F.row_number().over(w.orderBy(place)).cast("long").alias(out_col),
+        return together(rows, *parts).select(*cols, F.row_number().over(w.orderBy(*sorting)).cast("long").alias(out_col),
                                              *size(F.count(F.lit(1)).over(w), size_col))
 
     n = df.count()
@@ -116,8 +124,8 @@ def occurrence_number(df: DataFrame, keys: list[str], order: list, out_col: str
         return rows.join(F.broadcast(shifts), (key == F.col("_tly_of")) & (F.col("_tly_bucket") == F.col("_tly_in")), "left")
 
     w = Window.partitionBy(*parts, "_tly_bucket")
-    single = (shifted(cut.filter("not _tly_pile").select(*cols, "_tly_bucket")
-                      .select(*cols, "_tly_bucket", F.row_number().over(w.orderBy(place)).alias("_tly_local"),
+    single = (shifted(together(cut.filter("not _tly_pile").select(*cols, "_tly_bucket"), *parts, F.col("_tly_bucket"))
+                      .select(*cols, "_tly_bucket", F.row_number().over(w.orderBy(*sorting)).alias("_tly_local"),
                               *size(F.count(F.lit(1)).over(w))))
               .select(*cols, (F.coalesce("_tly_shift", F.lit(0)) + F.col("_tly_local")).cast("long").alias(out_col),
                       *size(F.coalesce("_tly_all", "_tly_size") if size_col else None, size_col)))

@@ -223,3 +223,17 @@ def test_cells_pair_rows_once(spark):
     assert [r.o for r in res.only_left.collect()] == ["3"] and [r.k for r in res.only_right.collect()] == ["9"]
     assert res.cells.dtypes[-1] == ("multiplicity", "bigint")
     assert _optimized(res.cells).count("Join") == 1
+
+
+def test_numbering_shuffles_plain_rows(spark):
+    """The order's columns and hashes are computed behind the shuffle; sizes of keys come with the numbers."""
+    df = spark.range(0, 900).select(F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id") % 7).alias("k"),
+                                    F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("o"))
+    _, shuffled = _optimized(occurrence_number(df, ["k"], ["o"])).split("RepartitionByExpression")
+    assert "xxhash64" not in shuffled and "struct" not in shuffled
+    want = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    for group_rows in (30, 1 << 14):
+        got = occurrence_number(df, ["k"], ["o"], group_rows=group_rows, size_col="n")
+        assert got.columns == ["k", "o", "occ", "n"]
+        _numbers_are_right(df, got, ["k"], ["o"])
+        assert {(r.k, r.n) for r in got.collect()} == set(want.items())
